@@ -127,8 +127,8 @@ BINDINGS: dict[str, str] = {
     "domains": "select item_id as id_domaine, text as nom_domaine from benchmark",
     # offers whose sector text is shared by several offers
     "domain_offers": """
-        select conv_id * 1000 + turn as id_offre, concat('T', cast(conv_id * 1000 + turn as string)) as id_local,
-               case when role = 'assistant' then null else text end as description,
+        select c.conv_id * 1000 + c.turn as id_offre, concat('T', cast(c.conv_id * 1000 + c.turn as string)) as id_local,
+               case when role = 'assistant' then null else c.text end as description,
                case when role = 'system' then null else b.text end as sector
         from conversations c left join benchmark b on c.conv_id = b.item_id""",
     # an offer table to search in

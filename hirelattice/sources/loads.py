@@ -24,10 +24,8 @@ def append_with_id(target: DataFrame, batch: DataFrame, id_column: str, order: l
     """
     schema = T.StructType([f for f in target.schema if f.name != id_column])
     numbered = number_rows(cast_to(batch, schema), order, "_rn")
-    top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
-    return numbered.join(top).select(
-        (F.col("_rn") + F.col("_top")).cast("bigint").alias(id_column), *schema.fieldNames()
-    )
+    highest = target.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    return numbered.select((F.col("_rn") + highest).cast("bigint").alias(id_column), *schema.fieldNames())
 
 
 def has_rows(spark: SparkSession, path: str) -> bool:

@@ -65,15 +65,14 @@ def read_latest_drop(
     """Keep the rows of the newest dated file; files with an unreadable date come before all others.
 
     ``file_name`` names the column that holds each row's file, normally ``_metadata.file_name``.
-    The newest stamp is one row, found by a partial maximum, and joined back.
+    The newest stamp is one value, found by a partial maximum.
     """
     stamp = F.coalesce(
         F.try_to_timestamp(F.nullif(F.regexp_extract(F.col(file_name), pattern, 1), F.lit("")), F.lit(ts_format)),
         F.lit("0001-01-01").cast("timestamp"),
     )
     marked = df.withColumn("_drop", F.struct(stamp.alias("at"), F.col(file_name).alias("name")))
-    newest = marked.agg(F.max("_drop").alias("_newest"))
-    return marked.join(newest, F.col("_drop") == F.col("_newest")).drop("_drop", "_newest")
+    return marked.filter(F.col("_drop") == marked.agg(F.max("_drop")).scalar()).drop("_drop")
 
 
 def parse_id_arrays(df: DataFrame, columns: list[str]) -> DataFrame:
