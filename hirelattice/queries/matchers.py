@@ -80,9 +80,9 @@ PLACE_SQL = """
                       nullif(regexp_extract(location_name, '([0-9]{2})', 1), '') as code from located_offers),
     p as (select *, substr(cast(code_postal as varchar), 1, 2) as pcode from places),
     j as (select o.id_offre, o.id_local, p.id_lieu, p.population,
-            12742 * asin(sqrt(least(1.0, power(sin((radians(o.latitude) - radians(p.latitude)) / 2), 2)
+            12742 * asin(sqrt(power(sin((radians(o.latitude) - radians(p.latitude)) / 2), 2)
               + cos(radians(p.latitude)) * cos(radians(o.latitude))
-                * power(sin((radians(o.longitude) - radians(p.longitude)) / 2), 2)))) as km,
+                * power(sin((radians(o.longitude) - radians(p.longitude)) / 2), 2))) as km,
             coalesce(contains(o.loc, lower(p.ville)), false) as f_name, coalesce(o.code = p.pcode, false) as f_code,
             coalesce(contains(o.loc, lower(p.departement)), false) as f_dept,
             coalesce(contains(o.loc, lower(p.region)), false) as f_region,
