@@ -1 +1,146 @@
-"""Registered queries."""
+"""Section K: transforms, models, splits, parameter search."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hirelattice.operators import learning as ml
+from hirelattice.operators.similarity import knn
+from hirelattice.operators.splits import folds, hash_split
+from hirelattice.queries import Tables, query
+from hirelattice.queries.similarity import PAIRS, _top
+from hirelattice.session import run_dir
+
+HASH = "('0x' || left(md5('42:' || cast({} as varchar)), 8)) :: bigint"
+
+
+@query("k10_standardize", """
+    with l as (select id, unnest(cast(vec as double[])) as x, generate_subscripts(vec, 1) as dim from vectors),
+    s as (select dim, avg(x) as mu, stddev_pop(x) as sd from l group by 1)
+    select id, dim, round((x - mu) / sd, 6) as z from l join s using (dim)""")
+def k10(t: Tables):
+    out = ml.standardize(t.bind("vectors"))
+    return out.select("id", F.posexplode("vec").alias("pos", "z")).select("id", (F.col("pos") + 1).cast("bigint").alias("dim"), F.round("z", 6).alias("z"))
+
+
+@query("k11_explained_variance")
+def k11(t: Tables):
+    return ml.reduce_dims(t.bind("vectors"), 8)[1]
+
+
+@query("k11_reduced_vectors")
+def k11v(t: Tables):
+    return ml.reduce_dims(t.bind("vectors"), 2)[0].select("id", F.round(F.abs(F.col("vec")[0]), 6).alias("x"), F.round(F.abs(F.col("vec")[1]), 6).alias("y"))
+
+
+@query("k12_kmeans")
+def k12(t: Tables):
+    return ml.kmeans(t.bind("vectors"))[0].groupBy("cluster").agg(F.count("*").alias("n"))
+
+
+@query("k12_kmeans_samples")
+def k12s(t: Tables):
+    return ml.kmeans(t.bind("vectors"))[2].select("cluster", "id")
+
+
+@query("k13_silhouette")
+def k13(t: Tables):
+    score = ml.kmeans(t.bind("vectors"))[1]
+    return t.bind("vectors").agg(F.count("*").alias("n")).withColumn("silhouette", F.lit(float(score)))
+
+
+def _labelled(t: Tables):
+    rows = t("documents").join(t("labels"), "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("quality"))
+    return hash_split(rows, "doc_id", stratify="quality")
+
+
+@query("k14_text_classifier")
+def k14(t: Tables):
+    return ml.classify_text(_labelled(t), "text", "quality")[0]
+
+
+@query("k15_class_probabilities", """
+    select doc_id, true as sums_to_one, cast(2 as bigint) as classes from documents join labels using (doc_id)""")
+def k15(t: Tables):
+    p = ml.classify_text(_labelled(t), "text", "quality")[1]
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    return p.select("doc_id", (F.abs(total - 1) < 1e-9).alias("sums_to_one"), F.size("probabilities").cast("bigint").alias("classes"))
+
+
+FEATURES = ["n_lines", "quantity", "price"]
+
+
+def _order_features(t: Tables):
+    lines = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"))
+    rows = t("orders").select("o_orderkey", "o_totalprice").join(lines, "o_orderkey")
+    return hash_split(rows, "o_orderkey", 0.75)
+
+
+@query("k16_elastic_net")
+def k16(t: Tables):
+    return ml.regress_elastic_net(_order_features(t), FEATURES, "o_totalprice")
+
+
+@query("k17_random_forest")
+def k17(t: Tables):
+    return ml.regress_forest(_order_features(t), FEATURES, "o_totalprice", trees=100, depth=6)
+
+
+@query("k18_hash_split", f"select c_custkey, {HASH.format('c_custkey')} % 100 < 80 as is_train from customer")
+def k18(t: Tables):
+    return hash_split(t("customer"), "c_custkey").select("c_custkey", "is_train")
+
+
+@query("k18_stratified_split", f"""
+    select c_custkey, row_number() over (partition by c_mktsegment order by {HASH.format('c_custkey')}, c_custkey)
+        <= ceil(count(*) over (partition by c_mktsegment) * 0.8) as is_train from customer""")
+def k18s(t: Tables):
+    return hash_split(t("customer"), "c_custkey", stratify="c_mktsegment").select("c_custkey", "is_train")
+
+
+@query("k19_folds", f"select o_orderkey, cast({HASH.format('o_orderkey')} % 5 as bigint) as fold from orders")
+def k19(t: Tables):
+    return folds(t("orders"), "o_orderkey").select("o_orderkey", F.col("fold").cast("bigint").alias("fold"))
+
+
+GRID = ml.grid([3, 5, 10], [0.2, 0.3, 0.4])
+DRAWS = ml.draws(12, (1, 10), (0.1, 0.5))
+
+
+def _search_sql(configs):
+    rows = ", ".join(f"({i}, {k}, {t})" for i, (k, t) in enumerate(configs))
+    return f"""with {PAIRS}, {_top(10, False)},
+    c(run, k, threshold) as (values {rows}),
+    q as (select cast(run as bigint) as run, cast(k as bigint) as k, cast(threshold as double) as threshold, query_id,
+                 max((similarity >= threshold) :: int) as found,
+                 count(*) filter (where similarity >= threshold) as n, sum(similarity) as total, count(*) as m
+          from h, c where rank <= k group by 1, 2, 3, 4)
+    select run, k, threshold, round(avg(found), 6) as recall, round(sum(n) / sum(m), 6) as precision,
+           round(sum(total) / sum(m), 6) as mean_similarity from q group by 1, 2, 3"""
+
+
+def _searched(t: Tables, configs):
+    v = t.bind("vectors")
+    out = ml.search_params(knn(v, v, max(k for k, _ in configs), exclude_self=True), configs)
+    return out.withColumns({c: F.round(c, 6) for c in ("recall", "precision", "mean_similarity")})
+
+
+@query("k20_grid_search", _search_sql(GRID))
+def k20(t: Tables):
+    return _searched(t, GRID)
+
+
+@query("k20_cross_validation")
+def k20c(t: Tables):
+    return ml.cross_validate(_order_features(t), "o_orderkey", FEATURES, "o_totalprice", [0.1, 1.0], [0.0, 0.5], n_folds=3)
+
+
+@query("k21_random_search", _search_sql(DRAWS))
+def k21(t: Tables):
+    return _searched(t, DRAWS)
+
+
+@query("k22_run_table", _search_sql(GRID))
+def k22(t: Tables):
+    return ml.store_runs(t.spark, _searched(t, GRID), run_dir(t.spark, "runs"))
