@@ -1 +1,130 @@
-"""Registered queries."""
+"""Section S: streams over the events table, run to their end."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hirelattice.queries import Tables, query
+from hirelattice.session import run_dir
+from hirelattice.streaming import jobs
+
+
+def _events(t: Tables):
+    """The events file as a stream; its time column has no zone, watermarks need one."""
+    schema = t("events").schema
+    stream = jobs.read_files(t.spark, t.folder, schema, "events.parquet")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _stored(t: Tables, stream, name: str):
+    target = run_dir(t.spark, name)
+    jobs.to_files(stream, target)
+    return t.spark.read.parquet(f"{target}/data")
+
+
+FMT = "yyyy-MM-dd HH:mm:ss"
+
+# windows that the watermark has closed when the stream ends
+CLOSED = "<= (select max(ts) from events) - interval 10 minute"
+
+
+@query("s1_ingest_files", "select event_id, user_id, event_type, value, props from events")
+def s1(t: Tables):
+    out = jobs.ingest(t.spark, t.folder, t("events").schema, run_dir(t.spark, "ingest"), name_glob="events.parquet")
+    return out.select("event_id", "user_id", "event_type", "value", "props")
+
+
+@query("s2_dedup_within_watermark", "select distinct user_id, event_type from events")
+def s2(t: Tables):
+    deduped = jobs.dedup_stream(_events(t), ["user_id", "event_type"], "ts", "60 days")
+    return _stored(t, deduped.select("user_id", "event_type"), "dedup")
+
+
+@query("s2_first_wins", """
+    select user_id, event_type, event_id from events qualify row_number() over (partition by user_id, event_type order by event_id) = 1""")
+def s2f(t: Tables):
+    # in several batches, the later ones holding keys already stored
+    parts = run_dir(t.spark, "event-files")
+    _in_order(t, parts)
+    stream = jobs.read_files(t.spark, parts, t("events").schema, files_per_batch=1)
+    out = jobs.first_wins(stream, ["user_id", "event_type"], ["event_id"], run_dir(t.spark, "first-wins"))
+    return out.select("user_id", "event_type", "event_id")
+
+
+def _in_order(t: Tables, path: str):
+    """The events as a few files, written one after the other in the order of time."""
+    e = t("events")
+    for lo, hi in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2030-01-01")):
+        e.filter((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi))).write.mode("append").parquet(path)
+
+
+@query("s3_enrich_stream", """
+    select event_id, c_name, c_mktsegment from events left join customer on user_id = c_custkey""")
+def s3(t: Tables):
+    customers = t("customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
+    return _stored(t, jobs.enrich(_events(t), [(customers, "user_id")]).select("event_id", "c_name", "c_mktsegment"), "enrich")
+
+
+@query("s4_upsert_stream", """
+    select user_id, event_id, event_type from events qualify row_number() over (partition by user_id order by event_id desc) = 1""")
+def s4(t: Tables):
+    parts = run_dir(t.spark, "event-files")
+    _in_order(t, parts)
+    stream = jobs.read_files(t.spark, parts, t("events").schema, files_per_batch=1).select("user_id", "event_id", "event_type")
+    return jobs.upsert_stream(stream, ["user_id"], [F.col("event_id").desc()], run_dir(t.spark, "upsert"))
+
+
+@query("s5_count_per_status", f"""
+    with w as (select time_bucket(interval 5 minute, ts) as t0, event_type from events)
+    select strftime(t0, '%Y-%m-%d %H:%M:%S') as window_start, event_type, count(*) as n from w where t0 + interval 5 minute {CLOSED} group by 1, 2""")
+def s5(t: Tables):
+    out = jobs.count_by_label(_events(t), "ts", "event_type")
+    return _stored(t, out.select(F.date_format("window.start", FMT).alias("window_start"), "event_type", "n"), "count")
+
+
+@query("s6_rate_by_class", f"""
+    with w as (select time_bucket(interval 1 minute, ts) - to_minutes(m) as t0,
+                 case event_type when 'error' then '5xx' when 'signup' then '4xx' else '2xx' end as status
+               from events, (select unnest(range(0, 5)) as m))
+    select strftime(t0, '%Y-%m-%d %H:%M:%S') as window_start, status, count(*) as n, round(count(*) / 300, 6) as rate from w
+    where t0 + interval 5 minute {CLOSED} group by 1, 2""")
+def s6(t: Tables):
+    out = jobs.rate_by_class(_events(t), "ts", jobs.status_class(F.col("event_type"), ["error"], ["signup"]))
+    return _stored(t, out.select(F.date_format("window.start", FMT).alias("window_start"), "status", "n", F.round("rate", 6).alias("rate")), "rate")
+
+
+@query("s7_average_duration", f"""
+    with w as (select time_bucket(interval 5 minute, ts) as t0, value from events)
+    select strftime(t0, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as n, round(sum(value), 4) as total, round(sum(value) / count(*), 6) as average
+    from w where t0 + interval 5 minute {CLOSED} group by 1""")
+def s7(t: Tables):
+    out = jobs.average_by_window(_events(t), "ts", "value")
+    return _stored(t, out.select(F.date_format("window.start", FMT).alias("window_start"), "n", F.round("total", 4).alias("total"), F.round("average", 6).alias("average")), "average")
+
+
+SUSTAINED = """
+    with s as (select event_type, time_bucket(interval 1 minute, ts) as t0, max_by(value > 8, ts) as is_on from events {cond} group by 1, 2),
+    g as (select *, sum(case when is_on then 0 else 1 end) over (partition by event_type order by t0) as run from s),
+    r as (select *, min(t0) over (partition by event_type, run) as t1 from g where is_on)
+    select event_type, strftime(t1, '%Y-%m-%d %H:%M:%S') as started, strftime(min(t0), '%Y-%m-%d %H:%M:%S') as fired
+    from r where t0 >= t1 + interval 30 minute group by event_type, t1"""
+
+
+def _shown(df):
+    return df.select("event_type", F.date_format("started", FMT).alias("started"), F.date_format("fired", FMT).alias("fired"))
+
+
+@query("s8_sustained_condition", SUSTAINED.format(cond=""))
+def s8(t: Tables):
+    events = t("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return _shown(jobs.sustained(jobs.condition_steps(events, "event_type", "ts", F.col("value") > 8), "event_type", 30))
+
+
+@query("s8_sustained_stream", SUSTAINED.format(cond=f"where time_bucket(interval 1 minute, ts) + interval 1 minute {CLOSED}"))
+def s8s(t: Tables):
+    # the steps are one stream, stored when the watermark closes them; the condition is a second one on top
+    steps = jobs.condition_steps(_events(t), "event_type", "ts", F.col("value") > 8)
+    target = run_dir(t.spark, "steps")
+    jobs.to_files(steps, target)
+    stored = jobs.read_files(t.spark, f"{target}/data", steps.schema)
+    return _stored(t, _shown(jobs.sustained_stream(stored, "event_type", 30)), "sustained")
