@@ -5,34 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hirelattice.operators.dedup import dedup_rank
-from hirelattice.operators.tokens import not_in, token_counts
+from hirelattice.operators.tokens import exploded, not_in, split_tokens, token_counts
+
+
+def _domain_tokens(domains: DataFrame, stopwords: DataFrame) -> DataFrame:
+    return token_counts(domains, "id_domaine", "nom_domaine", stopwords).withColumnRenamed("n", "_n")
 
 
 def token_matches(domains: DataFrame, offers: DataFrame, text: str, stopwords: DataFrame) -> DataFrame:
     """Per (domain, offer) the shared tokens: all, distinct and listed.
 
-    Tokens are counted per offer and per domain first; the count of all joined token rows is then a
-    sum of products. Domain tokens without an offer stay, grouped under a null offer.
+    The offers' tokens go straight to the join, where the domain names' tokens are the small side;
+    only tokens that some domain name holds are grouped. Stop words and short tokens need no test
+    there, since the domain side has none. Domain tokens without an offer stay, under a null offer.
     """
-    d = token_counts(domains, "id_domaine", "nom_domaine", stopwords).withColumnRenamed("n", "_nd")
-    o = token_counts(offers, "id_local", text, stopwords).withColumnRenamed("n", "_no")
-    return (
-        d.join(o, "token", "left").groupBy("id_domaine", "id_local").agg(
-            F.sum(F.col("_nd") * F.coalesce("_no", F.lit(1))).alias("matched_tokens"),
-            F.count("_no").alias("unique_matched_tokens"),
-            F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(F.col("_no").isNotNull(), F.col("token")))), " "), F.lit(""))
-            .alias("matching_tokens"))
-    )
-
-
-def total_tokens(offers: DataFrame, text: str, stopwords: DataFrame) -> DataFrame:
+    d = _domain_tokens(domains, stopwords)
+    found = exploded(offers, "id_local", text).join(d, "token")
+    matched = found.groupBy("id_domaine", "id_local").agg(
+        F.sum("_n").alias("matched_tokens"), F.array_sort(F.collect_set("token")).alias("_t")).select(
+        "id_domaine", "id_local", "matched_tokens", F.size("_t").cast("bigint").alias("unique_matched_tokens"),
+        F.array_join("_t", " ").alias("matching_tokens"))
+    # distinct is combined on the map side: at most as many rows per task as there are domain tokens
+    used = found.select("token").distinct()
+    unmatched = d.join(used, "token", "left_anti").groupBy("id_domaine").agg(F.sum("_n").alias("matched_tokens")).select(
+        "id_domaine", F.lit(None).cast("string").alias("id_local"), "matched_tokens", F.lit(0).cast("bigint").alias("unique_matched_tokens"),
+        F.lit(None).cast("string").alias("matching_tokens"))
+    return matched.unionByName(unmatched)
+
+
+def total_tokens(offers: DataFrame, text: str, stopwords: DataFrame, min_length: int = 3) -> DataFrame:
     """Distinct tokens per offer; offers with the same text have the same count.
 
-    The token counts are those of ``token_matches``; reading ``n`` here keeps the two plans alike, so
-    that Spark reuses their shuffle.
+    Tokens are made distinct inside the row, so only one row per offer is shuffled.
     """
-    counts = token_counts(offers, "id_local", text, stopwords)
-    return counts.groupBy("id_local").agg(F.count_if(F.col("n") > 0).alias("total_tokens"))
+    words = stopwords.select(F.col("word").alias("token")).filter("token is not null").distinct()
+    pieces = offers.select("id_local", F.explode(F.array_distinct(F.transform(split_tokens(F.col(text)), F.trim))).alias("token"))
+    kept = pieces.filter(F.length("token") >= min_length).join(words, "token", "left_anti")
+    return kept.groupBy("id_local").agg(F.count("*").alias("total_tokens"))
 
 
 def scored_matches(domains: DataFrame, offers: DataFrame, text: str, stopwords: DataFrame) -> DataFrame:

@@ -98,18 +98,11 @@ def weighted_precision_recall(votes: DataFrame) -> DataFrame:
     support = cells.groupBy("label").agg(F.sum("n").alias("support"), F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)).alias("tp"))
     called = cells.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("called"))
     rows = support.join(called, "label", "left")
-    weight = F.col("support") / F.sum("support").over(_all())
+    weight = F.col("support") / votes.agg(F.count("*")).scalar()
     per = rows.select(weight.alias("w"), F.coalesce(F.col("tp") / F.col("called"), F.lit(0.0)).alias("p"), (F.col("tp") / F.col("support")).alias("r"))
     return per.agg(F.sum(F.col("w") * F.col("p")).alias("precision"), F.sum(F.col("w") * F.col("r")).alias("recall"))
 
 
-def _all():
-    # over the labels, of which there are few
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(1))
-
-
 def neighbour_vote(hits: DataFrame, labels: DataFrame) -> DataFrame:
     """(query_id, predicted): the most frequent label among a query's neighbours, ties to the lowest label."""
     named = hits.join(labels.select(F.col("id").alias("offer_id"), "label"), "offer_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hirelattice.functions.text import words
 
@@ -55,5 +55,6 @@ def tfidf(
     n_texts = df.agg(F.count("*")).scalar()
     weighted = counts.join(vocabulary(counts, n_texts, min_df, max_df, max_features), "term").select(
         id_column, "term", (F.col("tf") * F.col("idf")).alias("_w"))
-    norms = weighted.groupBy(id_column).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return weighted.join(norms, id_column).select(id_column, "term", (F.col("_w") / F.col("_norm")).alias("weight"))
+    # the window is over the terms of one text
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_column)))
+    return weighted.select(id_column, "term", (F.col("_w") / norm).alias("weight"))

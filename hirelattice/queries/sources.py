@@ -76,15 +76,17 @@ def a5b(t: Tables):
 
 
 @query("a6_latest_drop", """
-    select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders
-    where o_orderdate = (select max(o_orderdate) from orders where o_orderstatus <> 'P')
-      and o_orderstatus <> 'P'""")
+    select o_orderkey, o_totalprice from orders
+    where o_orderstatus <> 'P' and strftime(o_orderdate, '%Y%m') = (select strftime(max(o_orderdate), '%Y%m') from orders where o_orderstatus <> 'P')""")
 def a6(t: Tables):
-    # each order's file name carries its date; orders of status P come in files without a readable date
-    day = F.date_format("o_orderdate", "yyyyMMdd")
-    named = t("orders").withColumn("file_name", F.when(F.col("o_orderstatus") == "P", "all_jobs_undated.csv.gz")
-                                   .otherwise(F.concat(F.lit("all_jobs_"), day, F.lit("_0844_offers.csv.gz"))))
-    return readers.read_latest_drop(named).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    # one delivery per month; orders of status P come in one without a readable date
+    folder = run_dir(t.spark, "drops")
+    month = F.concat(F.lit("all_jobs_"), F.date_format("o_orderdate", "yyyyMM"), F.lit("01_0844_offers"))
+    rows = t("orders").select("o_orderkey", "o_totalprice",
+                              F.when(F.col("o_orderstatus") == "P", "all_jobs_undated").otherwise(month).alias("delivery"))
+    rows.repartition("delivery").write.partitionBy("delivery").options(header="true", compression="gzip", nullValue=readers.NULL_MARK).csv(folder)
+    paths = readers.latest_drop(t.spark, folder)
+    return readers.read_offers_csv(t.spark, paths, rows.drop("delivery").schema, "strict")
 
 
 def _feed_one(t: Tables):

@@ -11,7 +11,7 @@ CORRUPT = "_corrupt"
 
 
 def read_offers_csv(
-    spark: SparkSession, path: str, schema: T.StructType, dialect: str = "strict", names: list[str] | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType, dialect: str = "strict", names: list[str] | None = None
 ) -> DataFrame:
     """Read delimited offers with an explicit schema (no inference pass over the data).
 
@@ -59,20 +59,19 @@ def schema_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position bigint, column_name string, type_name string")
 
 
-def read_latest_drop(
-    df: DataFrame, file_name: str = "file_name", pattern: str = r"_(\d{8}_\d{4})_", ts_format: str = "yyyyMMdd_HHmm"
-) -> DataFrame:
-    """Keep the rows of the newest dated file; files with an unreadable date come before all others.
+def drops(spark: SparkSession, folder: str, pattern: str = r"_(\d{8}_\d{4})_", ts_format: str = "yyyyMMdd_HHmm") -> DataFrame:
+    """(path, dropped_at) of all files below a folder, from their names alone; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    stamp = F.try_to_timestamp(F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")), F.lit(ts_format))
+    # files with an unreadable date come before all others
+    return files.withColumn("dropped_at", F.coalesce(stamp, F.lit("0001-01-01").cast("timestamp")))
 
-    ``file_name`` names the column that holds each row's file, normally ``_metadata.file_name``.
-    The newest stamp is one value, found by a partial maximum.
-    """
-    stamp = F.coalesce(
-        F.try_to_timestamp(F.nullif(F.regexp_extract(F.col(file_name), pattern, 1), F.lit("")), F.lit(ts_format)),
-        F.lit("0001-01-01").cast("timestamp"),
-    )
-    marked = df.withColumn("_drop", F.struct(stamp.alias("at"), F.col(file_name).alias("name")))
-    return marked.filter(F.col("_drop") == marked.agg(F.max("_drop")).scalar()).drop("_drop")
+
+def latest_drop(spark: SparkSession, folder: str, **options) -> list[str]:
+    """The paths of the newest dated drop: the file names of one delivery."""
+    found = drops(spark, folder, **options)
+    newest = found.filter(F.col("dropped_at") == found.agg(F.max("dropped_at")).scalar())
+    return [r["path"] for r in newest.select("path").orderBy("path").collect()]
 
 
 def parse_id_arrays(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hirelattice.operators.dedup import dedup_rank
-from hirelattice.operators.upsert import VersionedTable, upsert
 
 DELAY = "10 minutes"
 
@@ -59,7 +58,7 @@ def first_wins(stream: DataFrame, keys: list[str], order: list, target: str) ->
     def step(batch: DataFrame, number: int) -> None:
         fresh = dedup_rank(batch, keys, order)
         if number > 0:
-            stored = spark.read.parquet(*[f"{target}/data/batch={i}" for i in range(number)]).select(*keys)
+            stored = spark.read.parquet(f"{target}/data").filter(F.col("batch") < number).select(*keys)
             fresh = fresh.join(stored, keys, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{target}/data/batch={number}")
 
@@ -75,19 +74,30 @@ def enrich(stream: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
 
 
 def upsert_stream(stream: DataFrame, keys: list[str], order: list, target: str, initial: DataFrame | None = None) -> DataFrame:
-    """Upsert every batch into a stored table; version ``n + 1`` is version ``n`` with batch ``n``."""
+    """Upsert every batch into a stored table and return the table as it is afterwards.
+
+    A batch is only added, in a folder of its own number, so its cost does not grow with the table;
+    reading takes the newest batch of each key. ``compact`` folds the batches into one now and then.
+    """
     spark = stream.sparkSession
-    table = VersionedTable(spark, f"{target}/data")
-    empty = initial if initial is not None else spark.createDataFrame([], stream.schema)
-    table.write(empty, 0)
-    done = []
+    base = initial if initial is not None else spark.createDataFrame([], stream.schema)
+    base.write.mode("overwrite").parquet(f"{target}/data/batch=-1")
 
     def step(batch: DataFrame, number: int) -> None:
-        table.write(upsert(table.read(number), batch, keys, order=order), number + 1)
-        done.append(number + 1)
+        dedup_rank(batch, keys, order).write.mode("overwrite").parquet(f"{target}/data/batch={number}")
 
     drain(stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{target}/log"))
-    return table.read(max(done, default=0))
+    return current(spark, f"{target}/data", keys)
+
+
+def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest row of every key of a table stored in numbered batches."""
+    return dedup_rank(spark.read.parquet(path), keys, [F.col("batch").desc()]).drop("batch")
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
+    """Write the current rows as the first batch of a new table; the old one is only read."""
+    current(spark, path, keys).write.mode("overwrite").parquet(f"{target}/batch=-1")
 
 
 def windowed(stream: DataFrame, ts: str, labels: list[str | Column], length: str, slide: str | None = None, delay: str = DELAY):
