@@ -6,8 +6,17 @@ import unicodedata
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# white space outside ASCII and control separators, which Java's \s leaves out
-_SPACES = "\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# all characters that count as white space, Unicode ones included; Java's \\s knows only six of them
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_LOWER, _UPPER, _DIGITS = (
+    "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
+_LATIN = "".join(map(chr, range(0xC0, 0x100)))
+
+
+def _other_than(kept: str) -> str:
+    """A class of all characters but the kept ones. Listed one by one, since the regex engine looks
+    single characters below 256 up in a bit set, but tests ranges and all others in turn."""
+    return "[^" + "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in kept) + "]"
 
 
 def _accent_table() -> tuple[str, str]:
@@ -34,26 +43,27 @@ def strip_accents(text: Column) -> Column:
 
 
 def strip_blank(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{_SPACES}]+|[{_SPACES}]+$", "")
-
-
-def _squeeze(text: Column) -> Column:
-    return strip_blank(F.regexp_replace(text, f"[{_SPACES}]+", " "))
+    return F.trim(text, F.lit(SPACES))
 
 
 def clean_v1(text: Column) -> Column:
     """Lower case, letters with accents only, single blanks."""
-    return _squeeze(F.regexp_replace(F.lower(text), "[^a-zÀ-ÿ]", " "))
+    return F.trim(F.regexp_replace(F.lower(text), _other_than(_LOWER + _LATIN) + "+", " "))
 
 
 def clean_v2(text: Column) -> Column:
     """Lower case without accents, letters, digits and white space; blanks are not squeezed."""
-    return strip_blank(F.regexp_replace(strip_accents(F.lower(text)), f"[^a-z0-9{_SPACES}]", " "))
+    kept = _LOWER + _DIGITS + SPACES
+    low = strip_accents(F.lower(text))
+    # texts within Latin-1, the most, need no test for the wide blanks
+    wide = F.regexp_replace(low, _other_than(kept), " ")
+    narrow = F.regexp_replace(low, _other_than("".join(c for c in kept if ord(c) < 256)), " ")
+    return strip_blank(F.when(text.rlike("[^\\x00-\\xff]"), wide).otherwise(narrow))
 
 
 def clean_v3(text: Column) -> Column:
     """Without accents, letters and apostrophes, single blanks; case is kept."""
-    return _squeeze(F.regexp_replace(strip_accents(text), "[^a-zA-Z']", " "))
+    return F.trim(F.regexp_replace(strip_accents(text), _other_than(_LOWER + _UPPER + "'") + "+", " "))
 
 
 def sanitize_csv(text: Column) -> Column:
@@ -97,7 +107,7 @@ def lemmatize(
     regrouped by the row's own id, so a group is one text.
     """
     special = {"dater": "data"} if special is None else special
-    pieces = F.split(strip_blank(clean_v2(F.col(text_column))), f"[{_SPACES}]+")
+    pieces = F.split(clean_v2(F.col(text_column)), f"[{SPACES}]+")
     rows = df.select(id_column, F.posexplode(pieces).alias("pos", "word"))
     stop = stopwords.select(F.col("word")).filter("word is not null").distinct()
     rows = rows.filter("word <> '' and not word rlike '^[0-9]+$'").join(stop, "word", "left_anti").join(lemmas.select("word", "lemma"), "word", "left")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hirelattice.operators.dedup import dedup_rank
 from hirelattice.operators.tokens import exploded, not_in, split_tokens, token_counts
+from hirelattice.session import cut
 
 
 def _domain_tokens(domains: DataFrame, stopwords: DataFrame) -> DataFrame:
@@ -71,8 +72,9 @@ def domain_match(
     Ties fall to the lowest offer id, then the lowest domain id.
     """
     named = domains.select("id_domaine", "nom_domaine")
-    sector = scored_matches(domains, offers, "sector", stopwords)
-    desc = scored_matches(domains, offers, "description", stopwords)
+    # both are read several times below
+    sector = cut(scored_matches(domains, offers, "sector", stopwords))
+    desc = cut(scored_matches(domains, offers, "description", stopwords))
     texts = offers.select("id_local", "sector", "description")
     ws, wd = (F.lit(w) for w in weights)
 

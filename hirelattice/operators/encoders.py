@@ -21,17 +21,20 @@ class HashingEncoder:
         self._bucket: dict[str, int] = {}
 
     def _of(self, word: str) -> int:
-        if word not in self._bucket:
+        bucket = self._bucket.get(word)
+        if bucket is None:
             if len(self._bucket) > 500_000:
                 self._bucket.clear()
-            self._bucket[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
-        return self._bucket[word]
+            bucket = self._bucket[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
+        return bucket
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
-        return np.stack([
-            np.bincount([self._of(w) for w in WORD.findall(t.lower())] or [0], minlength=self.dim).astype(np.float64)
-            * (1.0 if WORD.search(t.lower()) else 0.0)
-            for t in texts])
+        out = np.zeros((len(texts), self.dim))
+        for row, text in zip(out, texts):
+            buckets = [self._of(w) for w in WORD.findall(text.lower())]
+            if buckets:
+                row += np.bincount(buckets, minlength=self.dim)
+        return out
 
 
 def encode(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hirelattice.functions.geo import haversine_km
 from hirelattice.operators.dedup import dedup_rank
+from hirelattice.session import cut
 
 # name levels in rank order; the department code comes second, between the two first
 NAME_LEVELS = {"name": "ville", "dept": "departement", "region": "region", "country": "pays"}
@@ -163,9 +164,10 @@ def place_match(offers: DataFrame, places: DataFrame, radius_km: float = 10.0, p
     locations = marked.select("loc").filter("loc is not null").distinct()
     points = marked.select("loc", "lat", "lon").filter("lat is not null and lon is not null").distinct()
 
-    hits = _text_hits(locations, keyed)
+    # the hits are read by both later branches, the near places by the test for what is left
+    hits = cut(_text_hits(locations, keyed))
     by_text = _best_by_text(hits, keyed)
-    near = _nearest(_nearby(points, dims, radius_km), "near_id")
+    near = cut(_nearest(_nearby(points, dims, radius_km), "near_id"))
     same_point = lambda a, b: (
         a["loc"].eqNullSafe(b["loc"]) & (a["lat"] == b["lat"]) & (a["lon"] == b["lon"]))
     open_points = points.join(near, same_point(points, near), "left_anti")

@@ -22,6 +22,8 @@ from hirelattice.session import cut
 
 BLOCK = 4096
 MAX_PIVOTS = 2048
+# up to this size all blocks of the corpus are compared, which is quicker than dividing it
+UNDIVIDED = 50_000
 # slack of the cell bounds, far above the rounding of the distances
 SLACK = 1e-5
 # scores are ranked as rounded here, so that rounding noise cannot order equal vectors
@@ -73,7 +75,7 @@ class Cells:
 
 
 def divide(corpus: DataFrame, n_pivots: int | None = None) -> Cells:
-    """Assign every vector to its nearest pivot; a corpus of one block stays one cell.
+    """Assign every vector to its nearest pivot; a small corpus stays one cell of several blocks.
 
     Pivots are rows picked by a hash of the id, at most ``MAX_PIVOTS``; with them, the counts and the
     radii, the driver holds a bounded number of vectors.
@@ -81,7 +83,7 @@ def divide(corpus: DataFrame, n_pivots: int | None = None) -> Cells:
     spark = corpus.sparkSession
     n = corpus.count()
     if n_pivots is None:
-        n_pivots = 1 if n <= BLOCK else math.ceil(math.sqrt(n))
+        n_pivots = 1 if n <= UNDIVIDED else math.ceil(math.sqrt(n))
     if n_pivots <= 1 or n <= 1:
         return Cells(corpus.withColumn("cell", F.lit(0)), None, np.array([float(n)]), np.array([np.inf]))
     picked = corpus.orderBy(F.xxhash64("id"), "id").limit(min(n_pivots, MAX_PIVOTS)).collect()

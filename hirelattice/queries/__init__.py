@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelattice.plans.bindings import duck_with, spark_binding
-from hirelattice.session import prepare
+from hirelattice.session import prepare, spread
 
 SECTIONS = (
     "sources", "filters", "joins", "matchers", "aggregates", "windows", "scalars",
@@ -17,6 +17,10 @@ SECTIONS = (
 )
 
 
+# tables of long texts, where the work per row outweighs moving the rows
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 @dataclass(frozen=True)
 class Entry:
     run: Callable[["Tables"], DataFrame]
@@ -34,7 +38,8 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        scan = self.spark.read.parquet(self.path(name))
+        return spread(scan) if name in TEXT_TABLES else scan
 
     def bind(self, name: str) -> DataFrame:
         return spark_binding(self, name)

@@ -63,3 +63,13 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a scan that has fewer splits than the session has cores.
+
+    For work that costs much per row, such as long texts in a file that cannot be split. ``scan`` must
+    be a plain read; a scan with enough splits is left as it is, so a large table is never shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
