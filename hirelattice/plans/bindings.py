@@ -118,11 +118,14 @@ BINDINGS: dict[str, str] = {
         from nation""",
     "dim_metier": "select n_nationkey as id_metier, n_name as nom from nation",
     "rome_softskill_raw": """
-        select case n.n_regionkey when 0 then '1-URGENT' when 1 then '2-HIGH' when 2 then '3-MEDIUM'
-                    when 3 then '4-NOT SPECIFIED' else '5-LOW' end as code_rome,
-               s.s_name as summary, concat('about ', s.s_name) as details, s.s_acctbal as score
-        from supplier s join nation n on s.s_nationkey = n.n_nationkey""",
-    "dim_softskill": "select s_suppkey as id_softskill, s_name as summary, concat('about ', s_name) as details from supplier",
+        select case p_type when 'PROMO' then '1-URGENT' when 'ECONOMY' then '2-HIGH' when 'STANDARD' then '3-MEDIUM'
+                    when 'SMALL' then '4-NOT SPECIFIED' else '5-LOW' end as code_rome,
+               p_brand as summary, concat('about ', p_brand) as details, p_retailprice as score
+        from part""",
+    "dim_softskill": """
+        select distinct cast(substr(p_brand, 7) as bigint) as id_softskill, p_brand as summary,
+               concat('about ', p_brand) as details
+        from part""",
     # domains: the benchmark items are the labels' texts
     "domains": "select item_id as id_domaine, text as nom_domaine from benchmark",
     # offers whose sector text is shared by several offers

@@ -9,16 +9,16 @@ from hirelattice.queries import Tables, query
 
 # candidates are customers, who know the parts they bought with status F; pairs are their other orders
 CTES = """
-    known as (select distinct o_custkey as id_candidat, l_partkey % 200 as id_competence from orders join lineitem on o_orderkey = l_orderkey where o_orderstatus = 'F'),
+    known as (select distinct o_custkey as id_candidat, l_partkey as id_competence from orders join lineitem on o_orderkey = l_orderkey where o_orderstatus = 'F'),
     pairs as (select o_custkey as id_candidat, o_orderkey as id_offre from orders where o_orderstatus <> 'F'),
-    need as (select distinct l_orderkey as id_offre, l_partkey % 200 as id_competence from lineitem),
-    teach as (select distinct l_suppkey as id_formation, l_partkey % 200 as id_competence from lineitem),
+    need as (select distinct l_orderkey as id_offre, l_partkey as id_competence from lineitem),
+    teach as (select distinct l_suppkey as id_formation, l_partkey as id_competence from lineitem),
     gap as (select p.*, n.id_competence from pairs p join need n using (id_offre)
             anti join known k on p.id_candidat = k.id_candidat and n.id_competence = k.id_competence)"""
 
 
 def _inputs(t: Tables):
-    skill = (F.col("l_partkey") % 200).alias("id_competence")
+    skill = F.col("l_partkey").alias("id_competence")
     li, o = t("lineitem"), t("orders")
     need = li.select(F.col("l_orderkey").alias("id_offre"), skill).distinct()
     mine = o.select(F.col("o_custkey").alias("id_candidat"), F.col("o_orderkey").alias("id_offre"), "o_orderstatus")

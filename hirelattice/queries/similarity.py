@@ -24,10 +24,11 @@ def _top(k: int, self_too: bool = True, key: str = "round(sim, 9) desc") -> str:
 
 
 @query("k2_similarity_stats", f"""with {PAIRS}
-    select query_id, round(avg(sim), 6) as mean, round(stddev_pop(sim), 6) as std, round(max(sim), 6) as best from p group by 1""")
+    select query_id, round(avg(sim), 6) + 0.0 as mean, round(stddev_pop(sim), 6) as std, round(max(sim), 6) as best from p group by 1""")
 def k2(t: Tables):
     v = t.bind("vectors")
-    return sim.similarity_stats(v, v).select("query_id", *[F.round(c, 6).alias(c) for c in ("mean", "std", "best")])
+    return sim.similarity_stats(v, v).select(
+        "query_id", (F.round("mean", 6) + 0.0).alias("mean"), F.round("std", 6).alias("std"), F.round("best", 6).alias("best"))
 
 
 def _hits(t: Tables, k: int, **options):
@@ -52,8 +53,8 @@ def k3c(t: Tables):
 
 @query("k4_knn_euclidean", """
     with v as (select id, cast(vec as double[]) as v from vectors),
-    p as (select a.id as query_id, b.id as offer_id, list_distance(a.v, b.v) as d from v a cross join v b),
-    h as (select query_id, offer_id, d, row_number() over (partition by query_id order by round(d, 7), offer_id) as rank from p qualify rank <= 3)
+    p as (select a.id as query_id, b.id as offer_id, round(list_distance(a.v, b.v), 9) as d from v a cross join v b),
+    h as (select query_id, offer_id, d, row_number() over (partition by query_id order by d, offer_id) as rank from p qualify rank <= 3)
     select query_id, rank, offer_id, round(d, 5) as distance from h""")
 def k4(t: Tables):
     return _hits(t, 3, metric="euclidean").withColumn("distance", F.round("distance", 5))
