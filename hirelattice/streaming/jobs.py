@@ -154,7 +154,9 @@ def sustained_stream(steps: DataFrame, key: str, minutes: int) -> DataFrame:
     """``sustained`` on a stream of steps: a run is reported once, as soon as it is long enough.
 
     Spark allows no such stateful function behind an aggregate of the same stream, so the steps come
-    from the files that the stream of ``condition_steps`` writes.
+    from the files that the stream of ``condition_steps`` writes. Whole batches of those files must be
+    read at a time, so their reader has no limit of files; late steps cannot come, as the watermark
+    has closed them.
     """
     kind = steps.schema[key].dataType
     out = T.StructType([T.StructField(key, kind), T.StructField("started", T.TimestampType()), T.StructField("fired", T.TimestampType())])
@@ -165,7 +167,8 @@ def sustained_stream(steps: DataFrame, key: str, minutes: int) -> DataFrame:
         started, fired = state.get if state.exists else (None, False)
         rows = []
         # the steps of one batch arrive in no order; there is at most one per key and minute
-        steps_now = pd.concat(list(batches), ignore_index=True).sort_values("at")
+        parts = [part for part in batches if len(part)]
+        steps_now = pd.concat(parts, ignore_index=True).sort_values("at")
         for at, on in zip(steps_now["at"], steps_now["is_on"]):
             now = int(pd.Timestamp(at).value // 1000)
             if not on:
