@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hirelattice.session import cut
+
 # Weights of the composite quality and of the combined score, time scale, threshold.
 QUALITY_WEIGHTS = {"mean_similarity": 0.4, "diversity": 0.3, "coverage": 0.2, "computation_time": 0.1}
 SCORE_WEIGHTS = {"text": 0.6, "skills": 0.3, "experience": 0.1}
@@ -87,18 +89,17 @@ def similarity_summary(best: DataFrame, threshold: float = QUALITY_THRESHOLD) ->
 
 def diversity(hits: DataFrame, n_corpus: Column) -> DataFrame:
     """Distinct recommended offers over the corpus size, and the average similarity."""
-    distinct = hits.select("offer_id").distinct().agg(F.count("*").alias("_d"))
-    average = hits.agg(F.avg("similarity")).scalar()
-    return distinct.select((F.col("_d") / n_corpus).alias("diversity"), average.alias("avg_similarity"))
+    return hits.agg((F.count_distinct("offer_id") / n_corpus).alias("diversity"), F.avg("similarity").alias("avg_similarity"))
 
 
 def weighted_precision_recall(votes: DataFrame) -> DataFrame:
     """Precision and recall per true label, averaged with the labels' frequencies; ``votes`` is (label, predicted)."""
-    cells = votes.groupBy("label", "predicted").agg(F.count("*").alias("n"))
+    # a small table, read three times
+    cells = cut(votes.groupBy("label", "predicted").agg(F.count("*").alias("n")))
     support = cells.groupBy("label").agg(F.sum("n").alias("support"), F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)).alias("tp"))
     called = cells.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("called"))
     rows = support.join(called, "label", "left")
-    weight = F.col("support") / votes.agg(F.count("*")).scalar()
+    weight = F.col("support") / cells.agg(F.sum("n")).scalar()
     per = rows.select(weight.alias("w"), F.coalesce(F.col("tp") / F.col("called"), F.lit(0.0)).alias("p"), (F.col("tp") / F.col("support")).alias("r"))
     return per.agg(F.sum(F.col("w") * F.col("p")).alias("precision"), F.sum(F.col("w") * F.col("r")).alias("recall"))
 

@@ -127,17 +127,21 @@ def _probes(queries: DataFrame, cells: Cells, choose) -> DataFrame:
 
 def _compare(probes: DataFrame, cells: Cells, work, schema: str) -> DataFrame:
     """Run ``work(query ids, query matrix, corpus ids, corpus matrix)`` on blocks of opened cells."""
-    spark = probes.sparkSession
-    loads = probes.groupBy("cell").agg(F.count("*").alias("nq"))
-    sizes = spark.createDataFrame(
-        [(i, int(n)) for i, n in enumerate(cells.counts) if n > 0], "cell int, nc long")
-    # one row per cell, at most MAX_PIVOTS
-    plan = F.broadcast(sizes.join(loads, "cell").select(
-        "cell", F.ceil(F.col("nc") / BLOCK).cast("int").alias("cs"), F.ceil(F.col("nq") / BLOCK).cast("int").alias("qs")))
     part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = probes.join(plan, "cell").select("cell", part(F.col("qs")).alias("q"), spread(F.col("cs")).alias("c"), "id", "vec")
-    right = cells.rows.join(plan, "cell").select("cell", spread(F.col("qs")).alias("q"), part(F.col("cs")).alias("c"), "id", "vec")
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    if cells.pivots is None:
+        many = blocks(probes.agg(F.count("*")).scalar())
+        left, right = (df.withColumns({"cs": blocks(F.lit(float(cells.counts[0]))), "qs": many}) for df in (probes, cells.rows))
+    else:
+        loads = probes.groupBy("cell").agg(F.count("*").alias("nq"))
+        sizes = probes.sparkSession.createDataFrame(
+            [(i, int(n)) for i, n in enumerate(cells.counts) if n > 0], "cell int, nc long")
+        # one row per cell, at most MAX_PIVOTS
+        plan = F.broadcast(sizes.join(loads, "cell").select("cell", blocks(F.col("nc")).alias("cs"), blocks(F.col("nq")).alias("qs")))
+        left, right = probes.join(plan, "cell"), cells.rows.join(plan, "cell")
+    left = left.select("cell", part(F.col("qs")).alias("q"), spread(F.col("cs")).alias("c"), "id", "vec")
+    right = right.select("cell", spread(F.col("qs")).alias("q"), part(F.col("cs")).alias("c"), "id", "vec")
     names = [f.split()[0] for f in schema.split(", ")]
 
     def block(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hirelattice.session import broadcast_if_small
+
 
 def assemble_fact(raw: DataFrame, matches: list[DataFrame], key: str = "id_local") -> DataFrame:
     """Left-join every match table to the offers on the local id.
@@ -58,19 +60,26 @@ def join_values(df: DataFrame, keys: list[str], outputs: dict[str, tuple[str, st
 
 def wide_table(
     fact: DataFrame, lookups: list[tuple[DataFrame, str]],
-    bridges: list[tuple[DataFrame, str, dict[str, tuple[str, str]]]], naive: bool = False,
+    bridges: list[tuple[DataFrame, str, dict[str, tuple[str, str]]]], naive: bool = False, id_column: str = "id_offre",
 ) -> DataFrame:
     """The fact with its dimension attributes and each bridge as delimited strings.
 
     Every bridge is reduced to one row per key before it is joined, so the bridges do not multiply
-    each other's rows. ``naive`` joins first and groups last; it is kept as the measure for that.
+    each other's rows. Bridges on the offer id go first and share one shuffle of the fact; the others
+    hang on small code lists and are broadcast if a count shows them to be small. ``naive`` joins
+    first and groups last; it is kept as the measure for that.
     """
     out = fact
+    if not naive:
+        for rows, key, outputs in bridges:
+            if key == id_column:
+                out = out.join(join_values(rows, [key], outputs), key, "left")
     for dim, key in lookups:
         out = out.join(dim, key, "left")
     if not naive:
         for rows, key, outputs in bridges:
-            out = out.join(join_values(rows, [key], outputs), key, "left")
+            if key != id_column:
+                out = out.join(broadcast_if_small(join_values(rows, [key], outputs)), key, "left")
         return out
     plain = out.columns
     joined: dict[str, tuple[str, str]] = {}

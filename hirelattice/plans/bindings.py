@@ -150,14 +150,14 @@ BINDINGS: dict[str, str] = {
 DIALECT_BINDINGS: dict[str, tuple[str, str]] = {
     # skill labels of one and two words taken from the benchmark texts
     "skill_labels": (
-        """select cast(row_number() over (order by skill) as bigint) as id_competence, skill from (
+        """select cast(conv(left(md5(skill), 12), 16, 10) as bigint) as id_competence, skill from (
              select distinct skill from (
                select explode(split(lower(text), ' ')) as skill from benchmark
                union all
                select concat(w[p], ' ', w[p + 1]) as skill from (
                  select split(lower(text), ' ') as w, posexplode(split(lower(text), ' ')) as (p, x) from benchmark)
                where p + 1 < size(w)) where length(skill) > 2)""",
-        """select cast(row_number() over (order by skill) as bigint) as id_competence, skill from (
+        """select cast('0x' || left(md5(skill), 12) as bigint) as id_competence, skill from (
              select distinct skill from (
                select unnest(string_split(lower(text), ' ')) as skill from benchmark
                union all

@@ -88,15 +88,15 @@ def _wide(t: Tables, naive: bool = False):
     def role(suffix):
         return days.select(F.col("id_date").alias(f"id_date_{suffix}"), *[F.col(c).alias(f"{c}_{suffix}") for c in parts])
 
-    fact = t.bind("star_offers")
-    rome = fact.select("id_offre", F.lower("code_rome").alias("_code")).join(
-        t.bind("dim_rome").select("id_rome", F.lower("code_rome").alias("_code")), "_code").select("id_offre", "id_rome")
-    fact = fact.join(rome, "id_offre", "left").drop("code_rome").withColumns({
-        "id_date_creation": F.col("created"), "id_date_modification": F.date_add("created", 10)}).drop("created")
+    # codes are matched by their lower case; a code that is not listed has no id
+    fact = t.bind("star_offers").withColumns({
+        "_code": F.lower("code_rome"), "id_date_creation": F.col("created"), "id_date_modification": F.date_add("created", 10)})
+    rome = t.bind("dim_rome").select(F.lower("code_rome").alias("_code"), "id_rome")
     wide = star.wide_table(
-        fact, [(t.bind("dim_company"), "id_entreprise"), (role("creation"), "id_date_creation"),
-               (role("modification"), "id_date_modification")], _bridges(t), naive)
-    return wide.drop("id_date_creation", "id_date_modification")
+        fact.drop("code_rome", "created"),
+        [(rome, "_code"), (role("creation"), "id_date_creation"), (role("modification"), "id_date_modification"),
+         (t.bind("dim_company"), "id_entreprise")], _bridges(t), naive)
+    return wide.drop("_code", "id_date_creation", "id_date_modification")
 
 
 @query("d1_wide_table", WIDE_SQL)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app: str = "hirelattice", master: str | None = None, **conf: str) -> SparkSession:
@@ -73,3 +73,11 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Ask for a broadcast only after counting that ``df`` is small; else let Spark choose the join.
+
+    For the results of aggregates, whose size Spark cannot tell before it has shuffled the other side.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
