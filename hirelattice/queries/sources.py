@@ -48,10 +48,12 @@ def a3(t: Tables):
 
 
 @query("a4_parquet_schema_report", """
-    select cast(row_number() over () as bigint) as position, column_name,
+    with d as (select cast(row_number() over () as bigint) as position, column_name,
            case when column_type in ('BIGINT', 'INTEGER') then 'NUMBER' when column_type = 'DOUBLE' then 'FLOAT'
                 when column_type like 'TIMESTAMP%' then 'TIMESTAMP' else 'VARCHAR' end as type_name
-    from (describe lineitem)""")
+    from (describe lineitem)),
+    n as (unpivot (select count(columns(*)) from lineitem) on columns(*) into name column_name value n_known)
+    select d.*, n.n_known from d join n using (column_name)""")
 def a4(t: Tables):
     return readers.schema_report(t("lineitem"))
 
