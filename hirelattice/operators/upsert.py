@@ -76,8 +76,8 @@ def not_found(target: DataFrame, requested: DataFrame, key: str) -> DataFrame:
 class VersionedTable:
     """A stored table whose changes are written beside it: a path being read is never written.
 
-    Version ``n`` is complete once its folder holds Spark's success mark, so a failed write is
-    simply written again, and readers see the last whole version.
+    The caller numbers the versions and starts one only from a finished one, so a write that failed
+    is simply done again under its number.
     """
 
     def __init__(self, spark: SparkSession, base: str):

@@ -81,7 +81,8 @@ def upsert_stream(stream: DataFrame, keys: list[str], order: list, target: str,
     """
     spark = stream.sparkSession
     base = initial if initial is not None else spark.createDataFrame([], stream.schema)
-    base.write.mode("overwrite").parquet(f"{target}/data/batch=-1")
+    # the first run lays the base; a later run on the same target goes on from what is there
+    base.write.mode("ignore").parquet(f"{target}/data/batch=-1")
 
     def step(batch: DataFrame, number: int) -> None:
         dedup_rank(batch, keys, order).write.mode("overwrite").parquet(f"{target}/data/batch={number}")
