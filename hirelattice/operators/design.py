@@ -28,11 +28,13 @@ def suggest_training(missing: DataFrame, training_skills: DataFrame, top: int =
     worked out once per distinct set of skills.
     """
     sets = missing.groupBy("id_candidat", "id_offre").agg(F.array_sort(F.collect_set("id_competence")).alias("_set"))
-    distinct = sets.select("_set").distinct()
-    covered = distinct.select("_set", F.explode("_set").alias("id_competence")).join(training_skills, "id_competence")
-    counts = covered.groupBy("_set", "id_formation").agg(F.count("*").alias("covered"))
-    best = dedup_rank(counts, ["_set"], [F.col("covered").desc(), F.col("id_formation").asc()], keep=top, rank="rank")
-    return sets.join(best, "_set").drop("_set")
+    # a set goes by the digest of its sorted ids, which is shorter to shuffle and sort than the set
+    sets = sets.withColumn("_key", F.unhex(F.md5(F.array_join("_set", ","))))
+    distinct = sets.select("_key", "_set").dropDuplicates(["_key"])
+    covered = distinct.select("_key", F.explode("_set").alias("id_competence")).join(training_skills, "id_competence")
+    counts = covered.groupBy("_key", "id_formation").agg(F.count("*").alias("covered"))
+    best = dedup_rank(counts, ["_key"], [F.col("covered").desc(), F.col("id_formation").asc()], keep=top, rank="rank")
+    return sets.drop("_set").join(best, "_key").drop("_key")
 
 
 def skill_weight(offers: DataFrame, offer_skills: DataFrame, domain: str) -> DataFrame:
