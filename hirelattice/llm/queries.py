@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hirelattice.llm import minhash, rollup, sharding, urlfilter
+from hirelattice.llm import huffman, minhash, packing, quality, rollup, sharding, urlfilter
 from hirelattice.llm.common import read_table, stored
 from hirelattice.session import prepare, run_dir
 
@@ -29,6 +29,30 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(pages, rules).drop("url")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read_table(prepare(spark), sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=0)
+    return packed.select("doc_id", "start", "length", packing.wide_crc32().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(prepare(spark), "token-files")
+    lengths = huffman.write_tokens(read_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end=2)
+    read = huffman.read_tokens(spark.read.schema(huffman.BLOCK_SCHEMA).parquet(path), lengths)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches: all documents come in, exact copies but the first of each text go, the counts
     of what is left are revised under a second tokenizer version, and the deletion is delivered once more."""
@@ -52,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
     "op5_url_filter": op5_url_filter,
+    "op7_packing": op7_packing,
+    "op8_quality": op8_quality,
+    "op9_huffman": op9_huffman,
     "op10_token_counts": op10_token_counts,
 }
 

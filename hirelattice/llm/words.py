@@ -118,6 +118,6 @@ def shingles(words: Words, width: int = 5, whole: bool = True) -> tuple[np.ndarr
     out = np.zeros(len(at), U64)
     for k in range(width):
         have = left > k
-        part = h[np.minimum(at + k, len(h) - 1)] * U64((0xA24BAED4963EE407 * (2 * k + 1)) & 0xFFFFFFFFFFFFFFFF) if len(h) else out
-        out += np.where(have, part, U64(0))
+        part = h[np.minimum(at + k, len(h) - 1)] if len(h) else out
+        out = out * U64(0xA24BAED4963EE407) + np.where(have, part, U64(0))
     return mix(out + np.minimum(left, width).astype(U64), 7), first
