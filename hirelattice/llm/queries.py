@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hirelattice.llm import covertree, huffman, minhash, packing, quality, rollup, sharding, urlfilter
+from hirelattice.llm import covertree, huffman, minhash, packing, passages, quality, rollup, sharding, urlfilter
 from hirelattice.llm.common import read_table, stored
 from hirelattice.session import prepare, run_dir
 
@@ -23,6 +23,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(prepare(spark), sf_dir, "documents"))
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeat_report(read_table(prepare(spark), sf_dir, "documents"))
+
+
 def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicate_vectors(read_table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -79,6 +83,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
+    "op3_substring": op3_substring,
     "op4_cover_tree": op4_cover_tree,
     "op5_url_filter": op5_url_filter,
     "op7_packing": op7_packing,

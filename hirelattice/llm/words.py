@@ -18,7 +18,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base**i modulo 2**64 for i < n at least, kept per worker."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
@@ -100,8 +100,8 @@ def words_of(column: pa.Array, limit: int = 1 << 20) -> Iterator[Words]:
         else:
             start = end = np.zeros(0, np.int64)
         run = np.zeros(len(piece) + 1, U64)
-        np.cumsum((piece.astype(U64) + U64(1)) * _powers(_BASE, len(piece) + 1)[:len(piece)], out=run[1:])
-        value = mix((run[end] - run[start]) * _powers(_INVERSE, len(piece) + 1)[start])
+        np.cumsum((piece.astype(U64) + U64(1)) * powers(_BASE, len(piece) + 1)[:len(piece)], out=run[1:])
+        value = mix((run[end] - run[start]) * powers(_INVERSE, len(piece) + 1)[start])
         yield Words(rows, piece, value, start, end, np.searchsorted(start, at), at)
 
 
