@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hirelattice.llm import covertree, huffman, minhash, packing, passages, quality, rollup, sharding, urlfilter
+from hirelattice.llm import covertree, decontaminate, huffman, minhash, packing, passages, quality, rollup, sharding, urlfilter
 from hirelattice.llm.common import read_table, stored
 from hirelattice.session import prepare, run_dir
 
@@ -37,6 +37,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(pages, rules).drop("url")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path(name: str) -> str:
     """Where a public vocabulary file lies on every machine of the cluster."""
     import public_tokenizers
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring": op3_substring,
     "op4_cover_tree": op4_cover_tree,
     "op5_url_filter": op5_url_filter,
+    "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_huffman": op9_huffman,
