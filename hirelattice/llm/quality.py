@@ -21,7 +21,7 @@ from hirelattice.llm.words import buffers, slices
 BLOCK, CHUNK_BLOCKS, CHUNK_STEP = 64, 8, 7
 DIM, WIDTH, FILTERS, HIDDEN, HOP = 6, 8, 24, 24, 2
 PAD = 256
-TRAIN_ROWS, TRAIN_BYTES, EPOCHS = 2560, 3584, 10
+TRAIN_ROWS, TRAIN_BYTES, STEPS = 2560, 3584, 540
 
 Network = dict[str, np.ndarray]
 
@@ -108,8 +108,8 @@ def _gradient(net: Network, x: dict[str, np.ndarray], codes: np.ndarray, members
     return out
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = 7, batch: int = 48, rate: float = 0.004) -> Network:
-    """Adam over the given sample; the last steps are averaged. Without texts, or with one class, the net stays near 0.5."""
+def fit(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int = 7, batch: int = 48, rate: float = 0.004) -> Network:
+    """About ``steps`` steps of Adam over the given sample, whatever its size; the last ones are averaged. Without texts, or with one class, the net stays near 0.5."""
     net, draw = fresh(seed), np.random.default_rng(seed)
     if not texts:
         return net
@@ -117,8 +117,8 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     first = {k: np.zeros_like(v) for k, v in net.items()}
     second = {k: np.zeros_like(v) for k, v in net.items()}
     mean = {k: np.zeros_like(v) for k, v in net.items()}
-    step, steps = 0, epochs * -(-len(texts) // batch)
-    kept = 0
+    epochs = -(-steps // -(-len(texts) // batch))
+    step, steps, kept = 0, epochs * -(-len(texts) // batch), 0
     for _ in range(epochs):
         order = draw.permutation(len(texts))
         for low in range(0, len(order), batch):
