@@ -20,7 +20,7 @@ from hirelattice.llm.words import U64, Words, shingles, words_of
 
 WINDOW, STEP = 32, 8
 RANK, POWER = 128, 2
-NEAR = 0.35  # cosine of a candidate
+NEAR = 0.42  # cosine of a candidate: a window that holds half of a passage has more
 COVERED, HALF, ANSWER = 0.75, 0.5, 0.8
 # items of fewer words are looked up as whole runs, and those of fewer than TINY as whole documents
 SHORT, TINY = 12, 5
@@ -203,14 +203,19 @@ class Index:
         some = np.flatnonzero(known[high] - known[low] >= NEAR * NEAR * whole)
         for part in range(0, len(some), 2048):
             at = some[part:part + 2048]
+            spot = low[at][:, None] + np.arange(WINDOW)
+            inside = spot < high[at][:, None]
+            spot = np.minimum(spot, len(words.hash) - 1)
+            word = np.where(inside, found[spot], -1)
             near = np.zeros((len(at), self.space.shape[1]), np.float32)
             for k in range(WINDOW):
-                spot = low[at] + k
-                inside = np.flatnonzero(spot < high[at])
-                word = found[spot[inside]]
-                have = word >= 0
-                near[inside[have]] += self.space[word[have]] * self.idf[word[have]][:, None]
-            cosine = (near @ self.latent.T) / np.sqrt(np.maximum(whole[at], 1e-12))[:, None].astype(np.float32)
+                have = np.flatnonzero(word[:, k] >= 0)
+                near[have] += self.space[word[have, k]] * self.idf[word[have, k]][:, None]
+            # a word that occurs n times adds n times its weight, so n * n squares
+            hashes = words.hash[spot]
+            times = ((hashes[:, :, None] == hashes[:, None, :]) & inside[:, None, :]).sum(axis=2)
+            norm = np.sqrt(np.where(inside, weight[spot] ** 2 * times, 0).sum(axis=1))
+            cosine = (near @ self.latent.T) / np.maximum(norm, 1e-6)[:, None].astype(np.float32)
             rows, items = np.nonzero(cosine >= NEAR)
             done: dict[tuple[int, int], bool] = {}
             for r, i in zip(rows.tolist(), items.tolist()):
@@ -222,6 +227,9 @@ class Index:
     def _confirmed(self, item: Item, words: Words, text: int, low: int) -> bool:
         n = len(item.words)
         around = words.hash[max(words.first[text], low - n):min(words.first[text + 1], low + WINDOW + n)]
+        # no subsequence has more of the passage's words than occur there at all
+        if np.isin(item.words, around).sum() < HALF * n:
+            return False
         share = common_subsequence(item.words, around) / n
         if share >= COVERED or share < HALF:
             return share >= COVERED
