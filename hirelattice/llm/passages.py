@@ -149,8 +149,8 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     ends = F.inline(F.array(end("doc", "low", "low_key"), end("doc", "high", "high_key"), end("owner", "low - shift", "low_key"), end("owner", "high - shift", "high_key")))
     asked = runs.select(ends).distinct().groupBy(F.col("d").alias("doc_id")).agg(F.collect_list(F.struct(F.col("p").alias("pos"), F.col("k").alias("key"))).alias("asked"))
     told = texts.join(asked, "doc_id").select("doc_id", F.explode(F.arrow_udf(_margins, "array<struct<pos:int,back:binary,ahead:binary>>")("text", "asked")).alias("m"))
-    margins = stored(told.select("doc_id", "m.pos", "m.back", "m.ahead"), "margins").dropDuplicates(["doc_id", "pos"])
-    margins = stored(margins, "margins-once")
+    # rows that share an id and text tell the same again
+    margins = stored(told.groupBy("doc_id", "m.pos").agg(F.max("m.back").alias("back"), F.max("m.ahead").alias("ahead")), "margins")
     back = lambda doc, pos, name: margins.select(F.col("doc_id").alias(doc), F.col("pos").alias(pos), F.col("back").alias(name))
     ahead = lambda doc, pos, name: margins.select(F.col("doc_id").alias(doc), F.col("pos").alias(pos), F.col("ahead").alias(name))
     placed = runs.withColumns({"own_low": F.col("low") - F.col("shift"), "own_high": F.col("high") - F.col("shift")})
