@@ -24,6 +24,8 @@ PLACES = BANDS * ROWS
 # of the 240 one-bit marks of two texts, those with similarity 0.75 differ in 30 on average with a
 # deviation of 5.1; the bound is six deviations off, so it loses fewer than one link in 10**8
 MOST_DIFFERENT = 61
+# of the 240 places themselves 60 differ on average with a deviation of 6.7 (of SuperMinHash, less)
+MOST_UNEQUAL = 88
 
 
 def superminhash(items: np.ndarray, first: np.ndarray, places: int = PLACES) -> np.ndarray:
@@ -107,14 +109,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             marks = np.zeros((len(places), 256), np.uint8)
             marks[:, :PLACES] = (mix(places, 21) & U64(1)).astype(np.uint8)
             marks = np.packbits(marks, axis=1).view(U64)
+            short = (mix(places, 22) & U64(255)).astype(np.uint8)
             bands = np.zeros((len(places), BANDS), U64)
             for r in range(ROWS):
                 bands = mix(bands * U64(3) + places[:, r::ROWS], 31)
             bands = mix(bands + np.arange(BANDS, dtype=U64), 41)
             ids = batch.column("doc_id").slice(words.rows.start, len(first) - 1)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(np.diff(first)), pa.array(one), pa.array(two), _lists(marks, 4), _lists(bands, BANDS)],
-                names=["doc_id", "n_shingles", "k1", "k2", "marks", "bands"])
+                [ids, pa.array(np.diff(first)), pa.array(one), pa.array(two), _lists(marks, 4), _lists(short.view(U64), PLACES // 8), _lists(bands, BANDS)],
+                names=["doc_id", "n_shingles", "k1", "k2", "marks", "places", "bands"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +138,14 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(node), lists], names=["node", "items"]).filter(pa.array(asked))
 
 
+def _unequal(a: str, b: str):
+    """How many bytes of two arrays of longs differ: each byte's bits are gathered in its lowest one."""
+    bits = f"zip_with({a}, {b}, (x, y) -> x ^ y)"
+    for shift in (4, 2, 1):
+        bits = f"transform({bits}, x -> x | shiftrightunsigned(x, {shift}))"
+    return F.expr(f"aggregate({bits}, 0, (n, x) -> n + bit_count(x & {0x0101010101010101}L))")
+
+
 def _confirmed(documents: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The ``pairs(a, b)`` whose full sets have at least three quarters of their union in common."""
     pairs = stored(pairs, "pairs")
@@ -154,9 +165,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     component is null and which are kept. Rows that share an id and a set are one document.
     """
     sketch = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _sketch, "doc_id long, n_shingles long, k1 long, k2 long, marks array<long>, bands array<long>"), "sketch")
+        _sketch, "doc_id long, n_shingles long, k1 long, k2 long, marks array<long>, places array<long>, bands array<long>"), "sketch")
     linked = sketch.where("n_shingles > 0 and doc_id is not null")
-    nodes = stored(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("marks").alias("marks"), F.first("bands").alias("bands")), "nodes")
+    nodes = stored(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("marks").alias("marks"), F.first("places").alias("places"), F.first("bands").alias("bands")), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("band"))
     hubs = stored(entries.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"), "hubs")
     shared = stored(entries.join(hubs, "band"), "shared")
@@ -166,11 +177,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # what stars have left: pairs of a bucket in different components, near enough by their marks
     placed = stored(shared.join(groups, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
     mixed = stored(placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
-    member = stored(placed.join(mixed, "band").join(nodes.select("node", "marks"), "node"), "members")
+    member = stored(placed.join(mixed, "band").join(nodes.select("node", "marks", "places"), "node"), "members")
     a, b = member.alias("a"), member.alias("b")
     differ = sum((F.bit_count(F.get("a.marks", F.lit(i)).bitwiseXOR(F.get("b.marks", F.lit(i)))) for i in range(1, 4)),
                  F.bit_count(F.get("a.marks", F.lit(0)).bitwiseXOR(F.get("b.marks", F.lit(0)))))
-    near = (F.col("a.band") == F.col("b.band")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & (differ <= MOST_DIFFERENT)
+    near = (F.col("a.band") == F.col("b.band")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & (differ <= MOST_DIFFERENT) & (_unequal("a.places", "b.places") <= MOST_UNEQUAL)
     rest = a.join(b, near).select(F.col("b.node").alias("a"), F.col("a.node").alias("b")).distinct()
     more = _confirmed(documents, nodes, rest)
     if not more.isEmpty():
