@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelattice.llm import decontaminate, minhash, packing, passages, quality
-from hirelattice.llm.common import read_table, stored
+from hirelattice.llm.common import read_table, stored, unused
 from hirelattice.llm.queries import tokenizer_path
 from hirelattice.session import prepare
 
@@ -24,8 +24,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The lowest document of every group of near copies; documents without an id or words stay."""
     prepare(spark)
-    gone = stored(minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "copies")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = unused(docs, "_gone")
+    gone = stored(minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(name)).distinct(), "copies")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

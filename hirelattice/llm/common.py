@@ -23,6 +23,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def total(df: DataFrame, *sums) -> tuple:
     """The one row of global aggregates, with 0 for null."""
     return tuple(v or 0 for v in df.agg(*sums).first())

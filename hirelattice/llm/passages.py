@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hirelattice.llm.common import connected_components, stored
+from hirelattice.llm.common import connected_components, stored, unused
 from hirelattice.llm.words import U64, Words, mix, powers, shingles, words_of
 
 WINDOW = 32
@@ -208,11 +208,11 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 
     No row goes, other columns stay as they are, and a text without repeats is the same string.
     """
-    # named apart from any column the documents may have
-    cuts = stored(merged_spans(repeated_spans(documents)), "cuts").toDF("__doc", "__cuts")
-    out = documents.join(cuts, F.col("doc_id") == F.col("__doc"), "left")
-    changed = F.col("__cuts").isNotNull()
-    out = out.withColumn("text", F.when(changed, F.arrow_udf(_without, "string")("text", "__cuts")).otherwise(F.col("text")))
+    doc, found = unused(documents, "_doc"), unused(documents, "_cuts")
+    cuts = stored(merged_spans(repeated_spans(documents)), "cuts").toDF(doc, found)
+    out = documents.join(cuts, F.col("doc_id") == F.col(doc), "left")
+    changed = F.col(found).isNotNull()
+    out = out.withColumn("text", F.when(changed, F.arrow_udf(_without, "string")("text", found)).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(documents.columns)
