@@ -62,10 +62,6 @@ SENIORITY_RULES = RuleSet("experience_required", "description", (
         "experience_required": ("débutant accepté", "debutant accepte", "expérience exigée", "experience exigee")}),
 ))
 
-# "2 to 3 days", alone and with every way to say remote work, alone and per week
-_DAYS = ("2-3 jours", "2 à 3 jours", "2 a 3 jours", "2/3 jours", "2 ou 3 jours")
-_WHERE = ("", " de télétravail", " de teletravail", " de remote")
-
 REMOTE_RULES = RuleSet("description", "description", (
     Rule("remote", ("à distance",), {"description": (
         "télétravail", "teletravail", "remote", "à distance", "a distance", "100% remote", "full remote",
@@ -78,6 +74,23 @@ REMOTE_RULES = RuleSet("description", "description", (
     Rule("site", ("sur site",), {"description": (
         "sur site", "présentiel", "presentiel", "au bureau", "dans nos locaux", "dans nos bureaux",
         "dans notre siège", "dans notre siege")}),
-    Rule("hybrid", ("hybride",), {"description": ("hybride", "mixte", "flexible") + tuple(
-        days + where + week for where in _WHERE for week in ("", " par semaine") for days in _DAYS)}),
+    Rule("hybrid", ("hybride",), {"description": (
+        "hybride", "mixte", "flexible",
+        "2-3 jours", "2 à 3 jours", "2 a 3 jours", "2/3 jours", "2 ou 3 jours",
+        "2-3 jours par semaine", "2 à 3 jours par semaine", "2 a 3 jours par semaine", "2/3 jours par semaine",
+        "2 ou 3 jours par semaine",
+        "2-3 jours de télétravail", "2 à 3 jours de télétravail", "2 a 3 jours de télétravail",
+        "2/3 jours de télétravail", "2 ou 3 jours de télétravail",
+        "2-3 jours de teletravail", "2 à 3 jours de teletravail", "2 a 3 jours de teletravail",
+        "2/3 jours de teletravail", "2 ou 3 jours de teletravail",
+        "2-3 jours de remote", "2 à 3 jours de remote", "2 a 3 jours de remote", "2/3 jours de remote",
+        "2 ou 3 jours de remote",
+        "2-3 jours de télétravail par semaine", "2 à 3 jours de télétravail par semaine",
+        "2 a 3 jours de télétravail par semaine", "2/3 jours de télétravail par semaine",
+        "2 ou 3 jours de télétravail par semaine",
+        "2-3 jours de teletravail par semaine", "2 à 3 jours de teletravail par semaine",
+        "2 a 3 jours de teletravail par semaine", "2/3 jours de teletravail par semaine",
+        "2 ou 3 jours de teletravail par semaine",
+        "2-3 jours de remote par semaine", "2 à 3 jours de remote par semaine", "2 a 3 jours de remote par semaine",
+        "2/3 jours de remote par semaine", "2 ou 3 jours de remote par semaine")}),
 ))

@@ -74,19 +74,23 @@ class Cells:
     radius: np.ndarray
 
 
-def divide(corpus: DataFrame, n_pivots: int | None = None) -> Cells:
+def divide(corpus: DataFrame, n_pivots: int | None = None, approx: bool = False) -> Cells:
     """Assign every vector to its nearest pivot; a small corpus stays one cell of several blocks.
 
+    An approximate search divides a corpus of any size, so that its answer depends on its arguments alone.
+
     Pivots are rows picked by a hash of the id, at most ``MAX_PIVOTS``; with them, the counts and the
     radii, the driver holds a bounded number of vectors.
     """
     spark = corpus.sparkSession
     n = corpus.count()
     if n_pivots is None:
-        n_pivots = 1 if n <= UNDIVIDED else math.ceil(math.sqrt(n))
+        n_pivots = 1 if n <= UNDIVIDED and not approx else min(MAX_PIVOTS, math.ceil(math.sqrt(n)))
+    if n_pivots > MAX_PIVOTS:
+        raise ValueError(f"at most {MAX_PIVOTS} pivots: the driver holds them")
     if n_pivots <= 1 or n <= 1:
         return Cells(corpus.withColumn("cell", F.lit(0)), None, np.array([float(n)]), np.array([np.inf]))
-    picked = corpus.orderBy(F.xxhash64("id"), "id").limit(min(n_pivots, MAX_PIVOTS)).collect()
+    picked = corpus.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()
     pivots = np.array([r["vec"] for r in picked], dtype=np.float64)
     shared = spark.sparkContext.broadcast(pivots)
 
@@ -236,8 +240,8 @@ def knn(
     cosine = metric == "cosine"
     depth = k + 1 if exclude_self else k
     offers = cut(dedup_rank(prepare_vectors(corpus, cosine), ["vec"], ["id"], keep=depth))
-    distinct, members = _distinct_queries(prepare_vectors(queries, cosine, "query"))
-    found = _search(distinct, divide(offers, n_pivots), depth, cosine, approx_cells).drop("rank")
+    distinct, members = _distinct_queries(cut(prepare_vectors(queries, cosine, "query")))
+    found = _search(distinct, divide(offers, n_pivots, bool(approx_cells)), depth, cosine, approx_cells).drop("rank")
     hits = members.join(found, "query_id").select(F.col("member").alias("query_id"), "offer_id", "score")
     if exclude_self:
         hits = hits.filter("query_id <> offer_id")

@@ -37,9 +37,6 @@ def c1(t: Tables):
     return star.assemble_fact(o.select("id_local"), matches)
 
 
-CALENDAR = ("1992-01-01", "2002-12-31")
-
-
 def _day_sql(d: str, suffix: str) -> str:
     months = "['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre']"
     days = "['dimanche','lundi','mardi','mercredi','jeudi','vendredi','samedi']"
@@ -82,7 +79,8 @@ def _bridges(t: Tables):
 
 
 def _wide(t: Tables, naive: bool = False):
-    days = calendar(t.spark, *CALENDAR).drop("semestre")
+    least, most = t.bind("star_offers").agg(F.min("created"), F.date_add(F.max("created"), 10)).first()
+    days = calendar(t.spark, str(least or "1900-01-01")[:10], str(most or "1900-01-01")[:10]).drop("semestre")
     parts = [c for c in days.columns if c != "id_date"]
 
     def role(suffix):
