@@ -167,7 +167,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     sketch = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _sketch, "doc_id long, n_shingles long, k1 long, k2 long, marks array<long>, places array<long>, bands array<long>"), "sketch")
     linked = sketch.where("n_shingles > 0 and doc_id is not null")
-    nodes = stored(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("marks").alias("marks"), F.first("places").alias("places"), F.first("bands").alias("bands")), "nodes")
+    nodes = stored(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("marks").alias("marks"), F.first("places").alias("places"), F.first("bands").alias("bands")), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("band"))
     hubs = stored(entries.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"), "hubs")
     shared = stored(entries.join(hubs, "band"), "shared")
@@ -177,11 +177,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # what stars have left: pairs of a bucket in different components, near enough by their marks
     placed = stored(shared.join(groups, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
     mixed = stored(placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
-    member = stored(placed.join(mixed, "band").join(nodes.select("node", "marks", "places"), "node"), "members")
+    member = stored(placed.join(mixed, "band").join(nodes.select("node", "n", "marks", "places"), "node"), "members")
     a, b = member.alias("a"), member.alias("b")
     differ = sum((F.bit_count(F.get("a.marks", F.lit(i)).bitwiseXOR(F.get("b.marks", F.lit(i)))) for i in range(1, 4)),
                  F.bit_count(F.get("a.marks", F.lit(0)).bitwiseXOR(F.get("b.marks", F.lit(0)))))
-    near = (F.col("a.band") == F.col("b.band")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & (differ <= MOST_DIFFERENT) & (_unequal("a.places", "b.places") <= MOST_UNEQUAL)
+    near = (F.col("a.band") == F.col("b.band")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & (100 * F.least("a.n", "b.n") >= 75 * F.greatest("a.n", "b.n")) & (differ <= MOST_DIFFERENT) & (_unequal("a.places", "b.places") <= MOST_UNEQUAL)
     rest = a.join(b, near).select(F.col("b.node").alias("a"), F.col("a.node").alias("b")).distinct()
     more = _confirmed(documents, nodes, rest)
     if not more.isEmpty():
