@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hirelattice.session import run_dir
+from hirelattice.session import prepare, run_dir
+
+# rows of long texts that pass between Spark and Python at once
+BATCH_ROWS = 1024
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with its time zone pinned and batches small enough for whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+    return prepare(spark)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelattice.llm import covertree, decontaminate, huffman, minhash, packing, passages, quality, rollup, sharding, urlfilter
-from hirelattice.llm.common import read_table, stored
-from hirelattice.session import prepare, run_dir
+from hirelattice.llm.common import read_table, ready, stored
+from hirelattice.session import run_dir
 
 SHARDS = 40
 # (host and path, verdict): fixed values of the contract
@@ -16,29 +16,29 @@ URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(read_table(prepare(spark), sf_dir, "documents"), SHARDS)
+    return sharding.shard_documents(read_table(ready(spark), sf_dir, "documents"), SHARDS)
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(prepare(spark), sf_dir, "documents"))
+    return minhash.near_duplicates(read_table(ready(spark), sf_dir, "documents"))
 
 
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeat_report(read_table(prepare(spark), sf_dir, "documents"))
+    return passages.repeat_report(read_table(ready(spark), sf_dir, "documents"))
 
 
 def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return covertree.near_duplicate_vectors(read_table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding"))
+    return covertree.near_duplicate_vectors(read_table(ready(spark), sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "key string, verdict string")
-    pages = read_table(prepare(spark), sf_dir, "pages").select("page_id", "url")
+    pages = read_table(ready(spark), sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge_urls(pages, rules).drop("url")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    ready(spark)
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
@@ -50,17 +50,17 @@ def tokenizer_path(name: str) -> str:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(read_table(prepare(spark), sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=0)
+    packed = packing.pack_documents(read_table(ready(spark), sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=0)
     return packed.select("doc_id", "start", "length", packing.wide_crc32().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    ready(spark)
     return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op9_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = run_dir(prepare(spark), "token-files")
+    path = run_dir(ready(spark), "token-files")
     lengths = huffman.write_tokens(read_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end=2)
     read = huffman.read_tokens(spark.read.schema(huffman.BLOCK_SCHEMA).parquet(path), lengths)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -69,7 +69,7 @@ def op9_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches: all documents come in, exact copies but the first of each text go, the counts
     of what is left are revised under a second tokenizer version, and the deletion is delivered once more."""
-    documents = read_table(prepare(spark), sf_dir, "documents")
+    documents = read_table(ready(spark), sf_dir, "documents")
     counted = stored(documents.select(
         "doc_id", "source", "lang", F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"),
         rollup.whitespace_tokens(F.col("text")).alias("words"), rollup.piece_tokens(F.col("text")).alias("pieces")), "counted")
