@@ -30,9 +30,13 @@ def company_match(
     by_word = (companies.filter("nom_entreprise is not null").groupBy(first_word(F.col("nom_entreprise")).alias("_word"))
                .agg(best.alias("_by_word")))
     won = F.coalesce("_by_name", "_by_word")
+    # the digest as a further key makes Spark deal out the register anew too, so that it can split a word many offers share
+    by_name = by_name.withColumn("_name_digest", F.xxhash64("_name"))
+    by_word = by_word.withColumn("_word_digest", F.xxhash64("_word"))
     return (
         offers.withColumns({"_name": F.lower(name), "_word": first_word(F.col(name))})
-        .join(by_name, "_name", "left").join(by_word, "_word", "left")
+        .withColumns({"_name_digest": F.xxhash64("_name"), "_word_digest": F.xxhash64("_word")})
+        .join(by_name, ["_name_digest", "_name"], "left").join(by_word, ["_word_digest", "_word"], "left")
         .withColumns({"id_entreprise": won["siren"], "nom_entreprise": won["nom_entreprise"]})
-        .drop("_name", "_word", "_by_name", "_by_word")
+        .drop("_name", "_word", "_name_digest", "_word_digest", "_by_name", "_by_word")
     )

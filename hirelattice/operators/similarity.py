@@ -218,7 +218,10 @@ def _search(queries: DataFrame, cells: Cells, k: int, cosine: bool, approx_cells
 def _distinct_queries(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each distinct query vector under its lowest id, and (member, query_id) for all queries."""
     groups = asked.groupBy("vec").agg(F.min("id").alias("id"))
-    members = asked.select(F.col("id").alias("member"), "vec").join(groups.withColumnRenamed("id", "query_id"), "vec")
+    # the digest as a further key makes Spark deal out both sides anew, so that it can split a vector many queries share
+    digest = F.xxhash64("vec").alias("digest")
+    members = asked.select(F.col("id").alias("member"), "vec", digest).join(
+        groups.select(F.col("id").alias("query_id"), "vec", digest), ["digest", "vec"])
     return groups.select("id", "vec"), members.select("member", "query_id")
 
 
@@ -259,6 +262,31 @@ def best_match(queries: DataFrame, corpus: DataFrame, **options) -> DataFrame:
     return knn(queries, corpus, 1, **options).drop("rank")
 
 
+def near_pairs(corpus: DataFrame, threshold: float, n_pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(id, other, similarity) of all pairs with a cosine of ``threshold`` or more, and (member, id) of all rows.
+
+    Equal vectors are one class under their lowest id, so a group of copies costs as many rows as it has
+    members; pairs are of classes, ``id`` below ``other``. Cells wholly out of reach are not opened.
+    """
+    classes, members = _distinct_queries(corpus.filter("vec is not null").select(F.col("id").cast("bigint").alias("id"), "vec"))
+    rows = cut(prepare_vectors(classes, True))
+    cells = divide(rows, n_pivots)
+    reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+
+    def reachable(d, counts, radius, pdf):
+        return d - radius[None, :] <= reach + SLACK
+
+    def over(qid, q, cid, c):
+        scores = np.round(q @ c.T, DIGITS)
+        i, j = np.nonzero((scores >= threshold) & (qid[:, None] < cid[None, :]))
+        return pd.DataFrame({"id": qid[i], "other": cid[j], "similarity": scores[i, j]})
+
+    # the same rows under column names of their own, as both sides meet in one plan
+    asked = rows.select(F.col("id").alias("id"), F.col("vec").alias("vec"))
+    pairs = _compare(_probes(asked, cells, reachable), cells, over, "id bigint, other bigint, similarity double")
+    return pairs, members.withColumnRenamed("query_id", "id")
+
+
 def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivots: int | None = None) -> DataFrame:
     """(query_id, n): offers with a cosine strictly above the threshold.
 

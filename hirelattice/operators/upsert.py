@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hirelattice.operators.dedup import dedup_rank
 
@@ -46,20 +46,30 @@ def insert(target: DataFrame, batch: DataFrame) -> DataFrame:
     return old.unionByName(new)
 
 
-def update(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+def _one_each(changes: DataFrame, key: str, order: list | None) -> DataFrame:
+    """One change per key, the first in ``order``; without an order a repeated key is an error. Null keys name no row."""
+    named = changes.filter(F.col(key).isNotNull())
+    if order:
+        return dedup_rank(named, [key], order)
+    alone = F.count("*").over(Window.partitionBy(key)) == 1
+    repeated = F.raise_error(F.concat(F.lit(f"{key} is repeated in the changes: "), F.col(key).cast("string")))
+    return named.withColumn(key, F.when(alone, F.col(key)).otherwise(repeated))
+
+
+def update(target: DataFrame, changes: DataFrame, key: str, order: list | None = None) -> DataFrame:
     """Replace all changed columns of the rows named by ``changes``, nulls included."""
     names = [c for c in changes.columns if c != key]
-    new = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in names], F.lit(True).alias("_hit"))
+    new = _one_each(changes, key, order).select(key, *[F.col(c).alias(f"_new_{c}") for c in names], F.lit(True).alias("_hit"))
     joined = target.join(new, key, "left")
     return joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c)
         for c in target.columns])
 
 
-def patch(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+def patch(target: DataFrame, changes: DataFrame, key: str, order: list | None = None) -> DataFrame:
     """Replace only the values that ``changes`` supplies."""
     names = [c for c in changes.columns if c != key]
-    new = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in names])
+    new = _one_each(changes, key, order).select(key, *[F.col(c).alias(f"_new_{c}") for c in names])
     joined = target.join(new, key, "left")
     return joined.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in names else F.col(c) for c in target.columns])
 

@@ -91,6 +91,19 @@ def k9(t: Tables):
     return _six(_hits(t, 1, exclude_self=True).filter("similarity >= 0.5").drop("rank"))
 
 
+@query("k9_near_pairs", f"""with {PAIRS},
+    c as (select id, min(id) over (partition by vec) as class from vectors)
+    select query_id as id, offer_id as other, round(round(sim, 9), 6) as similarity from p
+    where query_id < offer_id and round(sim, 9) >= 0.5
+      and query_id in (select class from c) and offer_id in (select class from c)
+    union all select class, id, 1.0 from c where id <> class""")
+def k9p(t: Tables):
+    # every partner of every class of equal vectors, and each copy beside its class
+    pairs, members = sim.near_pairs(t.bind("vectors"), 0.5)
+    copies = members.filter("member <> id").select("id", F.col("member").alias("other"), F.lit(1.0).alias("similarity"))
+    return _six(pairs.unionByName(copies))
+
+
 SPARSE = """
     bw as (select item_id as id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) as w from benchmark),
     dw as (select doc_id as id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) as w from documents),

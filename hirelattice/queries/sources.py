@@ -247,6 +247,20 @@ def a17(t: Tables):
     return loads.load_manifest(t.spark, {n: t.path(n) for n in _MANIFEST}, run_dir(t.spark, "manifest"), ("raw", "silver"))
 
 
+@query("a17_load_manifest_csv", """
+    select 'raw' as layer, 'region' as table_name, true as written, (select count(*) from region) as n_rows
+    union all select 'raw', 'nation', true, (select count(*) from nation)
+    union all select 'raw', 'customer', true, (select count(*) from customer)""")
+def a17c(t: Tables):
+    # a manifest of both kinds: each delimited source has its schema and dialect, the other one is Parquet
+    sources = {"region": t.path("region")}
+    for name, dialect, written in (("nation", "lenient", {"compression": "gzip"}), ("customer", "quoted", {"quoteAll": "true", "escape": "\\"})):
+        path = run_dir(t.spark, f"{name}-csv")
+        t(name).write.options(header="true", emptyValue="", **written).csv(path)
+        sources[name] = loads.CsvSource(path, t(name).schema, dialect)
+    return loads.load_manifest(t.spark, sources, run_dir(t.spark, "manifest"), ("raw",))
+
+
 @query("a18_json_id_arrays", """
     select id_candidat, len(cast(skill_ids as json[])) as n_skills,
            list_sum(cast(cast(skill_ids as json) as bigint[])) :: bigint as sum_skills,

@@ -34,7 +34,16 @@ def s1(t: Tables):
     return out.select("event_id", "user_id", "event_type", "value", "props")
 
 
-@query("s2_dedup_within_watermark", "select distinct user_id, event_type from events")
+@query("s1_ingest_csv_drops", "select event_id, user_id, event_type, value from events")
+def s1c(t: Tables):
+    # the drops as they come: gzip text, read as a stream
+    drops = run_dir(t.spark, "event-drops")
+    t("events").write.options(header="true", compression="gzip", emptyValue="").csv(drops)
+    out = jobs.ingest(t.spark, drops, t("events").schema, run_dir(t.spark, "ingest"), name_glob="*.csv.gz", dialect="lenient")
+    return out.select("event_id", "user_id", "event_type", "value")
+
+
+@query("s2_dedup_within_watermark","select distinct user_id, event_type from events")
 def s2(t: Tables):
     deduped = jobs.dedup_stream(_events(t), ["user_id", "event_type"], "ts", "60 days")
     return _stored(t, deduped.select("user_id", "event_type"), "dedup")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hirelattice.operators.numbering import number_rows
+from hirelattice.sources.readers import CORRUPT, good_rows, read_offers_csv
 
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -59,11 +62,24 @@ def export_csv_gz(df: DataFrame, path: str, sep: str = ",", single_file: bool =
      .option("quoteAll", "true").option("escape", "\\").option("nullValue", "\\N").csv(path))
 
 
-def load_manifest(spark: SparkSession, manifest: dict[str, str], target: str, layers: tuple[str, ...]) -> DataFrame:
-    """Load each source path of the manifest into every layer once; one report row per (layer, table)."""
+@dataclass(frozen=True)
+class CsvSource:
+    """A delimited file of a manifest with its own schema and dialect."""
+
+    path: str
+    schema: T.StructType
+    dialect: str = "lenient"
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        df = read_offers_csv(spark, self.path, self.schema, self.dialect)
+        return good_rows(df) if CORRUPT in df.columns else df
+
+
+def load_manifest(spark: SparkSession, manifest: dict[str, str | CsvSource], target: str, layers: tuple[str, ...]) -> DataFrame:
+    """Load each source of the manifest, a Parquet path or a ``CsvSource``, into every layer once; one report row per (layer, table)."""
     report = []
-    for name, path in manifest.items():
-        df = spark.read.parquet(path)
+    for name, source in manifest.items():
+        df = source.read(spark) if isinstance(source, CsvSource) else spark.read.parquet(source)
         for layer in layers:
             wrote = load_once(spark, f"{target}/{layer_path(layer, name)}", df)
             report.append((layer, name, wrote, spark.read.parquet(f"{target}/{layer_path(layer, name)}").count()))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamReader
 
-# The text that stands for null in the feeds.
+# The text that stands for null in the feeds, and the texts that do so in the daily drop.
 NULL_MARK = r"\N"
+NULL_TEXTS = ("NULL", "null", "")
 
 CORRUPT = "_corrupt"
 
@@ -13,22 +15,29 @@ CORRUPT = "_corrupt"
 def read_offers_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType, dialect: str = "strict", names: list[str] | None = None
 ) -> DataFrame:
-    """Read delimited offers with an explicit schema (no inference pass over the data).
+    """The offers of some files or folders, as ``parse_csv`` reads them."""
+    return parse_csv(spark.read, path, schema, dialect, names)
+
+
+def parse_csv(
+    reader: DataFrameReader | DataStreamReader, path: str | list[str], schema: T.StructType, dialect: str = "strict", names: list[str] | None = None
+) -> DataFrame:
+    """Read delimited offers, plain or compressed, with an explicit schema (no inference pass over the data).
 
     ``strict``   comma, optional double quote, header skipped, ``\\N`` is null; a row with another
                  number of columns is an error.
-    ``lenient``  empty text and ``\\N`` are null; short and long rows are kept.
+    ``lenient``  empty text, ``NULL``, ``null`` and ``\\N`` are null; short and long rows are kept.
     ``quoted``   every field quoted, backslash escapes, line breaks inside fields; rows that cannot
                  be read are kept apart in ``_corrupt``; ``names`` replaces the header.
     """
-    reader = spark.read.option("header", "true").option("quote", '"')
+    reader = reader.option("header", "true").option("quote", '"')
     if dialect == "strict":
         # nulls are marked, so that an empty text stays an empty text
         return reader.option("nullValue", NULL_MARK).option("emptyValue", "").option("mode", "FAILFAST").schema(schema).csv(path)
     if dialect == "lenient":
         df = reader.option("nullValue", NULL_MARK).option("mode", "PERMISSIVE").schema(schema).csv(path)
         texts = {f.name for f in schema if isinstance(f.dataType, T.StringType)}
-        return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in df.columns])
+        return df.select(*[F.when(~F.col(c).isin(*NULL_TEXTS), F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns])
     if dialect == "quoted":
         with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         df = (

@@ -14,16 +14,23 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hirelattice.operators.dedup import dedup_rank
+from hirelattice.sources.readers import parse_csv
 
 DELAY = "10 minutes"
 
 
-def read_files(spark: SparkSession, folder: str, schema: T.StructType, name_glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
-    """New files of a folder as a stream, each exactly once; the schema is given, never inferred."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name_glob)
+def read_files(
+    spark: SparkSession, folder: str, schema: T.StructType, name_glob: str = "*.parquet", files_per_batch: int | None = None,
+    dialect: str | None = None,
+) -> DataFrame:
+    """New files of a folder as a stream, each exactly once; the schema is given, never inferred.
+
+    Files are Parquet, or with a ``dialect`` delimited text, plain or compressed, as ``readers.parse_csv`` reads it.
+    """
+    reader = spark.readStream.option("pathGlobFilter", name_glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return parse_csv(reader, folder, schema, dialect) if dialect else reader.schema(schema).parquet(folder)
 
 
 def drain(writer: DataStreamWriter) -> None:

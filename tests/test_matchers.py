@@ -17,6 +17,7 @@ from hirelattice.operators.rules import rule_match, rule_match_by_join
 from hirelattice.operators.tokens import not_in
 from hirelattice.plans.bindings import CONTRACTS, REMOTE_MODES, SENIORITIES
 from hirelattice.queries import joins
+from hirelattice.session import run_dir
 
 SETS = [(CONTRACTS, rd.CONTRACT_RULES, "type_contrat", "id_contrat"),
         (SENIORITIES, rd.SENIORITY_RULES, "type_seniorite", "id_seniorite"),
@@ -149,6 +150,31 @@ def test_company_priorities(spark):
     assert got == [(1, 3), (2, 2), (3, 4), (4, None), (5, None)]
 
 
+def test_company_match_splits_a_hot_word(spark):
+    """Nine tenths of the offers share a word; the plan as run has skewed joins, and the result stays right."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    companies = spark.range(300).selectExpr("id as siren", "concat('w', id, ' sa') as nom_entreprise", "'PME' as categorie_entreprise")
+    path = run_dir(spark, "hot-offers")
+    # many files, so that the hot word comes from many map tasks
+    spark.range(0, 200_000, 1, 16).selectExpr("id as id_offre", "concat('w', if(id % 10 < 9, 1, id % 400), ' ', uuid()) as company_name").write.parquet(path)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        out = company_match(spark.read.parquet(path), companies)
+        got = {r[0]: r[1] for r in out.groupBy("id_entreprise").count().collect()}
+        done = out.groupBy("id_entreprise").count()
+        done.collect()
+        plan = done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(got.values()) == 200_000 and got[1] >= 180_000
+    assert "skew=true" in plan
+
+
 def test_dates_default(spark):
     offers = spark.createDataFrame([(1, "a", "2024-01-02 10:00:00", None), (2, "a", "2024-01-03 10:00:00", "2024-01-04 00:00:00"), (3, "b", "1980-01-01 00:00:00", None)],
                                    "id_offre long, id_local string, date_created string, date_updated string").withColumns(

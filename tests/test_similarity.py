@@ -32,6 +32,18 @@ def _brute(q, c, k, metric, exclude=False):
     return sorted(out)
 
 
+@pytest.mark.parametrize("pivots", [None, 9])
+def test_near_pairs_are_all_pairs_of_classes(spark, data, pivots, monkeypatch):
+    monkeypatch.setattr(sim, "BLOCK", 40)
+    pairs, members = sim.near_pairs(_frame(spark, data), 0.9, n_pivots=pivots)
+    classes = {tuple(v): i for i, v in reversed(list(enumerate(data.tolist())))}
+    assert sorted(rows(members)) == sorted((i, classes[tuple(v)]) for i, v in enumerate(data.tolist()))
+    unit = data / np.where(np.linalg.norm(data, axis=1, keepdims=True) == 0, 1, np.linalg.norm(data, axis=1, keepdims=True))
+    lead = sorted(classes.values())
+    want = [(i, j) for i in lead for j in lead if i < j and round(float(unit[i] @ unit[j]), 9) >= 0.9]
+    assert want and sorted(rows(pairs.select("id", "other"))) == want
+
+
 @pytest.mark.parametrize("metric", ["cosine", "euclidean"])
 @pytest.mark.parametrize("pivots", [None, 9])
 @pytest.mark.parametrize("exclude", [False, True])

@@ -113,6 +113,12 @@ def test_upserts(spark):
     changes = spark.createDataFrame([(1, None, 9.0), (8, "x", 1.0)], "id long, name string, gone double")
     assert rows(update(old, changes, "id")) == [(1, None, 9.0), (2, "b", 2.0)]
     assert rows(patch(old, changes, "id")) == [(1, "a", 9.0), (2, "b", 2.0)]
+    twice = spark.createDataFrame([(1, "p", 1.0), (1, "q", None), (None, "r", 0.0), (None, "s", 0.0)], "id long, name string, gone double")
+    assert rows(update(old, twice, "id", [F.col("name").desc()])) == [(1, "q", None), (2, "b", 2.0)]
+    assert rows(patch(old, twice, "id", [F.col("name").desc()])) == [(1, "q", 1.0), (2, "b", 2.0)]
+    for change in (update, patch):
+        with pytest.raises(Exception, match="repeated"):
+            change(old, twice, "id").collect()
     assert rows(not_found(old, changes, "id")) == [(8,)]
     assert rows(insert(old, changes.drop("gone"))).count((8, "x", None)) == 1
 
