@@ -6,8 +6,12 @@ collide with the chance of their similarity and one passage holds many paragraph
 their minimum, which is stored once (an anchor), so anchors number about two in ``WINDOW`` words and still
 any common passage of ``WINDOW + 4`` words has one in both documents.
 
-An anchor's owner is the lowest document that has it; other documents are compared with the owner only,
-so a passage of any number of copies costs a row each. Anchors that lie equally far apart in both texts,
+Equal passages are found whole: around anchors that several documents have, every stretch of ``LEAST_WORDS``
+words goes by its hash to the lowest document that has all of them, so a document that holds a part of a
+passage, or one of its phrases, hides no copy of the whole. Stretches inside a run (see below) need no hash.
+
+For edited passages an anchor's owner is the lowest document that has it; other documents are compared with
+the owner only, so a passage of any number of copies costs a row each. Anchors that lie equally far apart in both texts,
 with equal words between them, make a run; a run is widened word by word on both sides; runs a few words
 apart, after an edit, are joined if the Jaccard similarity of the shingles stays at 0.75 or more. Spans of
 ``LEAST_WORDS`` or more are removed from every document but the owner.
@@ -21,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hirelattice.llm.common import connected_components, stored, unused
+from hirelattice.llm.common import connected_components, discard, stored, unused
 from hirelattice.llm.words import U64, Words, mix, powers, shingles, words_of
 
 WINDOW = 32
@@ -93,30 +97,73 @@ def _unodd(at: np.ndarray) -> np.ndarray:
     return powers(_EVEN_OUT, int(at.max(initial=0)) + 1)[at]
 
 
-def _margins(text: pa.Array, asked: pa.Array) -> pa.Array:
-    """For each asked (pos, key): 32-bit hashes of the words before pos, nearest first, and of those after the shingle.
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Margins of the asked (pos, key) of each text, and its stretches of ``LEAST_WORDS`` words that hold one of ``keys``.
 
-    An anchor that the text does not have there (another text of the same id) is left out. 0 stands for no word.
+    A margin is the 32-bit hashes of the words before pos, nearest first, and of those after the shingle; 0 stands
+    for no word. An anchor that the text does not have there (another text of the same id) is left out. A stretch
+    is told if its least shingle is among the keys: equal stretches have the same one. Those inside a run that is
+    ``equal`` in a lower document are left out: that document has them too, so this one never is the lowest.
     """
-    out = []
-    asked = asked.to_pylist()
-    for words in words_of(text):
-        items, first = shingles(words, whole=False)
-        small = np.maximum((words.hash >> U64(32)).astype(np.uint32), 1)
-        for i, wanted in enumerate(asked[words.rows]):
-            low, high = words.first[i], words.first[i + 1]
-            rows = []
-            for ask in wanted:
-                pos, n = ask["pos"], first[i + 1] - first[i]
-                if pos >= n or int(items[first[i] + pos].view(np.int64)) != ask["key"]:
-                    continue
-                back, ahead = np.zeros(MARGIN, np.uint32), np.zeros(MARGIN, np.uint32)
-                left = small[max(low, low + pos - MARGIN):low + pos][::-1]
-                right = small[low + pos + 5:min(high, low + pos + 5 + MARGIN)]
-                back[:len(left)], ahead[:len(right)] = left, right
-                rows.append({"pos": pos, "back": back.tobytes(), "ahead": ahead.tobytes()})
-            out.append(rows)
-    return pa.array(out, pa.list_(pa.struct([("pos", pa.int32()), ("back", pa.binary()), ("ahead", pa.binary())])))
+    for batch in batches:
+        ids, wanted_in, keys_in, equal_in = batch.column("doc_id"), batch.column("asked").to_pylist(), batch.column("keys"), batch.column("equal").to_pylist()
+        for words in words_of(batch.column("text")):
+            items, first = shingles(words, whole=False)
+            small = np.maximum((words.hash >> U64(32)).astype(np.uint32), 1)
+            rows, pos_out, back_out, ahead_out = [], [], [], []
+            for i, wanted in enumerate(wanted_in[words.rows]):
+                low, high = words.first[i], words.first[i + 1]
+                for ask in wanted:
+                    pos, n = ask["pos"], first[i + 1] - first[i]
+                    if pos >= n or int(items[first[i] + pos].view(np.int64)) != ask["key"]:
+                        continue
+                    back, ahead = np.zeros(MARGIN, np.uint32), np.zeros(MARGIN, np.uint32)
+                    left = small[max(low, low + pos - MARGIN):low + pos][::-1]
+                    right = small[low + pos + 5:min(high, low + pos + 5 + MARGIN)]
+                    back[:len(left)], ahead[:len(right)] = left, right
+                    rows.append(i)
+                    pos_out.append(pos)
+                    back_out.append(back.tobytes())
+                    ahead_out.append(ahead.tobytes())
+            own = ids.slice(words.rows.start, len(first) - 1)
+            none = lambda kind, n: pa.nulls(n, kind)
+            n = len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [own.take(pa.array(rows, pa.int64())), pa.array(pos_out, pa.int32()), pa.array(back_out, pa.binary()), pa.array(ahead_out, pa.binary()),
+                 none(pa.int32(), n), none(pa.int64(), n)], names=_TOLD)
+            keys = keys_in.slice(words.rows.start, len(first) - 1).flatten().to_numpy(zero_copy_only=False).view(U64)
+            text, start, value = _stretches(words, items, first, keys, equal_in[words.rows])
+            n = len(text)
+            yield pa.RecordBatch.from_arrays(
+                [own.take(pa.array(text)), none(pa.int32(), n), none(pa.binary(), n), none(pa.binary(), n),
+                 pa.array(start.astype(np.int32)), pa.array(value.view(np.int64))], names=_TOLD)
+
+
+_TOLD = ["doc", "pos", "back", "ahead", "start", "stretch"]
+
+
+def _stretches(words: Words, items: np.ndarray, first: np.ndarray, keys: np.ndarray, equal: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word and hash of every run of ``LEAST_WORDS`` words whose least shingle is one of ``keys``, but for those in ``equal`` runs."""
+    width = LEAST_WORDS - 4
+    none = np.zeros(0, np.int64)
+    if len(items) < width or not len(keys):
+        return none, none, np.zeros(0, U64)
+    least = _slide(items, WINDOW, np.minimum)
+    least = np.minimum(least[:len(items) - width + 1], least[width - WINDOW:])
+    told = np.isin(least, np.unique(keys))
+    for low, n, runs in zip(first[:-1], np.diff(first), equal):
+        for r in runs:
+            ends = (r["low"], r["low_key"]), (r["high"], r["high_key"])
+            if r["high"] < n and all(int(items[low + p].view(np.int64)) == k for p, k in ends):
+                told[low + r["low"]:low + r["high"] - LEAST_WORDS + 6] = False
+    at = np.flatnonzero(told)
+    text = np.searchsorted(first, at, "right") - 1
+    inside = at + width <= first[text + 1]
+    at, text = at[inside], text[inside]
+    start = at - first[text]
+    run = np.concatenate([np.zeros(1, U64), np.cumsum(mix(words.hash, 3) * _odd(words), dtype=U64)])
+    word = words.first[text] + start
+    return text, start, mix((run[word + LEAST_WORDS] - run[word]) * _unodd(word), 9)
 
 
 def _common(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -135,6 +182,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     rows = stored(texts.mapInArrow(_anchor_rows, "doc long, key long, pos int, prev int, gap long"), "anchors")
     owners = stored(rows.groupBy("key").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner <> last").drop("last"), "owners")
     hits = stored(rows.join(owners, "key"), "hits")
+    discard(rows)
     # an owner with the anchor at several places offers the first
     place = F.struct("pos", "prev", "gap")
     own = stored(hits.where("doc = owner").groupBy("key").agg(F.min(place).alias("own")).select(
@@ -143,14 +191,25 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     line = Window.partitionBy("doc", "owner", "shift").orderBy("pos")
     same = (F.lag("pos").over(line) == F.col("prev")) & (F.col("prev") - F.col("own_prev") == F.col("shift")) & (F.col("gap") == F.col("own_gap")) & (F.col("own_prev") >= 0)
     runs = pairs.withColumn("new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("new").over(line))
+    # an anchor so deep in a run that all stretches around it are equal in the owner needs none of them told
+    inside = LEAST_WORDS - 5
+    open_keys = f"transform(filter(held, a -> a.pos < low + {inside} or a.pos > high - {inside}), a -> a.key)"
     runs = stored(runs.groupBy("doc", "owner", "shift", "run").agg(
-        F.min("pos").alias("low"), F.max("pos").alias("high"), F.min_by("key", "pos").alias("low_key"), F.max_by("key", "pos").alias("high_key")), "runs")
+        F.min("pos").alias("low"), F.max("pos").alias("high"), F.min_by("key", "pos").alias("low_key"), F.max_by("key", "pos").alias("high_key"),
+        F.collect_list(F.struct("pos", "key")).alias("held")).withColumn("open", F.expr(open_keys)).drop("held"), "runs")
     end = lambda doc, pos, key: F.expr(f"named_struct('d', {doc}, 'p', {pos}, 'k', {key})")
     ends = F.inline(F.array(end("doc", "low", "low_key"), end("doc", "high", "high_key"), end("owner", "low - shift", "low_key"), end("owner", "high - shift", "high_key")))
-    asked = runs.select(ends).distinct().groupBy(F.col("d").alias("doc_id")).agg(F.collect_list(F.struct(F.col("p").alias("pos"), F.col("k").alias("key"))).alias("asked"))
-    told = texts.join(asked, "doc_id").select("doc_id", F.explode(F.arrow_udf(_margins, "array<struct<pos:int,back:binary,ahead:binary>>")("text", "asked")).alias("m"))
+    kinds = {"end": "struct<pos:int,key:bigint>", "key": "bigint", "equal": "struct<low:int,high:int,low_key:bigint,high_key:bigint>"}
+    one = lambda df, kind, value: df.select(F.col("d"), *(value.alias(k) if k == kind else F.lit(None).cast(t).alias(k) for k, t in kinds.items()))
+    asked = one(runs.select(ends).distinct(), "end", F.struct(F.col("p").alias("pos"), F.col("k").alias("key")))
+    wanted = stored(runs.select(F.explode("open").alias("key")).distinct(), "open")
+    asked = asked.union(one(hits.select(F.col("doc").alias("d"), "key").join(wanted, "key"), "key", F.col("key")))
+    asked = asked.union(one(runs.where(f"high - low >= {inside}").withColumnRenamed("doc", "d"), "equal", F.struct("low", "high", "low_key", "high_key")))
+    asked = asked.groupBy(F.col("d").alias("doc_id")).agg(F.collect_list("end").alias("asked"), F.collect_set("key").alias("keys"), F.collect_list("equal").alias("equal"))
+    told = texts.join(asked, "doc_id").select("doc_id", "text", "asked", "keys", "equal")
+    told = stored(told.mapInArrow(_told, "doc long, pos int, back binary, ahead binary, start int, stretch long"), "told")
     # rows that share an id and text tell the same again
-    margins = stored(told.groupBy("doc_id", "m.pos").agg(F.max("m.back").alias("back"), F.max("m.ahead").alias("ahead")), "margins")
+    margins = stored(told.where("pos is not null").groupBy(F.col("doc").alias("doc_id"), "pos").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead")), "margins")
     back = lambda doc, pos, name: margins.select(F.col("doc_id").alias(doc), F.col("pos").alias(pos), F.col("back").alias(name))
     ahead = lambda doc, pos, name: margins.select(F.col("doc_id").alias(doc), F.col("pos").alias(pos), F.col("ahead").alias(name))
     placed = runs.withColumns({"own_low": F.col("low") - F.col("shift"), "own_high": F.col("high") - F.col("shift")})
@@ -172,7 +231,24 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     whole = joined.where(f"stop - start >= {LEAST_WORDS} and 100 * common >= 75 * (stop - start - 4 + owner_words - 4 - common)")
     # parts of an edited chain that is not alike as a whole count on their own
     alone = chains.where(f"stop - start >= {LEAST_WORDS}").select("doc", "start", "stop", "owner", begin.alias("owner_start"))
-    return stored(whole.select("doc", "start", "stop", "owner", "owner_start").union(alone).distinct(), "spans")
+    found = whole.select("doc", "start", "stop", "owner", "owner_start").union(alone).union(_equal_spans(told))
+    return stored(found.distinct(), "spans")
+
+
+def _equal_spans(told: DataFrame) -> DataFrame:
+    """``doc, start, stop, owner, owner_start`` of all stretches that a lower document has, whoever owns their anchors.
+
+    A stretch's owner is the lowest document with all its words, at its first place; consecutive stretches make a span.
+    """
+    place = told.where("stretch is not null").select("doc", "start", "stretch")
+    lowest = place.groupBy("stretch").agg(F.min(F.struct("doc", "start")).alias("o"), F.max("doc").alias("last")).where("o.doc <> last")
+    lowest = stored(lowest.select("stretch", F.col("o.doc").alias("owner"), F.col("o.start").alias("owner_start")), "stretches")
+    held = place.join(lowest, "stretch").where("doc <> owner").select("doc", "owner", (F.col("start") - F.col("owner_start")).alias("shift"), "start")
+    line = Window.partitionBy("doc", "owner", "shift").orderBy("start")
+    # rows that share an id tell a start again
+    run = held.withColumn("run", F.col("start") - F.dense_rank().over(line))
+    spans = run.groupBy("doc", "owner", "shift", "run").agg(F.min("start").alias("start"), (F.max("start") + LEAST_WORDS).alias("stop"))
+    return spans.select("doc", "start", "stop", "owner", (F.col("start") - F.col("shift")).alias("owner_start"))
 
 
 def merged_spans(spans: DataFrame) -> DataFrame:

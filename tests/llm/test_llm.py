@@ -134,6 +134,26 @@ def test_passages(docs, none):
     assert report[14]["owners"] == [13] and report[14]["removed_words"] == 60 and report[15]["component_id"] == 13 and report[12]["removed_words"] == 0
 
 
+def test_passages_whose_parts_lie_in_lower_documents(spark):
+    texts, draw = [], random.Random(17)
+    for k in range(20):
+        pool = [f"p{k}x{i}" for i in range(400)]
+        passage = prose(60, 900 + k, pool).split()
+        cut = draw.randrange(25, 36)
+        held = [passage[:cut], passage[cut:], passage, passage, passage[10:55]]
+        texts += [f"{prose(50, 5000 + 10 * k + n)} {' '.join(part)} {prose(50, 7000 + 10 * k + n)}" for n, part in enumerate(held)]
+    got = {r["doc_id"]: [(s["start"], s["stop"]) for s in r["removed_spans"]] for r in passages.repeat_report(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    lower, want = set(), {}
+    for i, text in enumerate(texts):
+        w = words(text)
+        stretches = [tuple(w[k:k + 40]) for k in range(len(w) - 39)]
+        want[i] = sorted({k + j for k, s in enumerate(stretches) if s in lower for j in range(40)})
+        lower.update(stretches)
+    assert {i: [j for low, high in spans for j in range(low, high)] for i, spans in got.items()} == want
+    assert sum(map(bool, want.values())) == 40
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(2)
     centre = draw.normal(size=16)
