@@ -2,9 +2,10 @@
 
 TF-IDF weights come from the whole corpus: the vocabulary of the benchmark is counted over all passages of
 all documents. A distributed randomised SVD of the benchmark's passages gives a latent space; every window
-of every document is folded into it, and windows near a benchmark passage by cosine are candidates. A
-candidate is a leak if the longest common subsequence covers most of the passage's words, or half of them
-together with the passage's answer, its last sentence: that catches paraphrases.
+of every document is folded into it, and windows near a benchmark passage by cosine are candidates. The space
+has as many dimensions as there are passages, so large benchmarks lose no cosine. A candidate is a leak if the longest
+common subsequence covers most of the item's words, or half of them together with the item's answer, its
+last sentence: that catches paraphrases.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ from pyspark.sql import DataFrame, functions as F
 from hirelattice.llm.words import U64, Words, shingles, words_of
 
 WINDOW, STEP = 32, 8
-RANK, POWER = 128, 2
+POWER = 2
 NEAR = 0.42  # cosine of a candidate: a window that holds half of a passage has more
 COVERED, HALF, ANSWER = 0.75, 0.5, 0.8
 # items of fewer words are looked up as whole runs, and those of fewer than TINY as whole documents
 SHORT, TINY = 12, 5
-# benchmark items handled at once; a larger benchmark takes as many passes
-ITEMS = 2000
+# benchmark passages handled at once; a larger benchmark takes as many passes over the documents
+PASSAGES = 512
 
 
 @dataclass
@@ -107,23 +108,28 @@ def passage_counts(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.nda
     return out, passages
 
 
-def _rows_of(items: list[Item], vocabulary: Vocabulary, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """TF-IDF rows of the items, of unit length."""
+def _passages(item: Item) -> list[np.ndarray]:
+    """What of an item is projected: its words."""
+    return [item.words]
+
+
+def _rows_of(passages: list[np.ndarray], vocabulary: Vocabulary, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """TF-IDF rows of passages, of unit length."""
     out = []
-    for item in items:
-        at, tf = np.unique(vocabulary.find(item.words), return_counts=True)
+    for passage in passages:
+        at, tf = np.unique(vocabulary.find(passage), return_counts=True)
         weight = tf * idf[at]
         out.append((at, weight / max(1e-12, np.sqrt((weight * weight).sum()))))
     return out
 
 
-def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, items: int, seed: int = 5) -> np.ndarray:
-    """Right singular vectors (words x rank) of the TF-IDF matrix of ``benchmark(item_id, text)`` by a distributed randomised SVD.
+def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, passages: int, seed: int = 5) -> np.ndarray:
+    """Right singular vectors (words x rank) of the TF-IDF matrix of the passages of ``benchmark(item_id, text)`` by a distributed randomised SVD.
 
-    A pass sends each partition's share of A'(A Q) for the present basis Q back; the driver only holds
-    matrices of words x rank, and ``ITEMS`` bounds the words.
+    The rank is that of the matrix, so passages keep their whole norm. A pass sends each partition's share of
+    A'(A Q) for the present basis Q back; the driver only holds matrices of words x rank, and ``PASSAGES`` bounds both.
     """
-    rank = min(RANK, items, len(vocabulary.words))
+    rank = min(passages, len(vocabulary.words))
     basis = np.random.default_rng(seed).normal(size=(len(vocabulary.words), rank))
 
     def products(basis: np.ndarray, gram: bool):
@@ -131,7 +137,7 @@ def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, idf: np.ndarray,
             total = np.zeros((rank, rank) if gram else basis.shape)
             for batch in batches:
                 found = read_items(list(zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist())))
-                for at, weight in _rows_of(found, vocabulary, idf):
+                for at, weight in _rows_of([p for item in found for p in _passages(item)], vocabulary, idf):
                     y = weight @ basis[at]
                     if gram:
                         total += np.outer(y, y)
@@ -142,7 +148,8 @@ def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, idf: np.ndarray,
         return run
 
     def summed(basis: np.ndarray, gram: bool) -> np.ndarray:
-        parts = benchmark.select("item_id", "text").coalesce(8).mapInArrow(products(basis, gram), "m binary").collect()
+        tasks = max(1, min(8, (1 << 27) // max(1, basis.nbytes)))
+        parts = benchmark.select("item_id", "text").coalesce(tasks).mapInArrow(products(basis, gram), "m binary").collect()
         return sum(np.frombuffer(bytes(p["m"])) for p in parts).reshape(rank, -1) if gram else sum(np.frombuffer(bytes(p["m"])) for p in parts).reshape(basis.shape)
 
     for _ in range(POWER):
@@ -172,8 +179,9 @@ class Index:
     def __init__(self, items: list[Item], vocabulary: Vocabulary, idf: np.ndarray, space: np.ndarray):
         self.items, self.vocabulary, self.space = items, vocabulary, space
         self.idf = np.append(idf, np.median(idf) if len(idf) else 0.0).astype(np.float32)  # the last is for other words
-        self.long = [i for i in items if len(i.words) >= SHORT]
-        rows = _rows_of(self.long, vocabulary, idf)
+        near = [(i, i.words) for i in items if len(i.words) >= SHORT]
+        self.long = [i for i, _ in near]
+        rows = _rows_of([p for _, p in near], vocabulary, idf)
         latent = np.stack([w @ space[at] for at, w in rows]).astype(np.float32) if rows else np.zeros((0, space.shape[1]), np.float32)
         self.latent = latent / np.maximum(1e-12, np.sqrt((latent * latent).sum(axis=1, keepdims=True)))
         self.runs: dict[int, dict[int, list[int]]] = {}
@@ -217,11 +225,11 @@ class Index:
             norm = np.sqrt(np.where(inside, weight[spot] ** 2 * times, 0).sum(axis=1))
             cosine = (near @ self.latent.T) / np.maximum(norm, 1e-6)[:, None].astype(np.float32)
             rows, items = np.nonzero(cosine >= NEAR)
-            done: dict[tuple[int, int], bool] = {}
+            done: set[tuple[int, int]] = set()
             for r, i in zip(rows.tolist(), items.tolist()):
                 t = int(text[at[r]])
-                if not done.get((t, i)) and self._confirmed(self.long[i], words, t, int(low[at[r]])):
-                    done[t, i] = True
+                if (t, self.long[i].id) not in done and self._confirmed(self.long[i], words, t, int(low[at[r]])):
+                    done.add((t, self.long[i].id))
                     yield t, self.long[i].id
 
     def _confirmed(self, item: Item, words: Words, text: int, low: int) -> bool:
@@ -260,22 +268,23 @@ def _finder(index: Index):
 
 
 def finders(documents: DataFrame, benchmark: DataFrame) -> list:
-    """Functions of a text column that name the leaked items, one for each ``ITEMS`` items of ``benchmark(item_id, text)``.
+    """Functions of a text column that name the leaked items, one for each ``PASSAGES`` passages of ``benchmark(item_id, text)``.
 
     Items without an id, a text or words match nothing. Repeated items are looked for once.
     """
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    blocks = max(1, -(-items.count() // ITEMS))
+    n_words = F.size(F.split("text", r"[\x20\x09-\x0D]+"))
+    blocks = max(1, -(-(items.agg(F.sum(F.ceil(n_words / WINDOW))).first()[0] or 0) // PASSAGES))
     out = []
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        found = read_items([tuple(r) for r in mine.orderBy("item_id", "text").collect()])  # about ITEMS rows
+        found = read_items([tuple(r) for r in mine.orderBy("item_id", "text").collect()])  # about PASSAGES passages
         if not found:
             continue
         vocabulary = Vocabulary(found)
         counts, passages = passage_counts(documents, vocabulary)
         idf = np.log((1.0 + passages) / (1.0 + counts)) + 1.0
-        out.append(_finder(Index(found, vocabulary, idf, latent_space(mine, vocabulary, idf, len(found)))))
+        out.append(_finder(Index(found, vocabulary, idf, latent_space(mine, vocabulary, idf, sum(len(_passages(i)) for i in found)))))
     return out
 
 

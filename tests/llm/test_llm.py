@@ -215,6 +215,23 @@ def test_leaks(spark, docs, none):
     assert decontaminate.contamination(none, bench).count() == 0
 
 
+def _zipf(n, draw, forms):
+    return " ".join(f"z{forms - 1 - int(forms ** draw.random()) % forms}" for _ in range(n))
+
+
+def _verbatim(spark, items, draw):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"{_zipf(61, draw, 20_000)} {text} {_zipf(60, draw, 20_000)}" for text in items] + [_zipf(300, draw, 20_000) for _ in range(50)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["items"] for r in decontaminate.contamination(table, bench).collect()}
+    assert got == {i: [i] if i < len(items) else [] for i in range(len(texts))}
+
+
+def test_leaks_of_a_large_benchmark(spark):
+    draw = random.Random(23)
+    _verbatim(spark, [_zipf(draw.randrange(24, 60), draw, 20_000) for _ in range(900)], draw)
+
+
 def test_common_subsequence():
     draw = random.Random(4)
     for _ in range(200):
