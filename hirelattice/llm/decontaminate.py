@@ -2,8 +2,9 @@
 
 TF-IDF weights come from the whole corpus: the vocabulary of the benchmark is counted over all passages of
 all documents. A distributed randomised SVD of the benchmark's passages gives a latent space; every window
-of every document is folded into it, and windows near a benchmark passage by cosine are candidates. The space
-has as many dimensions as there are passages, so large benchmarks lose no cosine. A candidate is a leak if the longest
+of every document is folded into it, and windows near a benchmark passage by cosine are candidates. An item
+longer than a window is cut into passages no longer than one, and the space has as many dimensions as there
+are passages, so neither long items nor large benchmarks lose cosine. A candidate is a leak if the longest
 common subsequence covers most of the item's words, or half of them together with the item's answer, its
 last sentence: that catches paraphrases.
 """
@@ -109,8 +110,8 @@ def passage_counts(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.nda
 
 
 def _passages(item: Item) -> list[np.ndarray]:
-    """What of an item is projected: its words."""
-    return [item.words]
+    """The words of an item in equal parts of ``WINDOW`` words at most."""
+    return np.array_split(item.words, -(-len(item.words) // WINDOW))
 
 
 def _rows_of(passages: list[np.ndarray], vocabulary: Vocabulary, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -179,7 +180,8 @@ class Index:
     def __init__(self, items: list[Item], vocabulary: Vocabulary, idf: np.ndarray, space: np.ndarray):
         self.items, self.vocabulary, self.space = items, vocabulary, space
         self.idf = np.append(idf, np.median(idf) if len(idf) else 0.0).astype(np.float32)  # the last is for other words
-        near = [(i, i.words) for i in items if len(i.words) >= SHORT]
+        # an item's whole row lies in the space of its passages; a window may be near to either
+        near = [(i, p) for i in items if len(i.words) >= SHORT for p in [i.words, *(_passages(i) if len(i.words) > WINDOW else [])]]
         self.long = [i for i, _ in near]
         rows = _rows_of([p for _, p in near], vocabulary, idf)
         latent = np.stack([w @ space[at] for at, w in rows]).astype(np.float32) if rows else np.zeros((0, space.shape[1]), np.float32)

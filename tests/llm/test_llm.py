@@ -232,6 +232,11 @@ def test_leaks_of_a_large_benchmark(spark):
     _verbatim(spark, [_zipf(draw.randrange(24, 60), draw, 20_000) for _ in range(900)], draw)
 
 
+def test_leaks_of_long_items(spark):
+    draw = random.Random(29)
+    _verbatim(spark, [_zipf(n, draw, 20_000) for n in (200, 300, 500, 500, 900)], draw)
+
+
 def test_common_subsequence():
     draw = random.Random(4)
     for _ in range(200):
