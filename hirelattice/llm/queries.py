@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hirelattice.llm import covertree, decontaminate, huffman, minhash, packing, passages, quality, rollup, sharding, urlfilter
+from hirelattice.llm import alignment, blocknames, covertree, decontaminate, hardneg, huffman, minhash, packing, passages, quality, rollup, sharding, urlfilter
 from hirelattice.llm.common import read_table, ready, stored
 from hirelattice.session import run_dir
 
@@ -85,6 +85,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.totals()
 
 
+def op11_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocknames.exact_copies(read_table(ready(spark), sf_dir, "documents")).drop("level", "name")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(ready(spark), sf_dir, "documents")
+    return alignment.align_documents(documents, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label of every seventh vector is moved on by one, as the contract has it."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(ready(spark), sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hardneg.hard_negatives(rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
@@ -96,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_huffman": op9_huffman,
     "op10_token_counts": op10_token_counts,
+    "op11_block_naming": op11_block_naming,
+    "op12_alignment": op12_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _URL_PARTS = """
@@ -121,4 +140,29 @@ with kept as (select source, lang, text, row_number() over (partition by text or
 select source, lang, 'pieces-2' as tokenizer, count(*) as docs,
        cast(sum(coalesce(len(regexp_extract_all(text, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')), 0)) as bigint) as tokens
 from kept where k = 1 or text is null group by all""",
+    "op11_block_naming": """
+with lower_case as (
+    select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
+       row_number() over (partition by t order by doc_id desc nulls last) = 1 as kept, sha256(t) as text_sha256
+from lower_case window w as (partition by t)""",
+    "op13_hard_negatives": """
+with vectors as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+    from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scores as (
+        select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+               cast(list_sum(list_transform(range(1, len(a.q) + 1), lambda k: a.q[k] * b.q[k])) as bigint) as score
+        from vectors a join vectors b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+    positives as (
+        select anchor_id, other_id as positive_id, score as positive_score from scores where same
+        qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.other_id) as integer) as rank,
+       s.other_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scores s on s.anchor_id = p.anchor_id and not s.same
+    and 100 * s.score >= 30 * p.positive_score and 100 * s.score <= 90 * p.positive_score
+qualify rank <= 10""",
 }
