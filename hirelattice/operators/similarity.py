@@ -44,10 +44,11 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def prepare_vectors(df: DataFrame, unit: bool, side: str = "corpus") -> DataFrame:
     """(id, vec) in doubles; for cosine each vector is scaled to length one.
 
-    A zero vector has cosine 0 with everything. It becomes a unit vector of its own in one of two
+    Vectors that are null or hold a null or non-finite component are left out: they have no distance to anything. A zero vector has cosine 0 with everything. It becomes a unit vector of its own in one of two
     extra coordinates, one per side, so that the geometry used for pruning holds for it too.
     """
-    rows = df.filter("vec is not null").select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+    finite = F.forall("vec", lambda x: F.coalesce((F.abs(x) != float("inf")) & ~F.isnan(x), F.lit(False)))
+    rows = df.filter("vec is not null").filter(finite).select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
     if not unit:
         return rows
 
@@ -131,9 +132,6 @@ def _probes(queries: DataFrame, cells: Cells, choose) -> DataFrame:
 
 def _compare(probes: DataFrame, cells: Cells, work, schema: str) -> DataFrame:
     """Run ``work(query ids, query matrix, corpus ids, corpus matrix)`` on blocks of opened cells."""
-    part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
     if cells.pivots is None:
         many = blocks(probes.agg(F.count("*")).scalar())
         left, right = (df.withColumns({"cs": blocks(F.lit(float(cells.counts[0]))), "qs": many}) for df in (probes, cells.rows))
@@ -144,6 +142,18 @@ def _compare(probes: DataFrame, cells: Cells, work, schema: str) -> DataFrame:
         # one row per cell, at most MAX_PIVOTS
         plan = F.broadcast(sizes.join(loads, "cell").select("cell", blocks(F.col("nc")).alias("cs"), blocks(F.col("nq")).alias("qs")))
         left, right = probes.join(plan, "cell"), cells.rows.join(plan, "cell")
+    return compare_blocks(left, right, work, schema)
+
+
+def blocks(n):
+    """How many blocks a cell with ``n`` rows on one side is cut into."""
+    return F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+
+
+def compare_blocks(left: DataFrame, right: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on (id, vec, cell, qs, cs) of both sides, each cell cut into ``qs`` by ``cs`` pairs of blocks."""
+    part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = left.select("cell", part(F.col("qs")).alias("q"), spread(F.col("cs")).alias("c"), "id", "vec")
     right = right.select("cell", spread(F.col("qs")).alias("q"), part(F.col("cs")).alias("c"), "id", "vec")
     names = [f.split()[0] for f in schema.split(", ")]
@@ -157,7 +167,7 @@ def _compare(probes: DataFrame, cells: Cells, work, schema: str) -> DataFrame:
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block, schema)
 
 
-def _top(k: int, cosine: bool):
+def top_of_block(k: int, cosine: bool):
     def work(qid, q, cid, c):
         scores = q @ c.T if cosine else -_distances(q, c)
         scores = np.round(scores, DIGITS)
@@ -173,10 +183,10 @@ def _top(k: int, cosine: bool):
     return work
 
 
-_HITS = "query_id bigint, offer_id bigint, score double"
+HITS = "query_id bigint, offer_id bigint, score double"
 
 
-def _first_k(hits: DataFrame, k: int) -> DataFrame:
+def first_k(hits: DataFrame, k: int) -> DataFrame:
     return dedup_rank(hits, ["query_id"], [F.col("score").desc(), F.col("offer_id").asc()], keep=k, rank="rank")
 
 
@@ -196,9 +206,9 @@ def _nearest_cells(k: int, at_least: int):
 
 
 def _search(queries: DataFrame, cells: Cells, k: int, cosine: bool, approx_cells: int | None) -> DataFrame:
-    top = _top(k, cosine)
+    top = top_of_block(k, cosine)
     nearest = _nearest_cells(k, approx_cells or 1)
-    first = _first_k(_compare(_probes(queries, cells, nearest), cells, top, _HITS), k)
+    first = first_k(_compare(_probes(queries, cells, nearest), cells, top, HITS), k)
     if cells.pivots is None or approx_cells:
         return first
     # these rows give the bound and part of the result, and must be the same rows in both
@@ -211,11 +221,11 @@ def _search(queries: DataFrame, cells: Cells, k: int, cosine: bool, approx_cells
         near = d - radius[None, :] <= pdf["bound"].to_numpy()[:, None] + SLACK
         return near & ~nearest(d, counts, radius, pdf)
 
-    second = _compare(_probes(bounded, cells, reachable), cells, top, _HITS)
-    return _first_k(first.select("query_id", "offer_id", "score").unionByName(second), k)
+    second = _compare(_probes(bounded, cells, reachable), cells, top, HITS)
+    return first_k(first.select("query_id", "offer_id", "score").unionByName(second), k)
 
 
-def _distinct_queries(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+def distinct_queries(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each distinct query vector under its lowest id, and (member, query_id) for all queries."""
     groups = asked.groupBy("vec").agg(F.min("id").alias("id"))
     # the digest as a further key makes Spark deal out both sides anew, so that it can split a vector many queries share
@@ -243,12 +253,12 @@ def knn(
     cosine = metric == "cosine"
     depth = k + 1 if exclude_self else k
     offers = cut(dedup_rank(prepare_vectors(corpus, cosine), ["vec"], ["id"], keep=depth))
-    distinct, members = _distinct_queries(cut(prepare_vectors(queries, cosine, "query")))
+    distinct, members = distinct_queries(cut(prepare_vectors(queries, cosine, "query")))
     found = _search(distinct, divide(offers, n_pivots, bool(approx_cells)), depth, cosine, approx_cells).drop("rank")
     hits = members.join(found, "query_id").select(F.col("member").alias("query_id"), "offer_id", "score")
     if exclude_self:
         hits = hits.filter("query_id <> offer_id")
-    hits = _first_k(hits, k)
+    hits = first_k(hits, k)
     if not cosine:
         return hits.select("query_id", "rank", "offer_id", (-F.col("score")).alias("distance"))
     similarity = F.col("score")
@@ -268,7 +278,7 @@ def near_pairs(corpus: DataFrame, threshold: float, n_pivots: int | None = None)
     Equal vectors are one class under their lowest id, so a group of copies costs as many rows as it has
     members; pairs are of classes, ``id`` below ``other``. Cells wholly out of reach are not opened.
     """
-    classes, members = _distinct_queries(corpus.filter("vec is not null").select(F.col("id").cast("bigint").alias("id"), "vec"))
+    classes, members = distinct_queries(corpus.filter("vec is not null").select(F.col("id").cast("bigint").alias("id"), "vec"))
     rows = cut(prepare_vectors(classes, True))
     cells = divide(rows, n_pivots)
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
@@ -293,7 +303,7 @@ def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivot
     Cells wholly inside the radius are counted without being opened, cells wholly outside not at all.
     """
     cells = divide(cut(prepare_vectors(corpus, True)), n_pivots)
-    distinct, members = _distinct_queries(prepare_vectors(queries, True, "query"))
+    distinct, members = distinct_queries(prepare_vectors(queries, True, "query"))
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
 
     def inside(d, radius):
