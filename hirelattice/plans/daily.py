@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hirelattice.operators import rule_data as rd
 from hirelattice.operators import star
+from hirelattice.operators.bucketed import BucketedTable
 from hirelattice.operators.companies import company_match
 from hirelattice.operators.dates import date_match
 from hirelattice.operators.dedup import clean_offers, dedup_rank
@@ -16,7 +17,6 @@ from hirelattice.operators.domains import domain_match
 from hirelattice.operators.places import place_match
 from hirelattice.operators.rules import rule_match
 from hirelattice.operators.search import day_slice
-from hirelattice.operators.upsert import VersionedTable, upsert
 
 
 @dataclass(frozen=True)
@@ -36,8 +36,13 @@ class Dimensions:
 
 
 def todays_offers(raw: DataFrame, run_date: str) -> DataFrame:
-    """One row per local id, of those whose kept extraction is the run date's."""
-    return day_slice(clean_offers(raw, keep_rank=False), "date_extraction", run_date)
+    """One row per local id, of those whose kept extraction, the oldest, is the run date's.
+
+    Only the day's rows are ranked; of all earlier ones nothing but the local id is read, to leave known offers out.
+    """
+    first = clean_offers(day_slice(raw, "date_extraction", run_date), keep_rank=False)
+    known = raw.filter(F.to_date("date_extraction") < F.lit(run_date).cast("date")).select(F.col("id_local").alias("_known"))
+    return first.join(known, F.col("id_local").eqNullSafe(F.col("_known")), "left_anti")
 
 
 def build_fact(offers: DataFrame, dims: Dimensions) -> DataFrame:
@@ -69,22 +74,22 @@ def build_skill_bridge(offers: DataFrame, fact: DataFrame, skills: DataFrame) ->
     return star.offer_bridge(found.select("id_local", "id_competence"), fact, "id_offre", "id_competence")
 
 
-def run(raw: DataFrame, dims: Dimensions, run_date: str, target: str, version: int) -> tuple[DataFrame, DataFrame]:
+def run(raw: DataFrame, dims: Dimensions, run_date: str, target: str, buckets: int = 64) -> tuple[DataFrame, DataFrame]:
     """Upsert one day into the stored fact and skill bridge; returns both as they are afterwards.
 
-    Version ``version - 1`` is read and ``version`` written. The day's fact is written first and read
-    back, so that the bridge does not work it out again.
+    Only the buckets that hold the day's keys are written. A day may be run again, also after a run that
+    failed. The day's fact is written first and read back, so that the bridge does not work it out again.
     """
     spark = raw.sparkSession
     offers = todays_offers(raw, run_date)
-    day = VersionedTable(spark, f"{target}/day")
-    day.write(build_fact(offers, dims), version)
-    fact_of_day = day.read(version)
+    day = f"{target}/day/{run_date}"
+    build_fact(offers, dims).write.mode("overwrite").parquet(day)
+    fact_of_day = spark.read.parquet(day)
     bridge_of_day = build_skill_bridge(offers, fact_of_day, dims.skills)
     out = []
     for name, batch, keys, mode in (("fact", fact_of_day, ["id_local"], "append_new"),
                                     ("offer_skill", bridge_of_day, ["id_offre", "id_competence"], "sync_all")):
-        table = VersionedTable(spark, f"{target}/{name}")
-        table.write(upsert(table.read(version - 1), batch, keys, mode) if version > 0 else batch, version)
-        out.append(table.read(version))
+        table = BucketedTable(spark, f"{target}/{name}", keys, buckets)
+        table.upsert(batch, mode)
+        out.append(table.read())
     return out[0], out[1]

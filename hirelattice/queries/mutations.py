@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelattice.operators import upsert as u
+from hirelattice.operators.bucketed import BucketedTable
 from hirelattice.operators.dedup import dedup_rank
 from hirelattice.queries import Tables, query
 from hirelattice.session import run_dir
@@ -31,10 +32,27 @@ HALVES = f"""o as (select * from raw_offers where date_extraction < timestamp '{
     select id_local, id_offre, contract_type from o where id_local not in (select id_local from n)""")
 def j1(t: Tables):
     old, new, latest = _halves(t)
-    table = u.VersionedTable(t.spark, run_dir(t.spark, "fact"))
-    table.write(old.select("id_local", "id_offre", "contract_type"), 0)
-    table.write(u.upsert(table.read(0), new.select("id_local", "id_offre", "contract_type"), ["id_local"], order=latest), 1)
-    return table.read(1)
+    table = BucketedTable(t.spark, run_dir(t.spark, "fact"), ["id_local"], buckets=8)
+    table.replace(old.select("id_local", "id_offre", "contract_type"))
+    table.upsert(new.select("id_local", "id_offre", "contract_type"), order=latest)
+    return table.read()
+
+
+@query("j1_upsert_twice", f"""with {HALVES}
+    select id_local, id_offre, contract_type from n union all
+    select id_local, id_offre, contract_type from o where id_local not in (select id_local from n)""")
+def j1t(t: Tables):
+    # a day that is run again, an empty change, and the older versions gone
+    old, new, latest = _halves(t)
+    names = ["id_local", "id_offre", "contract_type"]
+    table = BucketedTable(t.spark, run_dir(t.spark, "fact"), ["id_local"], buckets=8)
+    table.replace(old.select(*names))
+    table.upsert(new.select(*names), order=latest)
+    first = table.read()
+    table.upsert(new.select(*names), order=latest)
+    table.upsert(first.limit(0))
+    table.vacuum(keep=1)
+    return table.read()
 
 
 @query("j2_upsert_wide", """
@@ -44,7 +62,10 @@ def j2(t: Tables):
     wide = t("customer").selectExpr("c_custkey as id", "c_name as title", "c_mktsegment as description")
     ids = t("supplier").selectExpr("s_suppkey as id")
     batch = wide.join(ids, "id", "left_semi").withColumn("description", F.lit("both"))
-    return u.upsert(wide, batch, ["id"])
+    table = BucketedTable(t.spark, run_dir(t.spark, "wide"), ["id"], buckets=8)
+    table.replace(wide)
+    table.upsert(batch)
+    return table.read()
 
 
 @query("j3_upsert_composite_key", """
@@ -55,7 +76,10 @@ def j3(t: Tables):
     li = t("lineitem")
     old = li.filter("l_returnflag <> 'A'").select("l_orderkey", "l_partkey").distinct().withColumn("origin", F.lit("old"))
     new = li.filter("l_linestatus = 'F'").select("l_orderkey", "l_partkey").distinct().withColumn("origin", F.lit("new"))
-    return u.upsert(old, new, ["l_orderkey", "l_partkey"])
+    table = BucketedTable(t.spark, run_dir(t.spark, "bridge"), ["l_orderkey", "l_partkey"], buckets=8)
+    table.replace(old)
+    table.upsert(new)
+    return table.read()
 
 
 def _schema_batches(t: Tables):

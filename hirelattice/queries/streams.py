@@ -24,7 +24,7 @@ def _stored(t: Tables, stream, name: str):
 
 FMT = "yyyy-MM-dd HH:mm:ss"
 
-# windows that the watermark has closed when the stream ends
+# steps that the watermark has closed when the stream ends
 CLOSED = "<= (select max(ts) from events) - interval 10 minute"
 
 
@@ -86,32 +86,47 @@ def s4(t: Tables):
     return jobs.upsert_stream(stream, ["user_id"], [F.col("event_id").desc()], run_dir(t.spark, "upsert"))
 
 
-@query("s5_count_per_status", f"""
+@query("s5_count_per_status", """
     with w as (select time_bucket(interval 5 minute, ts) as t0, event_type from events)
-    select strftime(t0, '%Y-%m-%d %H:%M:%S') as window_start, event_type, count(*) as n from w where t0 + interval 5 minute {CLOSED} group by 1, 2""")
+    select strftime(t0, '%Y-%m-%d %H:%M:%S') as window_start, event_type, count(*) as n from w group by 1, 2""")
 def s5(t: Tables):
     out = jobs.count_by_label(_events(t), "ts", "event_type")
-    return _stored(t, out.select(F.date_format("window.start", FMT).alias("window_start"), "event_type", "n"), "count")
+    named = out.select(F.date_format("window.start", FMT).alias("window_start"), "event_type", "n")
+    return jobs.to_table(named, ["window_start", "event_type"], run_dir(t.spark, "count"))
 
 
-@query("s6_rate_by_class", f"""
+@query("s5_events_counted", "select count(*) as events, count(distinct event_type) as types from events")
+def s5n(t: Tables):
+    # every event is in a window, in several batches and with the last windows open
+    parts = run_dir(t.spark, "event-files")
+    _in_order(t, parts)
+    stream = jobs.read_files(t.spark, parts, t("events").schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    counted = jobs.to_table(
+        jobs.count_by_label(stream, "ts", "event_type").select("window.start", "event_type", "n"), ["start", "event_type"], run_dir(t.spark, "counted"))
+    return counted.agg(F.sum("n").alias("events"), F.count_distinct("event_type").alias("types"))
+
+
+@query("s6_rate_by_class", """
     with w as (select time_bucket(interval 1 minute, ts) - to_minutes(m) as t0,
                  case event_type when 'error' then '5xx' when 'signup' then '4xx' else '2xx' end as status
                from events, (select unnest(range(0, 5)) as m))
     select strftime(t0, '%Y-%m-%d %H:%M:%S') as window_start, status, count(*) as n, round(count(*) / 300, 6) as rate from w
-    where t0 + interval 5 minute {CLOSED} group by 1, 2""")
+    group by 1, 2""")
 def s6(t: Tables):
     out = jobs.rate_by_class(_events(t), "ts", jobs.status_class(F.col("event_type"), ["error"], ["signup"]))
-    return _stored(t, out.select(F.date_format("window.start", FMT).alias("window_start"), "status", "n", F.round("rate", 6).alias("rate")), "rate")
+    named = out.select(F.date_format("window.start", FMT).alias("window_start"), "status", "n", F.round("rate", 6).alias("rate"))
+    return jobs.to_table(named, ["window_start", "status"], run_dir(t.spark, "rate"))
 
 
-@query("s7_average_duration", f"""
+@query("s7_average_duration", """
     with w as (select time_bucket(interval 5 minute, ts) as t0, value from events)
     select strftime(t0, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as n, round(sum(value), 4) as total, round(sum(value) / count(*), 6) as average
-    from w where t0 + interval 5 minute {CLOSED} group by 1""")
+    from w group by 1""")
 def s7(t: Tables):
     out = jobs.average_by_window(_events(t), "ts", "value")
-    return _stored(t, out.select(F.date_format("window.start", FMT).alias("window_start"), "n", F.round("total", 4).alias("total"), F.round("average", 6).alias("average")), "average")
+    named = out.select(
+        F.date_format("window.start", FMT).alias("window_start"), "n", F.round("total", 4).alias("total"), F.round("average", 6).alias("average"))
+    return jobs.to_table(named, ["window_start"], run_dir(t.spark, "average"))
 
 
 SUSTAINED = """

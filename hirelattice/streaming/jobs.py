@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from hirelattice.operators.bucketed import BucketedTable
 from hirelattice.operators.dedup import dedup_rank
 from hirelattice.sources.readers import parse_csv
 
@@ -80,32 +81,43 @@ def enrich(stream: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
     return stream
 
 
-def upsert_stream(stream: DataFrame, keys: list[str], order: list, target: str, initial: DataFrame | None = None) -> DataFrame:
+def upsert_stream(
+    stream: DataFrame, keys: list[str], order: list, target: str, initial: DataFrame | None = None, buckets: int = 8,
+) -> DataFrame:
     """Upsert every batch into a stored table and return the table as it is afterwards.
 
-    A batch is only added, in a folder of its own number, so its cost does not grow with the table;
-    reading takes the newest batch of each key. ``compact`` folds the batches into one now and then.
+    A batch writes the buckets that its keys lie in. The table knows the last batch it holds of each stream, so one
+    that is run again after a failure changes nothing. Of rows of one key the first in ``order`` counts.
     """
-    spark = stream.sparkSession
-    base = initial if initial is not None else spark.createDataFrame([], stream.schema)
-    # the first run lays the base; a later run on the same target goes on from what is there
-    base.write.mode("ignore").parquet(f"{target}/data/batch=-1")
+    table = BucketedTable(stream.sparkSession, f"{target}/table", keys, buckets)
+    if table.latest() is None:
+        # the first run lays the base; a later run on the same target goes on from what is there
+        table.replace(initial if initial is not None else stream.sparkSession.createDataFrame([], stream.schema))
+    _into(table, stream, order, f"{target}/log", "append")
+    return table.read()
 
-    def step(batch: DataFrame, number: int) -> None:
-        dedup_rank(batch, keys, order).write.mode("overwrite").parquet(f"{target}/data/batch={number}")
 
-    drain(stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{target}/log"))
-    return current(spark, f"{target}/data", keys)
+def to_table(stream: DataFrame, keys: list[str], target: str, buckets: int = 8) -> DataFrame:
+    """Store what a stream of aggregates knows of every key, that of open windows included.
 
+    Each batch replaces the rows of the keys it has changed, so a window is there from its first event on and
+    final once the watermark has passed it. A batch that is run again changes nothing.
+    """
+    table = BucketedTable(stream.sparkSession, f"{target}/table", keys, buckets)
+    if table.latest() is None:
+        table.replace(stream.sparkSession.createDataFrame([], stream.schema))
+    _into(table, stream, None, f"{target}/log", "update")
+    return table.read()
 
-def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest row of every key of a table stored in numbered batches."""
-    return dedup_rank(spark.read.parquet(path), keys, [F.col("batch").desc()]).drop("batch")
 
+def _into(table: BucketedTable, stream: DataFrame, order: list | None, log: str, mode: str) -> None:
+    def step(batch: DataFrame, number: int) -> None:
+        # batches are numbered for each checkpoint, which the id of the stream stands for
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        table.upsert(batch, order=order, writer=(stream_id, number))
+        table.vacuum()
 
-def compact(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
-    """Write the current rows as the first batch of a new table; the old one is only read."""
-    current(spark, path, keys).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    drain(stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", log))
 
 
 def windowed(stream: DataFrame, ts: str, labels: list[str | Column], length: str, slide: str | None = None, delay: str = DELAY):

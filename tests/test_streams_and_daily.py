@@ -1,7 +1,13 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from hirelattice.functions.calendar import calendar
+from hirelattice.operators.bucketed import BucketedTable
+from hirelattice.operators.dedup import clean_offers
+from hirelattice.operators.search import day_slice
 from hirelattice.plans import daily
 from hirelattice.plans.bindings import CONTRACTS, REMOTE_MODES, SENIORITIES
 from hirelattice.session import run_dir
@@ -38,15 +44,53 @@ def test_first_row_wins_over_batches(spark):
     assert rows(out.select("k", "id")) == [("a", 1), ("b", 2), ("c", 5), ("z", 7)]
 
 
-def test_upsert_over_batches_and_compaction(spark):
+def test_upsert_over_batches(spark):
     target = run_dir(spark, "upsert")
     start = spark.createDataFrame([(0, "q", None, 9)], SCHEMA)
     out = jobs.upsert_stream(_files(spark, BATCHES), ["k"], [F.col("id").desc()], target, start)
     want = [("a", 4), ("b", 6), ("c", 5), ("q", 0), ("z", 7)]
     assert rows(out.select("k", "id")) == want
-    packed = run_dir(spark, "packed")
-    jobs.compact(spark, f"{target}/data", ["k"], packed)
-    assert rows(jobs.current(spark, packed, ["k"]).select("k", "id")) == want
+    # versions no longer read are gone; a second stream goes on from the table, its batches being numbered anew
+    table = BucketedTable(spark, f"{target}/table", ["k"])
+    assert len(table.versions()) == 2
+    more = run_dir(spark, "more")
+    more_rows = _files(spark, [[(9, "q", D + "13:00:00", 1)], [(10, "a", D + "13:01:00", 1)]])
+    jobs._into(table, more_rows, [F.col("id").desc()], more, "append")
+    assert rows(table.read().select("k", "id")) == [("a", 10), ("b", 6), ("c", 5), ("q", 9), ("z", 7)]
+
+
+def test_a_batch_of_an_upsert_that_is_run_again_changes_nothing(spark, monkeypatch):
+    target, seen = run_dir(spark, "again"), []
+    whole = BucketedTable.upsert
+
+    def twice(self, batch, **options):
+        seen.append(options["writer"])
+        first = whole(self, batch, **options)
+        assert whole(self, batch, **options) == first
+        if len(seen) == 2:
+            raise OSError("lost after the switch")
+        return first
+
+    monkeypatch.setattr(BucketedTable, "upsert", twice)
+    source = run_dir(spark, "in")
+    _land(spark, source, BATCHES)
+    start = lambda: jobs.upsert_stream(_stream(spark, source), ["k"], [F.col("id").desc()], target)
+    with pytest.raises(Exception, match="lost"):
+        start()
+    assert rows(start().select("k", "id")) == [("a", 4), ("b", 6), ("c", 5), ("z", 7)]
+    # the second batch came again under its own number
+    assert [n for _, n in seen] == [0, 1, 1, 2, 3] and len({s for s, _ in seen}) == 1
+
+
+def test_open_windows_are_stored_and_replaced(spark):
+    source, target = run_dir(spark, "in"), run_dir(spark, "open")
+    count = lambda: jobs.to_table(jobs.count_by_label(_stream(spark, source), "ts", "k").select("window.start", "k", "n"), ["start", "k"], target)
+    shown = lambda df: rows(df.select("k", F.date_format("start", "HH:mm"), "n"))
+    _land(spark, source, [[(1, "a", D + "10:00:00", 1), (2, "a", D + "10:01:00", 1)]])
+    assert shown(count()) == [("a", "10:00", 2)]
+    # a row of the open window comes later, then one beyond the watermark's delay that is dropped
+    _land(spark, source, [[(3, "a", D + "10:02:00", 1), (4, "b", D + "10:30:00", 1)], [(5, "z", D + "10:31:00", 1)], [(6, "a", D + "10:03:00", 1)]])
+    assert shown(count()) == [("a", "10:00", 3), ("b", "10:30", 1), ("z", "10:30", 1)]
 
 
 def test_late_rows_are_dropped_and_open_windows_wait(spark):
@@ -98,13 +142,27 @@ def test_daily_run(spark):
     again = {**first, "id_offre": 2, "date_extraction": "2024-03-02 08:00:00"}
     other = {"id_offre": 3, "id_local": "B", "date_extraction": "2024-03-02 08:00:00", "skills": "un java ici"}
     target = run_dir(spark, "daily")
-    fact, bridge = daily.run(_raw(spark, [first]), dims, "2024-03-01", target, 0)
+    fact, bridge = daily.run(_raw(spark, [first]), dims, "2024-03-01", target, 64)
     row = fact.first().asDict()
     assert {k: str(v) for k, v in row.items()} == {
         "id_offre": "1", "id_local": "A", "id_contrat": "1", "id_seniorite": "1", "id_teletravail": "1", "id_lieu": "1", "id_entreprise": "11",
         "id_domaine": "3", "id_rome": "5", "id_date_creation": "2024-02-01", "id_date_modification": "1900-01-01"}
     assert rows(bridge) == [(1, 21)]
     # the next day: the repeated offer keeps its first extraction, so only the new one is of the day
-    fact, bridge = daily.run(_raw(spark, [first, again, other]), dims, "2024-03-02", target, 1)
-    assert rows(fact.select("id_local", "id_contrat")) == [("A", 1), ("B", None)]
-    assert rows(bridge) == [(1, 21), (3, 22)]
+    table = BucketedTable(spark, f"{target}/fact", ["id_local"])
+    before = table.files_of()
+    for _ in range(2):  # the second run of the day changes nothing
+        fact, bridge = daily.run(_raw(spark, [first, again, other]), dims, "2024-03-02", target, 64)
+        assert rows(fact.select("id_local", "id_contrat")) == [("A", 1), ("B", None)]
+        assert rows(bridge) == [(1, 21), (3, 22)]
+    assert len(before) == 1 and all(table.files_of()[k] == v for k, v in before.items()) and len(table.files_of()) == 2
+
+
+def test_offers_of_a_day_are_those_of_the_ranking_of_all(spark):
+    draw = random.Random(5)
+    data = [{"id_offre": i, "id_local": draw.choice("ABCDEFGH") if i % 9 else None,
+             "date_extraction": f"2024-03-{draw.randint(1, 4):02d} 0{draw.randint(0, 3)}:00:00" if i % 7 else None} for i in range(60)]
+    raw = _raw(spark, data)
+    for day in ("2024-03-01", "2024-03-02", "2024-03-03", "2024-03-05"):
+        want = day_slice(clean_offers(raw, keep_rank=False), "date_extraction", day)
+        assert rows(daily.todays_offers(raw, day)) == rows(want)
