@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hirelattice.operators import learning as ml
+from hirelattice.operators import decomposition, learning as ml
 from hirelattice.operators.similarity import knn
 from hirelattice.operators.splits import folds, hash_split
+from hirelattice.operators.tfidf import tfidf
 from hirelattice.queries import Tables, query
 from hirelattice.queries.similarity import PAIRS, _top
 from hirelattice.session import run_dir
@@ -33,6 +34,25 @@ def k11v(t: Tables):
     return ml.reduce_dims(t.bind("vectors"), 2)[0].select("id", F.round(F.abs(F.col("vec")[0]), 6).alias("x"), F.round(F.abs(F.col("vec")[1]), 6).alias("y"))
 
 
+@query("k11_singular_values", """
+    with l as (select id, unnest(cast(vec as double[])) as x, generate_subscripts(vec, 1) as d from vectors),
+    g as (select a.d as i, b.d as j, sum(a.x * b.x) as x from l a join l b on a.id = b.id group by 1, 2)
+    select round(sum(x) filter (where i = j), 4) as squares, round(sum(x * x), 4) as fourth_powers from g""")
+def k11s(t: Tables):
+    # all of them: their squares add up to the trace of A'A, their fourth powers to that of its square
+    rows, dim = decomposition.dense_rows(t.bind("vectors"))
+    values = decomposition.truncated_svd(rows, dim, dim).table(t.bind("vectors"))
+    square = F.col("singular_value") * F.col("singular_value")
+    return values.agg(F.round(F.sum(square), 4).alias("squares"), F.round(F.sum(square * square), 4).alias("fourth_powers"))
+
+
+@query("k11_truncated_svd")
+def k11t(t: Tables):
+    # sparse text vectors, not centred; a test holds the values against a full decomposition
+    rows, dim = decomposition.sparse_rows(tfidf(t("documents"), "doc_id", "text", max_features=5000), "doc_id", "term", "weight")
+    return decomposition.truncated_svd(rows, dim, 20).table(t("documents"))
+
+
 @query("k12_kmeans")
 def k12(t: Tables):
     return ml.kmeans(t.bind("vectors"))[0].groupBy("cluster").agg(F.count("*").alias("n"))
@@ -45,8 +65,16 @@ def k12s(t: Tables):
 
 @query("k13_silhouette")
 def k13(t: Tables):
-    score = ml.kmeans(t.bind("vectors"))[1]
-    return t.bind("vectors").agg(F.count("*").alias("n")).withColumn("silhouette", F.lit(float(score)))
+    return ml.kmeans(t.bind("vectors"))[1]
+
+
+@query("k13_silhouette_of_labels", """
+    with v as (select id, label, cast(vec as double[]) as v from vectors),
+    p as (select a.id, a.label, b.label as other, sum(list_distance(a.v, b.v)) as total, count(*) as n from v a cross join v b group by 1, 2, 3),
+    m as (select id, max(total / (n - 1)) filter (where label = other and n > 1) as a, min(total / n) filter (where label <> other) as b from p group by 1)
+    select count(*) as n, round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from m""")
+def k13l(t: Tables):
+    return decomposition.silhouette(t.bind("vectors"), "label").withColumn("silhouette", F.round("silhouette", 6))
 
 
 def _labelled(t: Tables):

@@ -55,9 +55,9 @@ def s2f(t: Tables):
     # in several batches, the later ones holding keys already stored
     parts = run_dir(t.spark, "event-files")
     _in_order(t, parts)
-    stream = jobs.read_files(t.spark, parts, t("events").schema, files_per_batch=1)
-    out = jobs.first_wins(stream, ["user_id", "event_type"], ["event_id"], run_dir(t.spark, "first-wins"))
-    return out.select("user_id", "event_type", "event_id")
+    stream = jobs.read_files(t.spark, parts, t("events").schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    with jobs.stateful(t.spark):
+        return _stored(t, jobs.first_wins(stream, ["user_id", "event_type"], ["event_id"], "ts", "60 days"), "first-wins").select("user_id", "event_type", "event_id")
 
 
 def _in_order(t: Tables, path: str):

@@ -6,12 +6,14 @@ gives the same rows once. Checkpoints and results live under the shared folder.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from hirelattice.operators.bucketed import BucketedTable
 from hirelattice.operators.dedup import dedup_rank
@@ -34,14 +36,16 @@ def read_files(
     return parse_csv(reader, folder, schema, dialect) if dialect else reader.schema(schema).parquet(folder)
 
 
-def drain(writer: DataStreamWriter) -> None:
-    """Process everything that is there, in as many batches as needed, and stop."""
-    writer.trigger(availableNow=True).start().awaitTermination()
+def drain(writer: DataStreamWriter) -> list[dict]:
+    """Process everything that is there, in as many batches as needed, and stop; the progress of the last batches."""
+    running = writer.trigger(availableNow=True).start()
+    running.awaitTermination()
+    return running.recentProgress
 
 
-def to_files(stream: DataFrame, target: str) -> None:
+def to_files(stream: DataFrame, target: str) -> list[dict]:
     """Append to a folder; its own log of finished files makes every row appear once."""
-    drain(stream.writeStream.format("parquet").outputMode("append").option("path", f"{target}/data").option("checkpointLocation", f"{target}/log"))
+    return drain(stream.writeStream.format("parquet").outputMode("append").option("path", f"{target}/data").option("checkpointLocation", f"{target}/log"))
 
 
 def ingest(spark: SparkSession, folder: str, schema: T.StructType, target: str, **options) -> DataFrame:
@@ -55,23 +59,63 @@ def dedup_stream(stream: DataFrame, keys: list[str], ts: str, delay: str = DELAY
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def first_wins(stream: DataFrame, keys: list[str], order: list, target: str) -> DataFrame:
-    """Keep the first row of every key over the whole stream, without a time limit.
-
-    Each batch keeps its first row per key and drops keys stored by earlier batches. It writes to a
-    folder named by its number, which a repeated batch overwrites.
+class _FirstRow(StatefulProcessor):
+    """Lets the first row of a key through and remembers the key until the watermark has passed its last row."""
+
+    def __init__(self, order: list[str], ts: str):
+        self.order, self.ts = order, ts
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", T.StructType([T.StructField("at", T.LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.last.get()[0] if self.last.exists() else None
+        first, newest = None, known
+        for part in rows:
+            times = part[self.ts].dropna()
+            if len(times):
+                at = int(pd.Timestamp(times.max()).value // 1_000_000)
+                newest = at if newest is None else max(newest, at)
+            if known is None and len(part):
+                first = part if first is None else pd.concat([first, part])
+                first = first.sort_values(self.order, kind="stable").iloc[:1]
+        if newest is None:  # rows without a time: remembered until the watermark moves on
+            newest = timerValues.getCurrentWatermarkInMs()
+        if newest != known:
+            if known is not None:
+                self.handle.deleteTimer(known)
+            self.handle.registerTimer(newest)
+            self.last.update((newest,))
+        if first is not None:
+            yield first.reset_index(drop=True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter([])
+
+
+def first_wins(stream: DataFrame, keys: list[str], order: list[str], ts: str, within: str = DELAY) -> DataFrame:
+    """The first row of every key, by the columns ``order`` among rows that come together.
+
+    A key is remembered until event time is ``within`` past its last row, and rows that come later than that
+    are dropped, so the state is that of the keys of the last ``within`` and a batch costs what its own rows cost.
+    The state store is RocksDB, which the session must name where the stream is started (``stateful``).
     """
-    spark = stream.sparkSession
-
-    def step(batch: DataFrame, number: int) -> None:
-        fresh = dedup_rank(batch, keys, order)
-        if number > 0:
-            stored = spark.read.parquet(f"{target}/data").filter(F.col("batch") < number).select(*keys)
-            fresh = fresh.join(stored, keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/data/batch={number}")
-
-    drain(stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{target}/log"))
-    return spark.read.parquet(f"{target}/data").drop("batch")
+    rows = stream.withWatermark(ts, within)
+    return rows.groupBy(*keys).transformWithStateInPandas(_FirstRow(order, ts), stream.schema, "Append", "EventTime")
+
+
+@contextlib.contextmanager
+def stateful(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started inside keep their state in RocksDB, as timers ask for."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def enrich(stream: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:

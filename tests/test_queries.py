@@ -9,8 +9,6 @@ from hirelattice.plans.bindings import BASE
 from tools.check import rows
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-# several model fits; run by the check tool
-SLOW = {"k14_text_classifier", "k15_class_probabilities", "k17_random_forest", "k20_cross_validation"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     got = QUERIES[name](spark, SF).toArrow()
     if name not in SQL:

@@ -40,8 +40,22 @@ BATCHES = [[(1, "a", D + "10:00:00", 1), (2, "b", D + "10:01:00", 1)],
 
 
 def test_first_row_wins_over_batches(spark):
-    out = jobs.first_wins(_files(spark, BATCHES), ["k"], ["id"], run_dir(spark, "first"))
-    assert rows(out.select("k", "id")) == [("a", 1), ("b", 2), ("c", 5), ("z", 7)]
+    def first(batches, within):
+        target = run_dir(spark, "first")
+        with jobs.stateful(spark):
+            progress = jobs.to_files(jobs.first_wins(_files(spark, batches), ["k"], ["id"], "ts", within), target)
+        return rows(spark.read.parquet(f"{target}/data").select("k", "id")), [p["stateOperators"][0]["numRowsTotal"] for p in progress]
+
+    got, _ = first(BATCHES, "1 day")
+    assert got == [("a", 1), ("b", 2), ("c", 5), ("z", 7)]
+    # rows of one batch come in any order; a row without a time counts too
+    got, _ = first([[(9, "a", D + "10:00:00", 1), (3, "a", D + "10:05:00", 1), (4, "n", None, 1)], [(1, "a", D + "10:01:00", 1)]], "1 day")
+    assert got == [("a", 3), ("n", 4)]
+    # many keys, then nothing but new ones much later: the old keys are forgotten, late rows of theirs dropped
+    many = [[(i, f"k{i}", D + "10:00:00", 1) for i in range(200)], [(500, "z", D + "20:00:00", 1)], [(501, "z", D + "20:01:00", 1), (502, "k1", D + "10:01:00", 1)]]
+    got, state = first(many, "1 hour")
+    assert len(got) == 201 and ("z", 500) in got and ("k1", 502) not in got
+    assert max(state) >= 200 and state[-1] < 20
 
 
 def test_upsert_over_batches(spark):
