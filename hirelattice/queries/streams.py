@@ -24,9 +24,6 @@ def _stored(t: Tables, stream, name: str):
 
 FMT = "yyyy-MM-dd HH:mm:ss"
 
-# steps that the watermark has closed when the stream ends
-CLOSED = "<= (select max(ts) from events) - interval 10 minute"
-
 
 @query("s1_ingest_files", "select event_id, user_id, event_type, value, props from events")
 def s1(t: Tables):
@@ -147,11 +144,13 @@ def s8(t: Tables):
     return _shown(jobs.sustained(jobs.condition_steps(events, "event_type", "ts", F.col("value") > 8), "event_type", 30))
 
 
-@query("s8_sustained_stream", SUSTAINED.format(cond=f"where time_bucket(interval 1 minute, ts) + interval 1 minute {CLOSED}"))
+@query("s8_sustained_stream", SUSTAINED.format(cond=""))
 def s8s(t: Tables):
-    # the steps are one stream, stored when the watermark closes them; the condition is a second one on top
-    steps = jobs.condition_steps(_events(t), "event_type", "ts", F.col("value") > 8)
-    target = run_dir(t.spark, "steps")
-    jobs.to_files(steps, target)
-    stored = jobs.read_files(t.spark, f"{target}/data", steps.schema)
-    return _stored(t, _shown(jobs.sustained_stream(stored, "event_type", 30)), "sustained")
+    # in several batches, the steps still open at the end included
+    parts = run_dir(t.spark, "event-files")
+    _in_order(t, parts)
+    stream = jobs.read_files(t.spark, parts, t("events").schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    with jobs.stateful(t.spark):
+        told = jobs.to_table(
+            jobs.sustained_stream(stream, "event_type", "ts", F.col("value") > 8, 30), ["event_type", "started"], run_dir(t.spark, "sustained"))
+    return _shown(told.filter("fired is not null"))

@@ -9,10 +9,10 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from hirelattice.operators.bucketed import BucketedTable
@@ -102,8 +102,11 @@ def first_wins(stream: DataFrame, keys: list[str], order: list[str], ts: str, wi
     are dropped, so the state is that of the keys of the last ``within`` and a batch costs what its own rows cost.
     The state store is RocksDB, which the session must name where the stream is started (``stateful``).
     """
-    rows = stream.withWatermark(ts, within)
-    return rows.groupBy(*keys).transformWithStateInPandas(_FirstRow(order, ts), stream.schema, "Append", "EventTime")
+    # plain names inside: rows reach the processor as named tuples, which change others
+    plain = {c: f"c{i}" for i, c in enumerate(stream.columns)}
+    rows = stream.toDF(*plain.values()).withWatermark(plain[ts], within)
+    work = _FirstRow([plain[c] for c in order], plain[ts])
+    return rows.groupBy(*[plain[k] for k in keys]).transformWithStateInPandas(work, rows.schema, "Append", "EventTime").toDF(*stream.columns)
 
 
 @contextlib.contextmanager
@@ -214,38 +217,107 @@ def sustained(steps: DataFrame, key: str, minutes: int) -> DataFrame:
     return runs.filter(long).groupBy(key, "started").agg(F.min("at").alias("fired"))
 
 
-def sustained_stream(steps: DataFrame, key: str, minutes: int) -> DataFrame:
-    """``sustained`` on a stream of steps: a run is reported once, as soon as it is long enough.
+def runs_of(steps: np.ndarray, on: np.ndarray, started: int | None, fired: int | None, need: int):
+    """The runs of ascending steps, as (started, fired or -1) arrays, and the run open at the end as (started, fired).
 
-    Spark allows no such stateful function behind an aggregate of the same stream, so the steps come
-    from the files that the stream of ``condition_steps`` writes. Whole batches of those files must be
-    read at a time, so their reader has no limit of files; late steps cannot come, as the watermark
-    has closed them.
+    ``started`` and ``fired`` are those of the run open before the first step.
     """
-    kind = steps.schema[key].dataType
-    out = T.StructType([T.StructField(key, kind), T.StructField("started", T.TimestampType()), T.StructField("fired", T.TimestampType())])
-    state_schema = T.StructType([T.StructField("started", T.LongType()), T.StructField("fired", T.BooleanType())])
-    need = minutes * 60 * 1_000_000
-
-    def step(group, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        started, fired = state.get if state.exists else (None, False)
-        rows = []
-        # the steps of one batch arrive in no order; there is at most one per key and minute
-        parts = [part for part in batches if len(part)]
-        steps_now = pd.concat(parts, ignore_index=True).sort_values("at")
-        for at, on in zip(steps_now["at"], steps_now["is_on"]):
-            now = int(pd.Timestamp(at).value // 1000)
-            if not on:
-                started, fired = None, False
-                continue
-            if started is None:
-                started = now
-            if not fired and now - started >= need:
-                fired = True
-                rows.append((group[0], pd.Timestamp(started * 1000), at))
-        state.update((started, fired))
-        yield pd.DataFrame(rows, columns=[key, "started", "fired"])
-
-    return steps.groupBy(key).applyInPandasWithState(step, out, state_schema, "append", GroupStateTimeout.NoTimeout)
+    if not len(steps):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), (started, fired)
+    run = np.cumsum(~on)
+    kept, lit = run[on], steps[on]
+    number, first = np.unique(kept, return_index=True)
+    begun, done = lit[first].copy(), np.full(len(number), -1, np.int64)
+    if len(number) and number[0] == 0 and started is not None:
+        begun[0], done[0] = started, -1 if fired is None else fired
+    long = lit >= np.repeat(begun, np.diff(np.append(first, len(lit)))) + need
+    at, where = np.unique(kept[long], return_index=True)
+    place = np.searchsorted(number, at)
+    done[place] = np.where(done[place] < 0, lit[long][where], done[place])
+    if on[-1]:
+        return begun, done, (int(begun[-1]), None if done[-1] < 0 else int(done[-1]))
+    return begun, done, (None, None)
+
+
+_RUN = T.StructType([T.StructField(c, T.LongType()) for c in ("started", "fired", "timer")] + [
+    T.StructField(c, T.BinaryType()) for c in ("steps", "last", "on", "told", "told_fired")])
+
+
+class _Sustained(StatefulProcessor):
+    """Per key: the run up to the last closed step, and the steps that the watermark has not closed, as arrays.
+
+    What an open step makes true is told at once and taken back, by a row without ``fired``, if a later row changes it.
+    """
+
+    def __init__(self, step: int, need: int):
+        self.step, self.need = step, need
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("run", _RUN)
+
+    def _load(self):
+        if not self.state.exists():
+            return None, None, None, [np.zeros(0, k) for k in (np.int64, np.int64, np.bool_, np.int64, np.int64)]
+        started, fired, timer, *arrays = self.state.get()
+        kinds = (np.int64, np.int64, np.bool_, np.int64, np.int64)
+        return started, fired, timer, [np.frombuffer(bytes(a), k) for a, k in zip(arrays, kinds)]
+
+    def _close(self, started, fired, steps, last, on, watermark: int):
+        """Fold the steps that end at the watermark (microseconds) or before into the run."""
+        closed = steps + self.step <= watermark
+        _, _, (started, fired) = runs_of(steps[closed], on[closed], started, fired, self.need)
+        return started, fired, steps[~closed], last[~closed], on[~closed]
+
+    def _save(self, started, fired, timer, *arrays) -> None:
+        ends = int(arrays[0][-1] + self.step) // 1000 if len(arrays[0]) else None
+        if ends != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if ends is not None:
+                self.handle.registerTimer(ends)
+        self.state.update((started, fired, ends, *(a.tobytes() for a in arrays)))
 
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        started, fired, timer, (steps, last, on, told, told_fired) = self._load()
+        for part in rows:  # a piece of the batch at a time, reduced to its steps
+            part = part[part["at"].notna()]
+            at = part["at"].to_numpy("datetime64[us]").astype(np.int64)
+            state = (part["state"] == True).to_numpy(bool)  # noqa: E712  null is off
+            steps, last, on = np.concatenate([steps, at - at % self.step]), np.concatenate([last, at]), np.concatenate([on, state])
+            order = np.lexsort((last, steps))
+            final = order[np.append(np.diff(steps[order]) != 0, True)] if len(order) else order
+            steps, last, on = steps[final], last[final], on[final]
+        begun, done, _ = runs_of(steps, on, started, fired, self.need)
+        now = dict(zip(begun[done >= 0].tolist(), done[done >= 0].tolist()))
+        before = dict(zip(told.tolist(), told_fired.tolist()))
+        changed = [(s, f) for s, f in now.items() if before.get(s) != f and not (s == started and f == fired)]
+        changed += [(s, None) for s in before if s not in now and s != started]
+        # what closed steps made true stays as it is
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        started, fired, steps, last, on = self._close(started, fired, steps, last, on, watermark)
+        open_ = [s for s, f in now.items() if len(steps) and f >= steps[0]]
+        self._save(started, fired, timer, steps, last, on, np.array(open_, np.int64), np.array([now[s] for s in open_], np.int64))
+        if changed:
+            yield pd.DataFrame({"key": [key[0]] * len(changed), "started": [pd.Timestamp(s * 1000) for s, _ in changed],
+                                "fired": [pd.NaT if f is None else pd.Timestamp(f * 1000) for _, f in changed]})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        started, fired, _, (steps, last, on, *_) = self._load()
+        closed = self._close(started, fired, steps, last, on, timerValues.getCurrentWatermarkInMs() * 1000)
+        none = np.zeros(0, np.int64)
+        self._save(closed[0], closed[1], None, *closed[2:], none, none)
+        return iter([])
+
+
+def sustained_stream(stream: DataFrame, key: str, ts: str, condition: Column, minutes: int, step_seconds: int = 60, delay: str = DELAY) -> DataFrame:
+    """``sustained`` over ``condition_steps`` of a stream of rows: (key, started, fired), in update mode.
+
+    A run is told as soon as a step, open or closed, makes it long enough; rows of one ``key`` and ``started`` replace each
+    other, and one without ``fired`` takes a run back that a later row of an open step has ended. A key keeps the
+    run it is in and the steps that the watermark has not closed, 17 bytes each, whatever its traffic; a timer folds the
+    steps into the run once they are closed. Rows later than ``delay`` are dropped. The session needs ``stateful``.
+    """
+    rows = stream.select(F.col(key).alias("key"), F.col(ts).alias("at"), condition.alias("state")).withWatermark("at", delay)
+    out = T.StructType([T.StructField("key", stream.schema[key].dataType), T.StructField("started", T.TimestampType()), T.StructField("fired", T.TimestampType())])
+    work = _Sustained(step_seconds * 1_000_000, minutes * 60_000_000)
+    return rows.groupBy("key").transformWithStateInPandas(work, out, "Update", "EventTime").withColumnRenamed("key", key)

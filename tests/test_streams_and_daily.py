@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -116,19 +118,68 @@ def test_late_rows_are_dropped_and_open_windows_wait(spark):
     assert got == [("a", "10:00", 1), ("a", "10:30", 2), ("b", "10:00", 1), ("b", "11:00", 1), ("c", "10:00", 1)]
 
 
+def _sustained(spark, source, target, minutes):
+    with jobs.stateful(spark):
+        told = jobs.sustained_stream(_stream(spark, source), "k", "ts", F.col("v") > 0, minutes)
+        return jobs.to_table(told, ["k", "started"], target).filter("fired is not null")
+
+
+def _plain(spark, data, minutes):
+    batch = spark.createDataFrame(data, "id long, k string, ts string, v int").withColumn("ts", F.col("ts").cast("timestamp"))
+    return rows(jobs.sustained(jobs.condition_steps(batch, "k", "ts", F.col("v") > 0), "k", minutes).select("k", "started", "fired"))
+
+
 def test_sustained_stream_equals_batch(spark):
     rows_in = [(i, "x" if i % 2 else "y", D + f"{9 + i // 60:02d}:{i % 60:02d}:30", (i // 7) % 3) for i in range(120)]
-    folder, mid, out = run_dir(spark, "in"), run_dir(spark, "mid"), run_dir(spark, "out")
-    # two runs on the same checkpoints: a run of the condition goes on where the first one stopped
-    for batches in ([rows_in[:40], rows_in[40:64]], [rows_in[64:90], rows_in[90:], [(999, "end", D + "23:00:00", 0)]]):
-        _land(spark, folder, batches)
-        steps = jobs.condition_steps(_stream(spark, folder), "k", "ts", F.col("v") > 0)
-        jobs.to_files(steps, mid)
-        stored = jobs.read_files(spark, f"{mid}/data", steps.schema)
-        jobs.to_files(jobs.sustained_stream(stored, "k", 5), out)
-    batch = spark.createDataFrame(rows_in, "id long, k string, ts string, v int").withColumn("ts", F.col("ts").cast("timestamp"))
-    want = jobs.sustained(jobs.condition_steps(batch, "k", "ts", F.col("v") > 0), "k", 5)
-    assert rows(spark.read.parquet(f"{out}/data")) == rows(want) != []
+    source, target, seen = run_dir(spark, "in"), run_dir(spark, "out"), []
+    # two runs on the same checkpoints: a run of the condition goes on where the first one stopped, and open steps count
+    for batches in ([rows_in[:40], rows_in[40:64]], [rows_in[64:90], rows_in[90:]]):
+        _land(spark, source, batches)
+        seen += [r for batch in batches for r in batch]
+        got = _sustained(spark, source, target, 5)
+        assert rows(got.select("k", "started", "fired")) == _plain(spark, seen, 5) != []
+
+
+def test_a_run_told_too_early_is_taken_back(spark):
+    source, target = run_dir(spark, "in"), run_dir(spark, "out")
+    first = [(i, "a", D + f"10:0{i}:10", 1) for i in range(4)]
+    _land(spark, source, [first])
+    assert rows(_sustained(spark, source, target, 3).select("k", F.date_format("fired", "HH:mm"))) == [("a", "10:03")]
+    # a later row of an open step before the end turns it off, rows in no order, one key without a run, a row without a time
+    more = [(9, "a", D + "10:02:50", 0), (8, "a", D + "10:05:10", 1), (7, "a", D + "10:04:10", 1), (10, "b", D + "10:04:10", 0), (11, "b", None, 1), (12, "b", D + "10:04:20", None)]
+    _land(spark, source, [more])
+    assert rows(_sustained(spark, source, target, 3)) == [] == _plain(spark, first + more, 3)
+    last = [(20, "a", D + "10:06:10", 1)]
+    _land(spark, source, [last])
+    got = _sustained(spark, source, target, 3)
+    assert rows(got.select("k", "started", "fired")) == _plain(spark, first + more + last, 3) != []
+
+
+def test_a_backlog_of_one_key_goes_through_and_its_state_shrinks(spark):
+    source, target, n = run_dir(spark, "in"), run_dir(spark, "out"), 1_000_000
+    steps = spark.range(n).select("id", F.lit("a").alias("k"), F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * 60).alias("ts"), (F.col("id") % 1000 > 0).cast("int").alias("v"))
+    steps.coalesce(1).write.parquet(source)
+    out = _sustained(spark, source, target, 900)
+    assert out.count() == n // 1000 and out.filter("unix_timestamp(fired) - unix_timestamp(started) <> 900 * 60").count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.booleans(), max_size=40), st.integers(0, 40), st.integers(1, 6))
+def test_runs_of_pieces_are_runs_of_the_whole(flags, cut, need):
+    steps, on = np.arange(len(flags)) * 2, np.array(flags, bool)
+    want, started, fired = {}, None, None
+    for s, f in zip(steps.tolist(), flags):
+        if not f:
+            started = fired = None
+            continue
+        started = s if started is None else started
+        if fired is None and s >= started + need:
+            fired = want[started] = s
+    whole = jobs.runs_of(steps, on, None, None, need)
+    assert {s: f for s, f in zip(*map(np.ndarray.tolist, whole[:2])) if f >= 0} == want and whole[2] == (started, fired)
+    a = jobs.runs_of(steps[:cut], on[:cut], None, None, need)
+    b = jobs.runs_of(steps[cut:], on[cut:], *a[2], need)
+    assert {s: f for part in (a, b) for s, f in zip(*map(np.ndarray.tolist, part[:2])) if f >= 0} == want and b[2] == (started, fired)
 
 
 def _raw(spark, data):
