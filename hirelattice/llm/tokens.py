@@ -18,7 +18,7 @@ import numpy as np
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECES = re.compile(f"[{_WHITE}]*(?:[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]+(?=[.,;:!?{_WHITE}]|$)|[^{_WHITE}]+)|[{_WHITE}]+")
 # pieces kept at most; then the memory starts anew
-KEPT = 250_000
+KEPT = 800_000
 
 
 class _Index(dict):
