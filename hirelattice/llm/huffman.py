@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelattice.llm.common import stored
 from hirelattice.llm.tokens import Encoder, text_runs, with_end
@@ -159,8 +159,8 @@ def _width(batch: pa.RecordBatch) -> type:
     return np.uint16
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str, end: int = 2) -> np.ndarray:
-    """Write the token files of ``documents(doc_id, text)`` under ``path``; returns the code lengths that read them.
+def write_tokens(documents: DataFrame, path: str, tokenizer: str, end: int = 2) -> None:
+    """Write the token files of ``documents(doc_id, text)`` under ``path``: ``blocks``, and ``lengths`` with the code that reads them.
 
     Null texts count as empty. Blocks hold whole documents, about 131 072 tokens.
     """
@@ -200,8 +200,20 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end: int = 2)
         if held:
             yield block()
 
-    table.select("part", "ahead", "doc_id", "tokens", "ids").mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(path)
-    return lengths
+    table.select("part", "ahead", "doc_id", "tokens", "ids").mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    # one row per id in use
+    used = np.flatnonzero(lengths)
+    code = [(int(i), int(lengths[i])) for i in used]
+    documents.sparkSession.createDataFrame(code, "id int, length int").coalesce(1).write.parquet(f"{path}/lengths")
+
+
+def open_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of the token files under ``path``, as ``read_tokens`` gives them, from the files alone."""
+    code = spark.read.schema("id int, length int").parquet(f"{path}/lengths").collect()
+    lengths = np.zeros(1 + max((r["id"] for r in code), default=0), np.uint8)
+    for r in code:
+        lengths[r["id"]] = r["length"]
+    return read_tokens(spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks"), lengths)
 
 
 def read_tokens(files: DataFrame, lengths: np.ndarray) -> DataFrame:

@@ -61,9 +61,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(ready(spark), "token-files")
-    lengths = huffman.write_tokens(read_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end=2)
-    read = huffman.read_tokens(spark.read.schema(huffman.BLOCK_SCHEMA).parquet(path), lengths)
-    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    huffman.write_tokens(read_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end=2)
+    return huffman.open_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
