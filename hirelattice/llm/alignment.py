@@ -6,7 +6,7 @@ and the differences of their ranks say which tokens a group holds. A link is a p
 
 Texts are cut before a space that follows another character than white space and precedes any: neither
 vocabulary has a token that reaches over such a place, so tokens end there in both, and each distinct piece is
-encoded and aligned once per worker. ``test_alignment`` holds the pieces against whole texts.
+encoded and aligned once per task. ``test_alignment`` holds the pieces against whole texts.
 
 How many documents hold an id pair is counted by Spark with map-side combine. The pairs held by most documents,
 ``HEAVY`` of them at most, go to all tasks as sorted arrays, where nearly all links find their count without a
@@ -35,7 +35,7 @@ from hirelattice.llm.tokens import text_runs
 
 # pairs that every task holds
 HEAVY = 1 << 18
-# pieces, and characters of them, that a worker keeps; beyond either its memory starts anew
+# pieces, and characters of them, that a task keeps; beyond either its memory starts anew
 KEPT, KEPT_CHARACTERS = 800_000, 16_000_000
 # white space that begins with another character than a space, or ends the text after one space, is not cut off
 _PIECES = re.compile(r"\s*\S+(?:[^\S\x20]\s*\S+)*(?:[^\S\x20]\s*\Z|\x20\Z)?|\s+")
@@ -145,7 +145,7 @@ class Aligner:
 
     @classmethod
     def of(cls, path_a: str, path_b: str) -> "Aligner":
-        """The worker's aligner; workers are reused between tasks, and with them what is kept."""
+        """The task's aligner: this module travels with the task, and so does what it keeps."""
         if (path_a, path_b) not in _ALIGNERS:
             _ALIGNERS[path_a, path_b] = cls(path_a, path_b)
         return _ALIGNERS[path_a, path_b]

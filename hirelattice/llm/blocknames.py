@@ -95,7 +95,7 @@ def _rank(carry: list[str]):
 
 def named(blocks: DataFrame, carry: list[str], label: str) -> tuple[DataFrame, DataFrame]:
     """``blocks(row, pos, size, block, carry...)`` with ``block`` replaced by ``name``, its rank among all distinct
-    blocks, and the stored table below, which may be discarded after use."""
+    blocks; and the stored ranks within each task of the sort that the names are made from."""
     schema = ", ".join([_RANKED, *(f"`{c}` {blocks.schema[c].dataType.simpleString()}" for c in carry)])
     ranked = stored(
         blocks.repartitionByRange("block", "row", "pos").sortWithinPartitions("block").mapInArrow(_rank(carry), schema), label)
