@@ -13,15 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from hirelattice.llm.common import stored
 from hirelattice.llm.words import U64, Words, shingles, words_of
 
 WINDOW, STEP = 32, 8
-POWER = 2
+TASKS = 8  # that share the passes over the benchmark
 NEAR = 0.42  # cosine of a candidate: a window that holds half of a passage has more
 COVERED, HALF, ANSWER = 0.75, 0.5, 0.8
 # items of fewer words are looked up as whole runs, and those of fewer than TINY as whole documents
@@ -63,8 +65,15 @@ class Vocabulary:
 
     def __init__(self, items: list[Item]):
         self.words = np.unique(np.concatenate([i.words for i in items])) if items else np.zeros(0, U64)
-        self.mark = np.zeros(1 << 20, bool)
-        self.mark[(self.words >> U64(44)).astype(np.int64)] = True
+
+    @cached_property
+    def mark(self) -> np.ndarray:
+        mark = np.zeros(1 << 20, bool)
+        mark[(self.words >> U64(44)).astype(np.int64)] = True
+        return mark
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words}  # every task marks for itself
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Index of each word, -1 for others."""
@@ -125,37 +134,55 @@ def _rows_of(passages: list[np.ndarray], vocabulary: Vocabulary, idf: np.ndarray
 
 
 def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, passages: int, seed: int = 5) -> np.ndarray:
-    """Right singular vectors (words x rank) of the TF-IDF matrix of the passages of ``benchmark(item_id, text)`` by a distributed randomised SVD.
+    """Right singular vectors (words x rank) of the TF-IDF matrix A of the passages of ``benchmark(item_id, text)`` by a distributed randomised SVD.
 
-    The rank is that of the matrix, so passages keep their whole norm. A pass sends each partition's share of
-    A'(A Q) for the present basis Q back; the driver only holds matrices of words x rank, and ``PASSAGES`` bounds both.
+    The rank is that of A, so passages keep their whole norm, and A'(A R) for one random R, which every task draws
+    from the seed, spans all of their space. Tasks send the rows of the words they hold; these are summed per word in
+    Spark, so that the driver gets one matrix of words x rank, which ``PASSAGES`` bounds, and one of rank x rank a task.
     """
     rank = min(passages, len(vocabulary.words))
-    basis = np.random.default_rng(seed).normal(size=(len(vocabulary.words), rank))
-
-    def products(basis: np.ndarray, gram: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((rank, rank) if gram else basis.shape)
-            for batch in batches:
-                found = read_items(list(zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist())))
-                for at, weight in _rows_of([p for item in found for p in _passages(item)], vocabulary, idf):
-                    y = weight @ basis[at]
-                    if gram:
-                        total += np.outer(y, y)
-                    else:
-                        total[at] += weight[:, None] * y
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
-
-        return run
-
-    def summed(basis: np.ndarray, gram: bool) -> np.ndarray:
-        tasks = max(1, min(8, (1 << 27) // max(1, basis.nbytes)))
-        parts = benchmark.select("item_id", "text").coalesce(tasks).mapInArrow(products(basis, gram), "m binary").collect()
-        return sum(np.frombuffer(bytes(p["m"])) for p in parts).reshape(rank, -1) if gram else sum(np.frombuffer(bytes(p["m"])) for p in parts).reshape(basis.shape)
-
-    for _ in range(POWER):
-        basis = np.linalg.qr(summed(np.linalg.qr(basis)[0], False))[0]
-    values, vectors = np.linalg.eigh(summed(basis, True))
+    rows = benchmark.select("item_id", "text").coalesce(TASKS)
+
+    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            found = read_items(list(zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist())))
+            yield from _rows_of([p for item in found for p in _passages(item)], vocabulary, idf)
+
+    def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        basis = np.random.default_rng(seed).normal(size=(len(vocabulary.words), rank))
+        total, held = np.zeros_like(basis), np.zeros(len(basis), bool)
+        for at, weight in weighted(batches):
+            total[at] += weight[:, None] * (weight @ basis[at])
+            held[at] = True
+        word = np.flatnonzero(held)
+        for low in range(0, len(word), 512):
+            part = word[low:low + 512]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([total[w].tobytes() for w in part], pa.binary())], names=["word", "m"])
+
+    def added(table: pa.Table) -> pa.Table:
+        word, at = np.unique(table.column("word").to_numpy(), return_inverse=True)
+        total = np.zeros((len(word), rank))
+        for k, m in zip(at, table.column("m")):
+            total[k] += np.frombuffer(m.as_py())
+        return pa.table({"word": pa.array(word), "m": pa.array([t.tobytes() for t in total], pa.binary())})
+
+    sums = rows.mapInArrow(ranged, "word long, m binary").groupBy((F.col("word") % TASKS).alias("part")).applyInArrow(added, "word long, m binary")
+    spread = np.zeros((len(vocabulary.words), rank))
+    for row in sums.toLocalIterator():
+        spread[row["word"]] = np.frombuffer(bytes(row["m"]))
+    basis = np.linalg.qr(spread)[0].astype(np.float32)
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((rank, rank))
+        for at, weight in weighted(batches):
+            y = weight @ basis[at]
+            total += np.outer(y, y)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
+
+    total = np.zeros((rank, rank))
+    for row in rows.mapInArrow(gram, "m binary").toLocalIterator():
+        total += np.frombuffer(bytes(row["m"])).reshape(rank, rank)
+    values, vectors = np.linalg.eigh(total)
     return (basis @ vectors[:, values > 1e-9 * max(1e-300, values.max())]).astype(np.float32)
 
 
@@ -275,6 +302,7 @@ def finders(documents: DataFrame, benchmark: DataFrame) -> list:
     Items without an id, a text or words match nothing. Repeated items are looked for once.
     """
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    items = stored(items, "items")
     n_words = F.size(F.split("text", r"[\x20\x09-\x0D]+"))
     blocks = max(1, -(-(items.agg(F.sum(F.ceil(n_words / WINDOW))).first()[0] or 0) // PASSAGES))
     out = []

@@ -378,3 +378,19 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES[:4]:
         odd = stage(spark, docs.limit(0), SF)
         assert odd.columns == docs.columns and odd.count() == 0
+
+
+def test_latent_space_keeps_the_whole_norm_of_every_passage(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.4, n) % 900) for n in rng.integers(12, 120, 60)]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").repartition(5)
+    items = decontaminate.read_items(list(enumerate(texts)))
+    vocabulary = decontaminate.Vocabulary(items)
+    idf = rng.uniform(1, 5, len(vocabulary.words))
+    parts = [p for i in items for p in decontaminate._passages(i)]
+    space = decontaminate.latent_space(bench, vocabulary, idf, len(parts))
+    matrix = np.zeros((len(parts), len(idf)))
+    for k, (at, weight) in enumerate(decontaminate._rows_of(parts, vocabulary, idf)):
+        matrix[k, at] = weight
+    assert np.allclose(np.linalg.norm(matrix @ space, axis=1), 1, atol=1e-4)
+    assert np.allclose(np.linalg.norm(matrix @ space, axis=0), np.linalg.svd(matrix)[1][:space.shape[1]][::-1], atol=1e-4)
