@@ -133,27 +133,26 @@ def _rows_of(passages: list[np.ndarray], vocabulary: Vocabulary, idf: np.ndarray
     return out
 
 
-def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, passages: int, seed: int = 5) -> np.ndarray:
+def latent_space(benchmark: DataFrame, items: list[Item], vocabulary: Vocabulary, idf: np.ndarray, seed: int = 5) -> np.ndarray:
     """Right singular vectors (words x rank) of the TF-IDF matrix A of the passages of ``benchmark(item_id, text)`` by a distributed randomised SVD.
 
+    ``items`` are those of the benchmark, whose rows in the space found turn it to the singular vectors.
+
     The rank is that of A, so passages keep their whole norm, and A'(A R) for one random R, which every task draws
     from the seed, spans all of their space. Tasks send the rows of the words they hold; these are summed per word in
-    Spark, so that the driver gets one matrix of words x rank, which ``PASSAGES`` bounds, and one of rank x rank a task.
+    Spark, so that the driver gets one matrix of words x rank, which ``PASSAGES`` bounds.
     """
-    rank = min(passages, len(vocabulary.words))
+    rank = min(sum(len(_passages(i)) for i in items), len(vocabulary.words))
     rows = benchmark.select("item_id", "text").coalesce(TASKS)
 
-    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for batch in batches:
-            found = read_items(list(zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist())))
-            yield from _rows_of([p for item in found for p in _passages(item)], vocabulary, idf)
-
     def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         basis = np.random.default_rng(seed).normal(size=(len(vocabulary.words), rank))
         total, held = np.zeros_like(basis), np.zeros(len(basis), bool)
-        for at, weight in weighted(batches):
-            total[at] += weight[:, None] * (weight @ basis[at])
-            held[at] = True
+        for batch in batches:
+            found = read_items(list(zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist())))
+            for at, weight in _rows_of([p for item in found for p in _passages(item)], vocabulary, idf):
+                total[at] += weight[:, None] * (weight @ basis[at])
+                held[at] = True
         word = np.flatnonzero(held)
         for low in range(0, len(word), 512):
             part = word[low:low + 512]
@@ -170,18 +169,11 @@ def latent_space(benchmark: DataFrame, vocabulary: Vocabulary, idf: np.ndarray,
     spread = np.zeros((len(vocabulary.words), rank))
     for row in sums.toLocalIterator():
         spread[row["word"]] = np.frombuffer(bytes(row["m"]))
-    basis = np.linalg.qr(spread)[0].astype(np.float32)
-
-    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((rank, rank))
-        for at, weight in weighted(batches):
-            y = weight @ basis[at]
-            total += np.outer(y, y)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
-
+    basis = np.linalg.qr(spread)[0]
     total = np.zeros((rank, rank))
-    for row in rows.mapInArrow(gram, "m binary").toLocalIterator():
-        total += np.frombuffer(bytes(row["m"])).reshape(rank, rank)
+    for at, weight in _rows_of([p for item in items for p in _passages(item)], vocabulary, idf):
+        y = weight @ basis[at]
+        total += np.outer(y, y)
     values, vectors = np.linalg.eigh(total)
     return (basis @ vectors[:, values > 1e-9 * max(1e-300, values.max())]).astype(np.float32)
 
@@ -314,7 +306,7 @@ def finders(documents: DataFrame, benchmark: DataFrame) -> list:
         vocabulary = Vocabulary(found)
         counts, passages = passage_counts(documents, vocabulary)
         idf = np.log((1.0 + passages) / (1.0 + counts)) + 1.0
-        out.append(_finder(Index(found, vocabulary, idf, latent_space(mine, vocabulary, idf, sum(len(_passages(i)) for i in found)))))
+        out.append(_finder(Index(found, vocabulary, idf, latent_space(mine, found, vocabulary, idf))))
     return out
 
 

@@ -388,7 +388,7 @@ def test_latent_space_keeps_the_whole_norm_of_every_passage(spark):
     vocabulary = decontaminate.Vocabulary(items)
     idf = rng.uniform(1, 5, len(vocabulary.words))
     parts = [p for i in items for p in decontaminate._passages(i)]
-    space = decontaminate.latent_space(bench, vocabulary, idf, len(parts))
+    space = decontaminate.latent_space(bench, items, vocabulary, idf)
     matrix = np.zeros((len(parts), len(idf)))
     for k, (at, weight) in enumerate(decontaminate._rows_of(parts, vocabulary, idf)):
         matrix[k, at] = weight
