@@ -24,10 +24,14 @@ BLOCK = 4096
 MAX_PIVOTS = 2048
 # up to this size all blocks of the corpus are compared, which is quicker than dividing it
 UNDIVIDED = 50_000
+# partial sums that are added up in one group
+FAN_IN = 16
 # slack of the cell bounds, far above the rounding of the distances
 SLACK = 1e-5
 # scores are ranked as rounded here, so that rounding noise cannot order equal vectors
 DIGITS = 9
+# components of unit vectors of one direction agree to this many digits, beyond the rounding of the scores
+SAME = 12
 
 _VECTOR = "id bigint, vec array<double>"
 
@@ -272,14 +276,32 @@ def best_match(queries: DataFrame, corpus: DataFrame, **options) -> DataFrame:
     return knn(queries, corpus, 1, **options).drop("rank")
 
 
+def _directions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Unit vectors by direction: the lowest id of each class, and (member, id) of all rows.
+
+    Vectors are of one direction if their components agree to ``SAME`` digits. A zero vector has none: it is a class of its own.
+    """
+    key = F.sha2(F.array_join(F.transform("vec", lambda x: F.format_string(f"%.{SAME}f", F.round(x, SAME) + F.lit(0.0))), ","), 256)
+    dimension = F.size("vec") - 2
+    zero = (F.element_at("vec", dimension + 1) > 0) | (F.element_at("vec", dimension + 2) > 0)
+    keyed = rows.withColumn("_key", F.when(zero, F.concat(F.lit("0:"), F.col("id").cast("string"))).otherwise(key))
+    least = keyed.groupBy("_key").agg(F.min(F.struct("id", "vec")).alias("_l"))
+    # the second key makes Spark deal out both sides anew, so that it can split a direction of many rows
+    again = lambda df: df.withColumn("_again", F.xxhash64("_key"))
+    members = again(keyed.select(F.col("id").alias("member"), "_key")).join(again(least.select("_key", F.col("_l.id").alias("id"))), ["_key", "_again"])
+    # zero vectors take part in no pair
+    return least.filter(~F.startswith("_key", F.lit("0:"))).select("_l.id", "_l.vec"), members.select("member", "id")
+
+
 def near_pairs(corpus: DataFrame, threshold: float, n_pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(id, other, similarity) of all pairs with a cosine of ``threshold`` or more, and (member, id) of all rows.
+    """(id, other, similarity) of all pairs with a cosine of ``threshold`` or more, and (member, id) of all rows with a vector.
 
-    Equal vectors are one class under their lowest id, so a group of copies costs as many rows as it has
-    members; pairs are of classes, ``id`` below ``other``. Cells wholly out of reach are not opened.
+    Vectors of one direction are one class under their lowest id, so a group of copies, scaled or not, costs as many rows
+    as it has members; pairs are of classes, ``id`` below ``other``. Cells wholly out of reach are not opened.
+    Vectors that are null or hold a null or non-finite component are left out; a zero vector has no pair.
     """
-    classes, members = distinct_queries(corpus.filter("vec is not null").select(F.col("id").cast("bigint").alias("id"), "vec"))
-    rows = cut(prepare_vectors(classes, True))
+    classes, members = _directions(cut(prepare_vectors(corpus, True)))
+    rows = cut(classes)
     cells = divide(rows, n_pivots)
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
 
@@ -294,7 +316,7 @@ def near_pairs(corpus: DataFrame, threshold: float, n_pivots: int | None = None)
     # the same rows under column names of their own, as both sides meet in one plan
     asked = rows.select(F.col("id").alias("id"), F.col("vec").alias("vec"))
     pairs = _compare(_probes(asked, cells, reachable), cells, over, "id bigint, other bigint, similarity double")
-    return pairs, members.withColumnRenamed("query_id", "id")
+    return pairs, members
 
 
 def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivots: int | None = None) -> DataFrame:
@@ -336,7 +358,7 @@ def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivot
 def moments(corpus: DataFrame) -> tuple[float, np.ndarray, np.ndarray]:
     """(count, sum of vectors, sum of outer products): a size set by the dimension, not by the rows.
 
-    Each partition gives one row; the rows are added up over a few levels of groups.
+    Each partition gives one row; at most ``FAN_IN`` rows are added up in one group, over as many levels as that takes.
     """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -354,9 +376,12 @@ def moments(corpus: DataFrame) -> tuple[float, np.ndarray, np.ndarray]:
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"part": pdf["part"].iloc[:1], "flat": [_matrix(pdf["flat"]).sum(0)]})
 
-    sums = corpus.mapInPandas(partial, "part int, flat array<double>")
-    for width in (256, 16, 1):
-        sums = sums.withColumn("part", F.col("part") % width).groupBy("part").applyInPandas(add, "part int, flat array<double>")
+    # stored, as the number of partial sums decides how many levels add them up
+    sums = cut(corpus.mapInPandas(partial, "part int, flat array<double>"))
+    left = (sums.agg(F.max("part")).first()[0] or 0) + 1
+    while left > 1:
+        left = -(-left // FAN_IN)
+        sums = sums.withColumn("part", F.col("part") % left).groupBy("part").applyInPandas(add, "part int, flat array<double>")
     flat = np.array(sums.first()["flat"])
     dim = int((math.isqrt(1 + 4 * (len(flat) - 1)) - 1) // 2)
     return flat[0], flat[1: dim + 1], flat[dim + 1:].reshape(dim, dim)

@@ -116,7 +116,7 @@ def k9(t: Tables):
       and query_id in (select class from c) and offer_id in (select class from c)
     union all select class, id, 1.0 from c where id <> class""")
 def k9p(t: Tables):
-    # every partner of every class of equal vectors, and each copy beside its class
+    # every partner of every class of vectors of one direction, and each copy beside its class
     pairs, members = sim.near_pairs(t.bind("vectors"), 0.5)
     copies = members.filter("member <> id").select("id", F.col("member").alias("other"), F.lit(1.0).alias("similarity"))
     return _six(pairs.unionByName(copies))

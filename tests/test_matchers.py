@@ -1,16 +1,18 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from hirelattice.functions.calendar import calendar
+from hirelattice.operators import domains as domains_module
 from hirelattice.operators import rule_data as rd
 from hirelattice.operators import star
 from hirelattice.operators.companies import company_match
 from hirelattice.operators.dates import date_match
 from hirelattice.operators.dictionary import dictionary_match
-from hirelattice.operators.domains import domain_match
+from hirelattice.operators.domains import domain_match, scored_matches
 from hirelattice.operators.numbering import number_rows
 from hirelattice.operators.places import place_match
 from hirelattice.operators.rules import rule_match, rule_match_by_join
@@ -204,6 +206,33 @@ def test_domains_traps(spark):
     assert per == [(1, "a"), (1, "b"), (1, "d"), (2, "c")]
 
 
+@pytest.mark.parametrize("table", [100_000, 2])
+def test_token_matches_in_the_row(spark, table, monkeypatch):
+    """Counts, lists and shares against plain Python, with one lookup table and with several."""
+    monkeypatch.setattr(domains_module, "NAMES", table)
+    names = [(1, "Gestion de projet, gestion"), (2, "banque"), (3, "Zebre banque"), (4, ""), (5, None), (None, "projet")]
+    texts = [("a", "projet PROJET gestion, seule"), ("b", None), ("c", ""), ("d", "rien de tel"), ("e", "banque banque gestion zzz yy"), (None, "banque")]
+    offers = spark.createDataFrame(texts, "id_local string, description string")
+    domains = spark.createDataFrame(names, "id_domaine int, nom_domaine string")
+    stop = spark.createDataFrame([("seule",), (None,)], "word string")
+
+    def pieces(text):
+        return [w for w in re.sub("[-',.\"]+", " ", (text or "").lower()).split(" ") if len(w) > 2 and w != "seule"]
+
+    want = set()
+    for i, name in names:
+        for o, text in texts:
+            shared = set(pieces(name)) & set(pieces(text))
+            if shared and i is not None:
+                n = sum(pieces(name).count(w) * pieces(text).count(w) for w in shared)
+                want.add((i, o, n, len(shared), " ".join(sorted(shared)), round(100 * len(shared) / len(set(pieces(text))), 6)))
+    got = scored_matches(domains, offers, "description", stop)
+    got = [tuple(r) for r in got.selectExpr("id_domaine", "id_local", "matched_tokens", "unique_matched_tokens", "matching_tokens", "round(pct, 6)").collect()]
+    assert (3, None, 1, 0, None, None) in got
+    assert set(got) == want | {(3, None, 1, 0, None, None)}
+    assert len(got) == len(want) + 1
+
+
 def test_wide_table_rewrite_equals_naive(spark, tables):
     a, b = joins._wide(tables), joins._wide(tables, naive=True)
     assert rows(a.select(*sorted(a.columns))) == rows(b.select(*sorted(a.columns)))

@@ -36,14 +36,34 @@ def _brute(q, c, k, metric, exclude=False):
 def test_near_pairs_are_all_pairs_of_classes(spark, data, pivots, monkeypatch):
     monkeypatch.setattr(sim, "BLOCK", 40)
     pairs, members = sim.near_pairs(_frame(spark, data), 0.9, n_pivots=pivots)
+    zero = ~data.any(axis=1)
     classes = {tuple(v): i for i, v in reversed(list(enumerate(data.tolist())))}
-    assert sorted(rows(members)) == sorted((i, classes[tuple(v)]) for i, v in enumerate(data.tolist()))
+    assert sorted(rows(members)) == sorted((i, i if zero[i] else classes[tuple(v)]) for i, v in enumerate(data.tolist()))
     unit = data / np.where(np.linalg.norm(data, axis=1, keepdims=True) == 0, 1, np.linalg.norm(data, axis=1, keepdims=True))
-    lead = sorted(classes.values())
+    lead = sorted(i for i in classes.values() if not zero[i])
     want = [(i, j) for i in lead for j in lead if i < j and round(float(unit[i] @ unit[j]), 9) >= 0.9]
     assert want and sorted(rows(pairs.select("id", "other"))) == want
 
 
+@pytest.mark.parametrize("pivots", [None, 8])
+def test_near_pairs_of_scaled_copies_and_odd_vectors(spark, data, pivots):
+    """Scaled copies are members of one class, not pairs; a NaN among the rows loses none of the others."""
+    scaled = [data[1] * s for s in (0.1, 0.3, 1.0, 3.7, 1e6)]
+    vectors = [*data[:60], *scaled, [float("nan")] * 6, [0.0] * 6, [0.0] * 6]
+    df = _frame(spark, vectors).union(spark.createDataFrame([(900, None)], "id long, vec array<double>"))
+    pairs, members = sim.near_pairs(df, 0.9, n_pivots=pivots)
+    found = dict(rows(members))
+    assert [found[60 + k] for k in range(5)] == [1] * 5
+    assert 65 not in found and 900 not in found and found[66] == 66 and found[67] == 67
+    clean, _ = sim.near_pairs(_frame(spark, data[:60]), 0.9, n_pivots=pivots)
+    assert rows(pairs.select("id", "other")) == rows(clean.select("id", "other")) != []
+
+
+def test_moments_are_added_up_in_small_groups(spark, data):
+    n, total, outer = sim.moments(_frame(spark, data).repartition(45))
+    assert n == len(data) and np.allclose(total, data.sum(0)) and np.allclose(outer, data.T @ data)
+
+
 @pytest.mark.parametrize("metric", ["cosine", "euclidean"])
 @pytest.mark.parametrize("pivots", [None, 9])
 @pytest.mark.parametrize("exclude", [False, True])
