@@ -66,21 +66,19 @@ def op9_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after four batches: all documents come in, exact copies but the first of each text go, the counts
-    of what is left are revised under a second tokenizer version, and the deletion is delivered once more."""
+    """Totals after five deliveries: all documents come in under two tokenizers, copies but the first of each text go, the
+    counts of what is left are revised under the first tokenizer, whose documents get an end id, and the deletion comes once more."""
     documents = read_table(ready(spark), sf_dir, "documents")
-    counted = stored(documents.select(
-        "doc_id", "source", "lang", F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"),
-        rollup.whitespace_tokens(F.col("text")).alias("words"), rollup.piece_tokens(F.col("text")).alias("pieces")), "counted")
-    first = stored(counted.groupBy("h", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "copied")
-    copies = counted.join(first, ["h", "c"]).where("doc_id <> first")
+    names = ("byte_bpe_50k", "word_bpe_49k")
+    counted = stored(rollup.token_counts(documents, {name: tokenizer_path(f"{name}.json") for name in names}), "token-counts")
+    rows = stored(rollup.without_copies(counted).withColumns({"left": F.col("n") - F.col("gone"), "ended": F.col(names[0]) + 1}), "copies")
     totals = rollup.TokenTotals(spark, run_dir(spark, "token-totals"))
-    totals.commit("1-load", rollup.deltas(counted, "words-1", "words", 1))
-    gone = rollup.deltas(copies, "words-1", "words", -1)
-    totals.commit("2-copies", gone)
-    left = counted.join(copies.select("doc_id"), "doc_id", "left_anti")
-    totals.commit("3-revised", rollup.deltas(left, "words-1", "words", -1).union(rollup.deltas(left, "pieces-2", "pieces", 1)))
-    totals.commit("2-copies", gone)
+    for name in names:
+        totals.commit(f"load {name}", rollup.deltas(rows, name, name, 1, "n"))
+    gone = rollup.deltas(rows, names[0], names[0], -1, "gone").union(rollup.deltas(rows, names[1], names[1], -1, "gone"))
+    totals.commit("copies", gone)
+    totals.commit("ended", rollup.deltas(rows, names[0], names[0], -1, "left").union(rollup.deltas(rows, names[0], "ended", 1, "left")))
+    totals.commit("copies", gone)
     return totals.totals()
 
 
@@ -134,11 +132,6 @@ with {_URL_PARTS},
         from urls join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
 select u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') as verdict
 from urls u left join fits f on f.page_id = u.page_id and f.k = 1""",
-    "op10_token_counts": r"""
-with kept as (select source, lang, text, row_number() over (partition by text order by doc_id) as k from documents)
-select source, lang, 'pieces-2' as tokenizer, count(*) as docs,
-       cast(sum(coalesce(len(regexp_extract_all(text, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')), 0)) as bigint) as tokens
-from kept where k = 1 or text is null group by all""",
     "op11_block_naming": """
 with lower_case as (
     select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)

@@ -85,6 +85,47 @@ class Encoder:
         return ids, np.diff(run[edges])
 
 
+class PieceCounts:
+    """How many ids texts have by several tokenizer files; each distinct piece is encoded once, and only its counts are kept."""
+
+    _of: dict[tuple[str, ...], "PieceCounts"] = {}
+
+    @classmethod
+    def of(cls, paths: tuple[str, ...]) -> "PieceCounts":
+        """The worker's counts for these files, kept between tasks."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        if paths not in cls._of:
+            import tokenizers
+
+            cls._of[paths] = cls([tokenizers.Tokenizer.from_file(path) for path in paths])
+        return cls._of[paths]
+
+    def __init__(self, coders: list):
+        self.coders = coders
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index, self.sizes = _Index(), np.zeros((len(self.coders), 0), np.int64)
+
+    def _learn(self) -> None:
+        pieces, self.index.fresh = self.index.fresh, []
+        new = [[len(e.ids) for low in range(0, len(pieces), 20_000) for e in coder.encode_batch_fast(pieces[low:low + 20_000], add_special_tokens=False)]
+               for coder in self.coders]
+        self.sizes = np.concatenate([self.sizes, np.array(new, np.int64)], axis=1)
+
+    def count(self, texts: list[str | None]) -> np.ndarray:
+        """Ids of each text (columns) by each tokenizer (rows); null and empty texts have none."""
+        if len(self.index) > KEPT:
+            self._forget()
+        parts = [_PIECES.findall(t) if t else [] for t in texts]
+        edges = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(parts)), np.int64, int(edges[-1]))
+        if self.index.fresh:
+            self._learn()
+        run = np.concatenate([np.zeros((len(self.coders), 1), np.int64), np.cumsum(self.sizes[:, at], axis=1)], axis=1)
+        return run[:, edges[1:]] - run[:, edges[:-1]]
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids with ``end`` after each text, and where each text's begin."""
     first = np.concatenate([[0], np.cumsum(counts + 1)])

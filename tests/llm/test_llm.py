@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import tokenizers
 
 from hirelattice.llm import covertree, decontaminate, huffman, minhash, packing, passages, quality, queries, rollup, sharding, urlfilter
 from hirelattice.llm.common import connected_components
@@ -330,11 +331,66 @@ def test_totals(spark):
     totals.commit("3", rollup.deltas(rows.where("source = 'b'"), "t", "n", -1))
     got = {tuple(r) for r in totals.totals().collect()}
     assert got == {("a", "en", "t", 1, 3), (None, None, "t", 1, 5)}
-    assert {tuple(r) for r in totals.compact(run_dir(spark, "totals")).totals().collect()} == got
+    folded = totals.compact(run_dir(spark, "totals"))
+    assert {tuple(r) for r in folded.totals().collect()} == got
+    # what was folded can't come in again, also after another fold
+    again = folded.compact(run_dir(spark, "totals"))
+    for one in (folded, again):
+        assert not one.commit("1", rollup.deltas(rows, "t", "n", 1)) and {"1", "2", "3"} < set(one.batches())
+        assert {tuple(r) for r in one.totals().collect()} == got
+    with pytest.raises(ValueError):
+        totals.compact(again.path)
     totals.commit("4", rollup.deltas(rows.limit(0), "t", "n", 1))
     assert {tuple(r) for r in totals.totals().collect()} == got
 
 
+def test_two_writers_of_one_batch(spark, monkeypatch):
+    """Both have found the name free; only one of them counts, and whole."""
+    rows = spark.createDataFrame([("a", "en", 3), ("b", "en", 4)], "source string, lang string, n long")
+    path = run_dir(spark, "totals")
+    one, two = rollup.TokenTotals(spark, path), rollup.TokenTotals(spark, path)
+    assert one.commit("x/1", rollup.deltas(rows, "t", "n", 1))
+    monkeypatch.setattr(two, "committed", lambda batch: False)
+    assert not two.commit("x/1", rollup.deltas(rows.where("n = 3"), "t", "n", 1))
+    assert one.batches() == ["x/1"]
+    assert {tuple(r) for r in one.totals().collect()} == {("a", "en", "t", 1, 3), ("b", "en", "t", 1, 4)}
+
+
+def _counted(rows):
+    """Totals of op10 by the library on whole texts."""
+    coders = {n: tokenizers.Tokenizer.from_file(queries.tokenizer_path(f"{n}.json")) for n in ("byte_bpe_50k", "word_bpe_49k")}
+    order = lambda r: (r[0] is None, r[0] or 0, r[3] is not None, r[3] or "", r[2] is not None, r[2] or "")
+    texts: dict = {}
+    for r in rows:
+        texts.setdefault(r[1], []).append(r)
+    left = [r for text, same in texts.items() for r in (same if text is None else [min(same, key=order)])]
+    totals: dict = {}
+    for name, coder in coders.items():
+        for r in left:
+            n = len(coder.encode(r[1], add_special_tokens=False).ids) if r[1] else 0
+            docs, tokens = totals.get((r[3], r[2], name), (0, 0))
+            totals[r[3], r[2], name] = (docs + 1, tokens + n + (name == "byte_bpe_50k"))
+    return {(*key, *sums) for key, sums in totals.items()}
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_token_counts(spark, empty):
+    """Repeated rows, null ids, null texts and ties, against the library on whole texts."""
+    extra = [(1, "a b", "en", "s"), (1, "a b", "en", "s"), (2, "a b", "de", "s"), (3, None, "en", "s"), (3, None, "en", "s"), (None, "a b", "en", "s"),
+             (None, "c", None, None), (None, "c", None, "t"), (None, "", "en", None), (7, "", "en", "s"), (8, "tie", "en", "z"), (8, "tie", "en", "y"), (9, "x" * 50_000, "en", "s")]
+    rows = [] if empty else [(*r[:3], r[3]) for r in documents()] + extra
+    folder = run_dir(spark, "few")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
+    got = [tuple(r) for r in queries.op10_token_counts(spark, folder).select("source", "lang", "tokenizer", "docs", "tokens").collect()]
+    assert len(got) == len(set(got)) and set(got) == _counted(rows)
+
+
+def test_token_counts_of_a_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+    got = queries.op10_token_counts(spark, SF).select("source", "lang", "tokenizer", "docs", "tokens")
+    assert {tuple(r) for r in got.collect()} == _counted(rows)
+
+
 def test_quality(spark, docs, none):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
     rows = quality.score_documents(docs, labels, rows=8).collect()
