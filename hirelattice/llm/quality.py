@@ -6,8 +6,8 @@ that cover the text, a hidden layer judges each chunk, and the mean and the maxi
 over all chunks make one probability. Nothing but the bytes goes in.
 
 The network is fitted by Adam on a bounded sample: at most ``rows`` labelled texts, half of them from each
-class where there are so many, the lowest by a hash of their id, and of each text at most ``TRAIN_BYTES``
-bytes (its beginning and its end). Scoring reads whole texts.
+class where there are so many, the lowest by a hash of their id. A text of more than ``SECTIONS`` chunks gives a
+chunk from a drawn place in each of as many equal parts, so that all of it can be learned from. Scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from hirelattice.llm.words import buffers, slices
 BLOCK, CHUNK_BLOCKS, CHUNK_STEP = 64, 8, 7
 DIM, WIDTH, FILTERS, HIDDEN, HOP = 6, 8, 24, 24, 2
 PAD = 256
-TRAIN_ROWS, TRAIN_BYTES, STEPS = 2560, 3584, 540
+TRAIN_ROWS, SECTIONS, STEPS = 2560, 7, 540
 
 Network = dict[str, np.ndarray]
 
@@ -166,6 +166,14 @@ def _long(net: Network, data: np.ndarray, limit: int) -> float:
     return float(np.concatenate([total / chunks, top]) @ net["last"] + net["bias"][0])
 
 
+def sections(text: Column, doc_id: Column) -> Column:
+    """The bytes of a short text; of a longer one, a chunk from each of ``SECTIONS`` equal parts, at places drawn from the id."""
+    data, chunk, size = text.cast("binary"), CHUNK_BLOCKS * BLOCK, F.octet_length(text)
+    part = F.floor(size / SECTIONS).cast("int")
+    place = lambda k: 1 + part * k + F.pmod(F.xxhash64(doc_id, F.lit(k)), part - chunk + 1).cast("int")
+    return F.when(size <= SECTIONS * chunk, data).otherwise(F.concat(*[F.substring(data, place(k), F.lit(chunk)) for k in range(SECTIONS)]))
+
+
 def sample(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[bytes], list[int]]:
     """At most ``rows`` labelled texts of ``documents(doc_id, text)`` by ``labels(doc_id, quality)``; bounded in rows and bytes.
 
@@ -174,11 +182,11 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> t
     named = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     named = named.withColumn("h", F.xxhash64("doc_id"))
     chosen = [named.where(F.col("label") == k).orderBy("h", "doc_id").limit(rows // 2) for k in (0, 1)]
-    data, half = F.coalesce(F.col("text"), F.lit("")).cast("binary"), TRAIN_BYTES // 2
-    short = F.when(F.octet_length("text") <= TRAIN_BYTES, data).otherwise(F.concat(F.substring(data, 1, half), F.substring(data, -half, half)))
     # at most ``rows`` ids, so their broadcast is bounded
-    got = documents.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "label", short.alias("data"))
-    found = got.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    got = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    # of several texts of one id the lowest by its hash
+    one = got.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), sections(F.col("text"), F.col("doc_id")).alias("data"))).alias("t"))
+    found = one.select("label", "t.data", F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").collect()
     return [bytes(r["data"]) for r in found], [r["label"] for r in found]
 
 

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 import tokenizers
+from pyspark.sql import functions as F
 
 from hirelattice.llm import covertree, decontaminate, huffman, minhash, packing, passages, quality, queries, rollup, sharding, urlfilter
 from hirelattice.llm.common import connected_components
@@ -401,6 +402,81 @@ def test_quality(spark, docs, none):
     assert {r["score"] for r in quality.score_documents(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def _plain_score(net, text):
+    """The network's sum by plain loops."""
+    blocks = -(-(len(text) + quality.WIDTH) // quality.BLOCK)
+    codes = [*text, *[quality.PAD] * (blocks * quality.BLOCK + quality.WIDTH - len(text))]
+    tops, means = [], []
+    for b in range(blocks):
+        seen = []
+        for at in range(b * quality.BLOCK, (b + 1) * quality.BLOCK, quality.HOP):
+            window = np.concatenate([net["table"][c] for c in codes[at:at + quality.WIDTH]])
+            seen.append(np.maximum(window @ net["filters"] + net["offset"], 0) if at < len(text) else np.zeros(quality.FILTERS))
+        tops.append(np.max(seen, axis=0))
+        means.append(np.mean(seen, axis=0))
+    judged = []
+    for c in range(max(1, -(-(blocks - 1) // quality.CHUNK_STEP))):
+        some = slice(c * quality.CHUNK_STEP, c * quality.CHUNK_STEP + quality.CHUNK_BLOCKS)
+        high, low = np.max(tops[some], axis=0), np.sum(means[some], axis=0) / quality.CHUNK_BLOCKS
+        judged.append(np.maximum(np.concatenate([high, low * 4]) @ net["hidden"] + net["shift"], 0))
+    return np.concatenate([np.mean(judged, axis=0), np.max(judged, axis=0)]) @ net["last"] + net["bias"][0]
+
+
+def _net(seed):
+    net = {k: v.astype(np.float64) for k, v in quality.fresh(seed).items()}
+    net["last"] = np.random.default_rng(seed).normal(size=net["last"].shape)
+    return net
+
+
+QUALITY_TEXTS = [b"", b"a", bytes(range(1, 200)) * 9, prose(150, 3).encode(), b"x" * 511, b"y" * 56]
+
+
+def test_forward_pass_by_plain_loops():
+    net = _net(3)
+    at = np.cumsum([0, *map(len, QUALITY_TEXTS)])
+    got = quality._forward(net, *quality._layout(np.frombuffer(b"".join(QUALITY_TEXTS), np.uint8), at))["score"]
+    assert np.allclose(got, [_plain_score(net, t) for t in QUALITY_TEXTS], atol=1e-6)
+
+
+def test_gradient_by_differences():
+    net, label = _net(4), np.array([0, 1, 1, 0, 1, 0])
+    at = np.cumsum([0, *map(len, QUALITY_TEXTS)])
+    laid = quality._layout(np.frombuffer(b"".join(QUALITY_TEXTS), np.uint8), at)
+
+    def loss():
+        s = quality._forward(net, *laid)["score"]
+        return np.mean(np.logaddexp(0, s) - label * s)
+
+    grad, draw = quality._gradient(net, quality._forward(net, *laid), *laid, label), np.random.default_rng(5)
+    for name, g in grad.items():
+        flat, steep = net[name].reshape(-1), g.reshape(-1)
+        for i in [*draw.choice(flat.size, min(6, flat.size), replace=False), int(np.abs(steep).argmax())]:
+            if name == "table" and i >= quality.PAD * quality.DIM:
+                continue  # the padding's vector stays zero
+            kept, low_high = flat[i], []
+            for shift in (-1e-6, 1e-6):
+                flat[i] = kept + shift
+                low_high.append(loss())
+            flat[i] = kept
+            assert abs((low_high[1] - low_high[0]) / 2e-6 - steep[i]) < 1e-3 * max(1, np.abs(steep).max()), name
+
+
+def test_sample_is_drawn_from_all_parts_of_a_text(spark):
+    """Short texts whole; of a long one a chunk from every part; one text of an id that has several, always the same."""
+    long = bytes(33 + k // 1000 for k in range(70_000)).decode()
+    rows = [(1, "short"), (2, long), (3, "one"), (3, "two"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int")
+    first = quality.sample(docs, labels)
+    assert first == quality.sample(docs.orderBy(F.desc("text")).repartition(3), labels)
+    by_size = sorted(first[0], key=len)
+    assert len(by_size) == 4 and by_size[0] == b"" and by_size[2] == b"short" and by_size[1] in (b"one", b"two")
+    assert len(by_size[3]) == 512 * 7
+    for k in range(7):
+        piece = by_size[3][512 * k:512 * (k + 1)]
+        assert piece in long.encode()[10_000 * k:10_000 * (k + 1)]
+
+
 def test_long_text_scores_alike_in_pieces():
     net = quality.fit([b"good words here", b"### @@@ ###"] * 4, [1, 0] * 4, steps=5)
     data = np.frombuffer(prose(20_000, 3).encode(), np.uint8)
