@@ -46,14 +46,19 @@ def precision_at_k(hits: DataFrame, truth: DataFrame, k: int = 5) -> DataFrame:
         "query_id", (F.coalesce("_n", F.lit(0)) / F.least(F.lit(k), F.col("n_true"))).alias("precision"))
 
 
-def ndcg_at_k(hits: DataFrame, k: int = 5, score: str = "similarity") -> DataFrame:
-    """(query_id, ndcg) with gain ``2^score - 1``; the ideal order is the same scores, sorted."""
+def ndcg_of(rows: DataFrame, keys: list[str], score: str, *also: Column) -> DataFrame:
+    """The keys, nDCG of each group in order of ``rank`` with gain ``2^score - 1``, and the aggregates of ``also``; the ideal order is the same scores, sorted."""
     gain = F.pow(F.lit(2.0), F.col(score)) - 1
-    rows = hits.filter(F.col("rank") <= k).groupBy("query_id").agg(
-        F.sum(gain / _discount(F.col("rank"))).alias("dcg"), F.sort_array(F.collect_list(gain), asc=False).alias("_g"))
+    summed = rows.groupBy(*keys).agg(
+        F.sum(gain / _discount(F.col("rank"))).alias("dcg"), F.sort_array(F.collect_list(gain), asc=False).alias("_g"), *also)
     terms = F.transform("_g", lambda g, i: g / _discount(i + 1))
     ideal = F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
-    return rows.select("query_id", F.when(ideal > 0, F.col("dcg") / ideal).otherwise(F.lit(0.0)).alias("ndcg"))
+    return summed.withColumn("ndcg", F.when(ideal > 0, F.col("dcg") / ideal).otherwise(F.lit(0.0))).drop("dcg", "_g")
+
+
+def ndcg_at_k(hits: DataFrame, k: int = 5, score: str = "similarity") -> DataFrame:
+    """(query_id, ndcg) of the first ``k`` hits."""
+    return ndcg_of(hits.filter(F.col("rank") <= k), ["query_id"], score)
 
 
 def composite_quality(stats: DataFrame, above: DataFrame, n_corpus: Column, seconds: float) -> DataFrame:

@@ -159,6 +159,39 @@ def k20(t: Tables):
     return _searched(t, GRID)
 
 
+FOLDS = 3
+_CONFIGS = ", ".join(f"({i}, {k}, {t})" for i, (k, t) in enumerate(GRID))
+
+
+@query("k20_matching_folds", f"""with {PAIRS},
+    f as (select id, label, {HASH.format('id')} % {FOLDS} as part from vectors),
+    g as (select unnest(range({FOLDS})) as fold),
+    h as (select g.fold, query_id, p.label = p.other as relevant, round(sim, 9) as similarity,
+                 row_number() over (partition by g.fold, query_id order by round(sim, 9) desc, offer_id) as rank
+          from p join f on f.id = offer_id join g on g.fold <> f.part where query_id <> offer_id qualify rank <= 10),
+    n as (select g.fold, q.id as query_id, count(c.id) as n_true from vectors q cross join g
+          left join f c on c.label = q.label and c.id <> q.id and c.part <> g.fold group by 1, 2),
+    c(run, k, threshold) as (values {_CONFIGS}),
+    x as (select run, k, threshold, fold, query_id, rank, relevant and similarity >= threshold and rank <= 5 as found,
+                 case when similarity >= threshold then similarity else 0 end as s from h, c where rank <= k),
+    y as (select *, row_number() over (partition by run, fold, query_id order by s desc, rank) as best from x),
+    q as (select run, k, threshold, fold, query_id, count(*) filter (where found) as found, avg(s) as mean,
+                 sum((pow(2, s) - 1) / log2(rank + 1)) as dcg, sum((pow(2, s) - 1) / log2(best + 1)) as ideal from y group by all)
+    select cast(run as bigint) as run, cast(k as bigint) as k, cast(threshold as double) as threshold, cast(q.fold as bigint) as fold,
+           round(avg(case when n_true > 0 then found / least(5, n_true) end), 6) as precision,
+           round(avg(case when ideal > 0 then dcg / ideal else 0 end), 6) as ndcg, round(avg(mean), 6) as mean_similarity
+    from q join n on n.fold = q.fold and n.query_id = q.query_id group by 1, 2, 3, 4""")
+def k20m(t: Tables):
+    v = t.bind("vectors")
+    named = v.select("id", "label")
+    hits = ml.fold_hits(v.select("id", "vec"), v.select("id", "vec"), 10, FOLDS, exclude_self=True)
+    both = hits.join(named.toDF("query_id", "label"), "query_id").join(named.toDF("offer_id", "other"), "offer_id")
+    truth = ml.fold_truth(named, named, FOLDS, exclude_self=True)
+    out = ml.cross_validate_matching(both.withColumn("relevant", F.col("label") == F.col("other")), truth, GRID)
+    out = out.withColumn("fold", F.col("fold").cast("bigint"))
+    return out.withColumns({c: F.round(c, 6) for c in ("precision", "ndcg", "mean_similarity")})
+
+
 @query("k20_cross_validation")
 def k20c(t: Tables):
     return ml.cross_validate(_order_features(t), "o_orderkey", FEATURES, "o_totalprice", [0.1, 1.0], [0.0, 0.5], n_folds=3)
