@@ -6,6 +6,8 @@ import unicodedata
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hirelattice.session import join_hot
+
 # all characters that count as white space, Unicode ones included; Java's \\s knows only six of them
 SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _LOWER, _UPPER, _DIGITS = (
@@ -96,6 +98,22 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}_]{2,}"), F.lit(0))
 
 
+def _dictionary(lemmas: DataFrame, stopwords: DataFrame, special: dict[str, str]) -> DataFrame:
+    """(word, lemma, dropped) of all words that are not simply kept; dropped if the word or its lemma is a stop word."""
+    stop = stopwords.select(F.col("word")).filter("word is not null").distinct()
+    known = lemmas.select("word", "lemma").filter("word is not null")
+    marked = known.join(stop.withColumn("stopped", F.lit(True)), "word", "full")
+    if special:
+        # a special word counts as its own lemma where no dictionary has it
+        own = lemmas.sparkSession.createDataFrame([(w,) for w in special], "word string").join(marked, "word", "left_anti")
+        marked = marked.unionByName(own, allowMissingColumns=True)
+    lemma = F.coalesce("lemma", "word")
+    for old, new in special.items():
+        lemma = F.when(lemma == old, F.lit(new)).otherwise(lemma)
+    named = marked.withColumn("lemma", lemma).join(stop.select(F.col("word").alias("lemma"), F.lit(True).alias("gone")), "lemma", "left")
+    return named.select("word", "lemma", F.coalesce("stopped", "gone", F.lit(False)).alias("dropped"))
+
+
 def lemmatize(
     df: DataFrame, id_column: str, text_column: str, lemmas: DataFrame, stopwords: DataFrame, min_length: int = 2,
     special: dict[str, str] | None = None,
@@ -104,18 +122,14 @@ def lemmatize(
 
     ``lemmas`` is a dictionary (word, lemma); a word that is not in it is its own lemma. ``special``
     maps single lemmas and defaults to the one correction the source makes. The words of a row are
-    regrouped by the row's own id, so a group is one text.
+    regrouped by the row's own id, so a group is one text. Lemmas and stop words are one dictionary, which the words meet in
+    one join; a word of many rows is split over tasks.
     """
     special = {"dater": "data"} if special is None else special
     pieces = F.split(clean_v2(F.col(text_column)), f"[{SPACES}]+")
-    rows = df.select(id_column, F.posexplode(pieces).alias("pos", "word"))
-    stop = stopwords.select(F.col("word")).filter("word is not null").distinct()
-    rows = rows.filter("word <> '' and not word rlike '^[0-9]+$'").join(stop, "word", "left_anti").join(lemmas.select("word", "lemma"), "word", "left")
-    lemma = F.coalesce("lemma", "word")
-    for old, new in special.items():
-        lemma = F.when(lemma == old, F.lit(new)).otherwise(lemma)
-    rows = rows.withColumn("lemma", lemma).filter(F.length("lemma") >= min_length)
-    rows = rows.join(stop.withColumnRenamed("word", "lemma"), "lemma", "left_anti")
+    rows = df.select(id_column, F.posexplode(pieces).alias("pos", "word")).filter("word <> '' and not word rlike '^[0-9]+$'")
+    joined = join_hot(rows, _dictionary(lemmas, stopwords, special), "word", "left")
+    rows = joined.filter("not coalesce(dropped, false)").withColumn("lemma", F.coalesce("lemma", "word")).filter(F.length("lemma") >= min_length)
     ordered = F.array_sort(F.collect_list(F.struct("pos", "lemma")))
     texts = rows.groupBy(id_column).agg(F.array_join(F.transform(ordered, lambda x: x["lemma"]), " ").alias("text"))
     return df.select(id_column).join(texts, id_column, "left").withColumn("text", F.coalesce("text", F.lit("")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hirelattice.functions.geo import haversine_km
 from hirelattice.operators.dedup import dedup_rank
-from hirelattice.session import cut
+from hirelattice.session import cut, join_hot
 
 # name levels in rank order; the department code comes second, between the two first
 NAME_LEVELS = {"name": "ville", "dept": "departement", "region": "region", "country": "pays"}
@@ -174,9 +174,9 @@ def place_match(offers: DataFrame, places: DataFrame, radius_km: float = 10.0, p
     named = _nearest_named(open_points, hits, keyed)
     found = near.withColumnRenamed("near_id", "_id").unionByName(named.withColumnRenamed("named_id", "_id"))
     found = found.select(F.col("loc").alias("f_loc"), F.col("lat").alias("f_lat"), F.col("lon").alias("f_lon"), F.col("_id").alias("point_id"))
+    by_point = marked.join(found, F.col("loc").eqNullSafe(F.col("f_loc")) & (F.col("lat") == F.col("f_lat")) & (F.col("lon") == F.col("f_lon")), "left")
     return (
-        marked.join(found, F.col("loc").eqNullSafe(F.col("f_loc")) & (F.col("lat") == F.col("f_lat")) & (F.col("lon") == F.col("f_lon")), "left")
-        .join(by_text, "loc", "left")
+        join_hot(by_point, by_text, "loc", "left")
         .withColumn("id_lieu", F.coalesce("point_id", "text_id"))
         .drop("loc", "lat", "lon", "f_loc", "f_lat", "f_lon", "point_id", "text_id")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hirelattice.functions.text import words
+from hirelattice.session import join_hot
 
 
 def ngrams(pieces: Column, low: int, high: int) -> Column:
@@ -49,11 +50,11 @@ def tfidf(
     """(id, term, weight): counts times smoothed idf, each text's weights scaled to length one.
 
     idf is ``ln((1 + n) / (1 + df)) + 1``. Counts are merged per text before the vocabulary is joined;
-    the vocabulary is bounded by ``max_features`` when given. A text without kept terms has no rows.
+    the vocabulary is bounded by ``max_features`` when given. A term of many texts is split over tasks. A text without kept terms has no rows.
     """
     counts = term_counts(df, id_column, text_column, ngram)
     n_texts = df.agg(F.count("*")).scalar()
-    weighted = counts.join(vocabulary(counts, n_texts, min_df, max_df, max_features), "term").select(
+    weighted = join_hot(counts, vocabulary(counts, n_texts, min_df, max_df, max_features), "term").select(
         id_column, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     # the window is over the terms of one text
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_column)))

@@ -81,3 +81,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     For the results of aggregates, whose size Spark cannot tell before it has shuffled the other side.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def join_hot(large: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Equi join on ``key`` where a few values may hold most rows of ``large`` (``how`` is inner, left or left_anti).
+
+    A digest as a further key makes Spark deal out both sides anew, also one that an aggregate has left partitioned by the
+    key; only then can AQE split the rows of a hot value over several tasks and hand each the other side's few rows.
+    """
+    digest = F.xxhash64(key).alias("_digest")
+    return large.select("*", digest).join(small.select("*", digest), [key, "_digest"], how).drop("_digest")

@@ -19,7 +19,7 @@ from hirelattice.operators.rules import rule_match, rule_match_by_join
 from hirelattice.operators.tokens import not_in
 from hirelattice.plans.bindings import CONTRACTS, REMOTE_MODES, SENIORITIES
 from hirelattice.queries import joins
-from hirelattice.session import run_dir
+from hirelattice.session import join_hot, run_dir
 
 SETS = [(CONTRACTS, rd.CONTRACT_RULES, "type_contrat", "id_contrat"),
         (SENIORITIES, rd.SENIORITY_RULES, "type_seniorite", "id_seniorite"),
@@ -177,6 +177,28 @@ def test_company_match_splits_a_hot_word(spark):
     assert "skew=true" in plan
 
 
+def test_join_hot_splits_a_value_against_an_aggregate(spark):
+    """Nine tenths of the rows share a key and the other side comes from an aggregate; no row is lost, and Spark splits the key."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    path = run_dir(spark, "hot-terms")
+    spark.range(0, 200_000, 1, 16).selectExpr("id", "concat('w', if(id % 10 < 9, 1, id % 400)) as term", "uuid() as rest").write.parquet(path)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        large = spark.read.parquet(path)
+        out = join_hot(large, large.groupBy("term").agg(F.count("*").alias("df")), "term", "left").groupBy("term").agg(F.count("*").alias("n"), F.max("df").alias("df"))
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(r["n"] for r in got) == 200_000 and all(r["n"] == r["df"] for r in got)
+    assert "skew=true" in plan
+
+
 def test_dates_default(spark):
     offers = spark.createDataFrame([(1, "a", "2024-01-02 10:00:00", None), (2, "a", "2024-01-03 10:00:00", "2024-01-04 00:00:00"), (3, "b", "1980-01-01 00:00:00", None)],
                                    "id_offre long, id_local string, date_created string, date_updated string").withColumns(
