@@ -3,8 +3,10 @@
 Vectors are compared block by block with matrix products inside Arrow tasks; pairs are never rows.
 A large corpus is first divided into cells around pivot vectors. The triangle inequality then tells
 which cells can hold a better neighbour than those already found, so the others are not opened and
-the answer is still exact. Every task compares at most about ``BLOCK`` by ``BLOCK`` vectors: large
-cells, and many queries to one cell, are spread over more tasks.
+the answer is still exact. Where the cells rule out so little that opening them moves more rows than
+comparing all blocks does, all blocks are compared. Every task compares at most about ``WIDE`` by
+``WIDE`` vectors, ``ROWS`` by ``COLUMNS`` of them at once: large cells, and many queries to one cell,
+are spread over more tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -20,7 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 from hirelattice.operators.dedup import dedup_rank
 from hirelattice.session import cut
 
-BLOCK = 4096
+# vectors of a block: cut finer than WIDE only down to BLOCK, and only for SPLIT blocks a side, as each block of one side is sent to every block of the other
+BLOCK, WIDE, SPLIT = 4096, 32_768, 8
+# blocks whose result may hold many pairs a vector
+PAIRED = 8192
+# scores that are held at once, and those a query's first bound is taken from
+ROWS, COLUMNS, FIRST = 256, 4096, 512
+# vectors that are held against all pivots at once, and rows of one batch that go back to Spark
+AT_ONCE, BATCH = 512, 1 << 14
 MAX_PIVOTS = 2048
 # up to this size all blocks of the corpus are compared, which is quicker than dividing it
 UNDIVIDED = 50_000
@@ -37,7 +47,7 @@ _VECTOR = "id bigint, vec array<double>"
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.zeros((0, 0))
+    return np.stack(vectors.to_numpy()).astype(np.float64, copy=False) if len(vectors) else np.zeros((0, 0))
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -79,6 +89,14 @@ class Cells:
     radius: np.ndarray
 
 
+def _slices(pdf: pd.DataFrame, n: int) -> Iterator[pd.DataFrame]:
+    return (pdf.iloc[low:low + n] for low in range(0, len(pdf), n))
+
+
+def undivided(corpus: DataFrame, n: float) -> Cells:
+    return Cells(corpus.withColumn("cell", F.lit(0)), None, np.array([float(n)]), np.array([np.inf]))
+
+
 def divide(corpus: DataFrame, n_pivots: int | None = None, approx: bool = False) -> Cells:
     """Assign every vector to its nearest pivot; a small corpus stays one cell of several blocks.
 
@@ -94,18 +112,16 @@ def divide(corpus: DataFrame, n_pivots: int | None = None, approx: bool = False)
     if n_pivots > MAX_PIVOTS:
         raise ValueError(f"at most {MAX_PIVOTS} pivots: the driver holds them")
     if n_pivots <= 1 or n <= 1:
-        return Cells(corpus.withColumn("cell", F.lit(0)), None, np.array([float(n)]), np.array([np.inf]))
+        return undivided(corpus, n)
     picked = corpus.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()
     pivots = np.array([r["vec"] for r in picked], dtype=np.float64)
     shared = spark.sparkContext.broadcast(pivots)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["vec"]), shared.value)
-                pdf["cell"] = d.argmin(1).astype(np.int32)
-                pdf["away"] = d.min(1)
-                yield pdf
+            for part in _slices(pdf, AT_ONCE):
+                d = _distances(_matrix(part["vec"]), shared.value)
+                yield part.assign(cell=d.argmin(1).astype(np.int32), away=d.min(1))
 
     rows = corpus.mapInPandas(assign, _VECTOR + ", cell int, away double")
     counts, radius = np.zeros(len(pivots)), np.zeros(len(pivots))
@@ -114,6 +130,15 @@ def divide(corpus: DataFrame, n_pivots: int | None = None, approx: bool = False)
     return Cells(rows.drop("away"), pivots, counts, radius)
 
 
+def _chosen(batches: Iterator[pd.DataFrame], found, choose) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Some queries at a time and the mask of the cells they open."""
+    pivots, counts, radius = found
+    for pdf in batches:
+        for part in _slices(pdf, AT_ONCE):
+            d = _distances(_matrix(part["vec"]), pivots)
+            yield part, choose(d, counts, radius, part) & (counts > 0)[None, :]
+
+
 def _probes(queries: DataFrame, cells: Cells, choose) -> DataFrame:
     """(id, vec, cell) for the cells ``choose(pivot distances, batch)`` opens, given as a mask."""
     if cells.pivots is None:
@@ -121,19 +146,31 @@ def _probes(queries: DataFrame, cells: Cells, choose) -> DataFrame:
     shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.counts, cells.radius))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pivots, counts, radius = shared.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            d = _distances(_matrix(pdf["vec"]), pivots)
-            row, cell = np.nonzero(choose(d, counts, radius, pdf) & (counts > 0)[None, :])
-            out = pdf.iloc[row][["id", "vec"]].reset_index(drop=True)
-            out["cell"] = cell.astype(np.int32)
-            yield out
+        for pdf, mask in _chosen(batches, shared.value, choose):
+            row, cell = np.nonzero(mask)
+            for low in range(0, len(row), BATCH):
+                out = pdf.iloc[row[low:low + BATCH]][["id", "vec"]].reset_index(drop=True)
+                out["cell"] = cell[low:low + BATCH].astype(np.int32)
+                yield out
 
     return queries.mapInPandas(pick, _VECTOR + ", cell int")
 
 
+def _cells_pay(queries: DataFrame, cells: Cells, choose) -> bool:
+    """Whether opening the cells that ``choose`` names moves no more rows than comparing all blocks does."""
+    shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.counts, cells.radius))
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, mask in _chosen(batches, shared.value, choose):
+            yield pd.DataFrame({"asked": [len(pdf)], "opened": [int(mask.sum())]})
+
+    sums = queries.mapInPandas(tally, "asked bigint, opened bigint").agg(
+        F.coalesce(F.sum("asked"), F.lit(0)).alias("asked"), F.coalesce(F.sum("opened"), F.lit(0)).alias("opened"))
+    n = F.lit(float(cells.counts.sum()))
+    # the corpus moves at least once in either case
+    return sums.select(F.col("opened") + n <= F.col("asked") * blocks(n) + n * blocks(F.col("asked"))).first()[0]
+
+
 def _compare(probes: DataFrame, cells: Cells, work, schema: str) -> DataFrame:
     """Run ``work(query ids, query matrix, corpus ids, corpus matrix)`` on blocks of opened cells."""
     if cells.pivots is None:
@@ -144,14 +181,15 @@ def _compare(probes: DataFrame, cells: Cells, work, schema: str) -> DataFrame:
         sizes = probes.sparkSession.createDataFrame(
             [(i, int(n)) for i, n in enumerate(cells.counts) if n > 0], "cell int, nc long")
         # one row per cell, at most MAX_PIVOTS
-        plan = F.broadcast(sizes.join(loads, "cell").select("cell", blocks(F.col("nc")).alias("cs"), blocks(F.col("nq")).alias("qs")))
+        split = math.ceil(SPLIT / math.sqrt(max(1, int((cells.counts > 0).sum()))))
+        plan = F.broadcast(sizes.join(loads, "cell").select("cell", blocks(F.col("nc"), split).alias("cs"), blocks(F.col("nq"), split).alias("qs")))
         left, right = probes.join(plan, "cell"), cells.rows.join(plan, "cell")
     return compare_blocks(left, right, work, schema)
 
 
-def blocks(n):
-    """How many blocks a cell with ``n`` rows on one side is cut into."""
-    return F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+def blocks(n, split: int | None = None):
+    """How many blocks a cell with ``n`` rows on one side is cut into: of ``WIDE`` rows, or smaller ones down to ``BLOCK`` for ``split`` of them."""
+    return F.greatest(F.ceil(n / max(BLOCK, WIDE)), F.least(F.ceil(n / BLOCK), F.lit(split or SPLIT)), F.lit(1)).cast("int")
 
 
 def compare_blocks(left: DataFrame, right: DataFrame, work, schema: str) -> DataFrame:
@@ -160,6 +198,11 @@ def compare_blocks(left: DataFrame, right: DataFrame, work, schema: str) -> Data
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = left.select("cell", part(F.col("qs")).alias("q"), spread(F.col("cs")).alias("c"), "id", "vec")
     right = right.select("cell", spread(F.col("qs")).alias("q"), part(F.col("cs")).alias("c"), "id", "vec")
+    return meet(left, right, work, schema)
+
+
+def meet(left: DataFrame, right: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on (cell, q, c, id, vec) of both sides, one pair of blocks at a time."""
     names = [f.split()[0] for f in schema.split(", ")]
 
     def block(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -171,18 +214,53 @@ def compare_blocks(left: DataFrame, right: DataFrame, work, schema: str) -> Data
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block, schema)
 
 
+def _tiles(m: int, n: int) -> Iterator[tuple[slice, slice]]:
+    """``m`` by ``n`` scores, some at a time; all rows of some columns come before the next columns."""
+    low = 0
+    while low < n:
+        high = min(n, low + (COLUMNS if low else FIRST))
+        for r in range(0, m, ROWS):
+            yield slice(r, min(m, r + ROWS)), slice(low, high)
+        low = high
+
+
+def _where(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the few true places, much faster than numpy's own search in two dimensions."""
+    return np.divmod(np.flatnonzero(mask.ravel()), mask.shape[1])
+
+
 def top_of_block(k: int, cosine: bool):
+    half = 0.4 * 10.0 ** -DIGITS
+
     def work(qid, q, cid, c):
-        scores = q @ c.T if cosine else -_distances(q, c)
-        scores = np.round(scores, DIGITS)
+        # in order of the ids, so that of equal scores those found first stay
         order = np.argsort(cid, kind="stable")
-        cid, scores = cid[order], scores[:, order]
         n = min(k, len(cid))
-        # stable sort on falling score keeps the lower id first among equals
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-        return pd.DataFrame({
-            "query_id": np.repeat(qid, n), "offer_id": cid[best].ravel(),
-            "score": np.take_along_axis(scores, best, 1).ravel()})
+        scores, places = np.full((len(qid), n), -np.inf), np.zeros((len(qid), n), dtype=np.int64)
+        columns = None
+        for rows, at in _tiles(len(qid), len(cid)):
+            if columns != at:
+                columns, some = at, c[order[at]]
+            near = q[rows] @ some.T if cosine else -_distances(q[rows], some)
+            worst = scores[rows, -1]
+            least = worst + half
+            if np.isinf(worst).any():
+                kept = min(n, near.shape[1])
+                least = np.where(np.isinf(worst), np.partition(near, -kept, axis=1)[:, -kept] - 2 * half, least) if kept == n else np.full(len(worst), -np.inf)
+            row, col = _where(near >= least[:, None])
+            if not len(row):
+                continue
+            held = np.unique(row)
+            who = np.concatenate([np.repeat(held, n), row])
+            score = np.concatenate([scores[rows][held].ravel(), np.round(near[row, col], DIGITS)])
+            place = np.concatenate([places[rows][held].ravel(), col + at.start])
+            best = np.lexsort((place, -score, who))
+            who = who[best]
+            first = np.searchsorted(who, held)
+            # every row holds n already, if only empty ones
+            take = best[(first[:, None] + np.arange(n)).ravel()]
+            scores[rows.start + held], places[rows.start + held] = score[take].reshape(-1, n), place[take].reshape(-1, n)
+        return pd.DataFrame({"query_id": np.repeat(qid, n), "offer_id": cid[order[places.ravel()]], "score": scores.ravel()})
 
     return work
 
@@ -209,7 +287,8 @@ def _nearest_cells(k: int, at_least: int):
     return choose
 
 
-def _search(queries: DataFrame, cells: Cells, k: int, cosine: bool, approx_cells: int | None) -> DataFrame:
+def _search(queries: DataFrame, corpus: DataFrame, k: int, cosine: bool, approx_cells: int | None, n_pivots: int | None) -> DataFrame:
+    cells = divide(corpus, n_pivots, bool(approx_cells))
     top = top_of_block(k, cosine)
     nearest = _nearest_cells(k, approx_cells or 1)
     first = first_k(_compare(_probes(queries, cells, nearest), cells, top, HITS), k)
@@ -225,6 +304,8 @@ def _search(queries: DataFrame, cells: Cells, k: int, cosine: bool, approx_cells
         near = d - radius[None, :] <= pdf["bound"].to_numpy()[:, None] + SLACK
         return near & ~nearest(d, counts, radius, pdf)
 
+    if n_pivots is None and not _cells_pay(bounded, cells, reachable):
+        return first_k(_compare(queries.withColumn("cell", F.lit(0)), undivided(corpus, cells.counts.sum()), top, HITS), k)
     second = _compare(_probes(bounded, cells, reachable), cells, top, HITS)
     return first_k(first.select("query_id", "offer_id", "score").unionByName(second), k)
 
@@ -258,7 +339,7 @@ def knn(
     depth = k + 1 if exclude_self else k
     offers = cut(dedup_rank(prepare_vectors(corpus, cosine), ["vec"], ["id"], keep=depth))
     distinct, members = distinct_queries(cut(prepare_vectors(queries, cosine, "query")))
-    found = _search(distinct, divide(offers, n_pivots, bool(approx_cells)), depth, cosine, approx_cells).drop("rank")
+    found = _search(distinct, offers, depth, cosine, approx_cells, n_pivots).drop("rank")
     hits = members.join(found, "query_id").select(F.col("member").alias("query_id"), "offer_id", "score")
     if exclude_self:
         hits = hits.filter("query_id <> offer_id")
@@ -308,15 +389,30 @@ def near_pairs(corpus: DataFrame, threshold: float, n_pivots: int | None = None)
     def reachable(d, counts, radius, pdf):
         return d - radius[None, :] <= reach + SLACK
 
-    def over(qid, q, cid, c):
-        scores = np.round(q @ c.T, DIGITS)
-        i, j = np.nonzero((scores >= threshold) & (qid[:, None] < cid[None, :]))
-        return pd.DataFrame({"id": qid[i], "other": cid[j], "similarity": scores[i, j]})
+    def over(qid, q, cid, c, halved=False):
+        # two blocks meet once if halved, and hold no id in common unless they are the same
+        swapped = halved and not np.isin(qid[:1], cid).any()
+        found = []
+        for a, b in _tiles(len(qid), len(cid)):
+            scores = q[a] @ c[b].T
+            i, j = _where(scores >= threshold - 10.0 ** -DIGITS)
+            one, two, score = qid[a][i], cid[b][j], np.round(scores[i, j], DIGITS)
+            keep = (score >= threshold) & ((one < two) | swapped)
+            one, two = one[keep], two[keep]
+            found.append((np.minimum(one, two), np.maximum(one, two), score[keep]))
+        return pd.DataFrame({name: np.concatenate(x) for name, x in zip(("id", "other", "similarity"), zip(*found))})
 
     # the same rows under column names of their own, as both sides meet in one plan
     asked = rows.select(F.col("id").alias("id"), F.col("vec").alias("vec"))
-    pairs = _compare(_probes(asked, cells, reachable), cells, over, "id bigint, other bigint, similarity double")
-    return pairs, members
+    schema = "id bigint, other bigint, similarity double"
+    if cells.pivots is None or n_pivots is None and not _cells_pay(asked, cells, reachable):
+        # the lower block of each two is sent to the higher
+        n = F.lit(max(1, math.ceil(cells.counts.sum() / min(PAIRED, BLOCK if cells.counts.sum() <= BLOCK * SPLIT else PAIRED))))
+        part = F.pmod(F.xxhash64("id"), n).cast("int")
+        left = asked.select(F.lit(0).alias("cell"), part.alias("q"), F.explode(F.sequence(part, n - 1)).alias("c"), "id", "vec")
+        right = rows.select(F.lit(0).alias("cell"), F.explode(F.sequence(F.lit(0), part)).alias("q"), part.alias("c"), "id", "vec")
+        return meet(left, right, partial(over, halved=True), schema), members
+    return _compare(_probes(asked, cells, reachable), cells, over, schema), members
 
 
 def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivots: int | None = None) -> DataFrame:
@@ -324,7 +420,8 @@ def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivot
 
     Cells wholly inside the radius are counted without being opened, cells wholly outside not at all.
     """
-    cells = divide(cut(prepare_vectors(corpus, True)), n_pivots)
+    offers = cut(prepare_vectors(corpus, True))
+    cells = divide(offers, n_pivots)
     distinct, members = distinct_queries(prepare_vectors(queries, True, "query"))
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
 
@@ -335,9 +432,16 @@ def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivot
         return (d - radius[None, :] <= reach + SLACK) & ~inside(d, radius)
 
     def tally(qid, q, cid, c):
-        return pd.DataFrame({"query_id": qid, "n": (q @ c.T > threshold).sum(1).astype(np.int64)})
+        n = np.zeros(len(qid), dtype=np.int64)
+        for a, b in _tiles(len(qid), len(cid)):
+            n[a] += (q[a] @ c[b].T > threshold).sum(1)
+        return pd.DataFrame({"query_id": qid, "n": n})
 
     schema = "query_id bigint, n bigint"
+    if cells.pivots is not None and n_pivots is None:
+        distinct = cut(distinct)
+        if not _cells_pay(distinct, cells, crossing):
+            cells = undivided(offers, cells.counts.sum())
     counts = _compare(_probes(distinct, cells, crossing), cells, tally, schema)
     if cells.pivots is not None:
         shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.counts, cells.radius))
@@ -345,9 +449,9 @@ def count_above(queries: DataFrame, corpus: DataFrame, threshold: float, n_pivot
         def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             pivots, sizes, radius = shared.value
             for pdf in batches:
-                if len(pdf):
-                    mask = inside(_distances(_matrix(pdf["vec"]), pivots), radius)
-                    yield pd.DataFrame({"query_id": pdf["id"], "n": (mask * sizes[None, :]).sum(1).astype(np.int64)})
+                for part in _slices(pdf, AT_ONCE):
+                    mask = inside(_distances(_matrix(part["vec"]), pivots), radius)
+                    yield pd.DataFrame({"query_id": part["id"], "n": (mask * sizes[None, :]).sum(1).astype(np.int64)})
 
         counts = counts.unionByName(distinct.mapInPandas(whole, schema))
     totals = counts.groupBy("query_id").agg(F.sum("n").alias("n"))

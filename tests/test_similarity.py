@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from conftest import rows
@@ -127,3 +130,49 @@ def test_encoder(spark):
     df = spark.createDataFrame([(1, "Python SQL python"), (2, ""), (3, None)], "id long, t string")
     got = {r["id"]: r["vec"] for r in encode(df, "id", "t", HashingEncoder, batch=2).collect()}
     assert sorted(x for x in got[1] if x) == [1.0, 2.0] and not any(got[2]) and not any(got[3])
+
+
+@pytest.mark.parametrize("cosine", [True, False])
+def test_a_block_holds_few_scores_at_once(cosine):
+    # 3000 by 6000 vectors, some of them equal: all scores together are 144 MB
+    rng = np.random.default_rng(3)
+    q, c = rng.normal(size=(3000, 8)), rng.normal(size=(6000, 8))
+    c[4000:4100] = c[:100]
+    q[:100] = c[:100]
+    if cosine:
+        q, c = (m / np.sqrt((m * m).sum(1, keepdims=True)) for m in (q, c))
+    ids = rng.permutation(6000) + 10
+    tracemalloc.start()
+    found = sim.top_of_block(7, cosine)(np.arange(3000), q, ids, c)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+    scores = np.round(q @ c.T if cosine else -sim._distances(q, c), 9)
+    for row in range(0, 3000, 37):
+        best = np.lexsort((ids, -scores[row]))[:7]
+        mine = found[found["query_id"] == row]
+        assert mine["offer_id"].tolist() == ids[best].tolist()
+        assert np.allclose(mine["score"], scores[row][best], atol=1e-9)
+
+
+def test_opened_cells_come_in_bounded_batches():
+    queries = pd.DataFrame({"id": range(2000), "vec": list(np.ones((2000, 4)))})
+    found = (np.ones((50, 4)), np.ones(50), np.ones(50))
+    parts = list(sim._chosen(iter([queries]), found, lambda d, counts, radius, pdf: d <= 1))
+    assert sum(mask.sum() for _, mask in parts) == 100_000 and max(len(pdf) for pdf, _ in parts) <= sim.AT_ONCE
+
+
+def test_all_blocks_are_compared_where_cells_rule_out_little(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(300, 12))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, vec array<double>")
+    monkeypatch.setattr(sim, "UNDIVIDED", 100)
+    assert not sim._cells_pay(df, sim.divide(df), lambda d, counts, radius, pdf: d >= 0)
+    unit = vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
+    scores = np.round(unit @ unit.T, 9)
+    want = {(i, int(j)) for i in range(300) for j in np.lexsort((np.arange(300), -scores[i]))[:4]}
+    assert {(r["query_id"], r["offer_id"]) for r in sim.knn(df, df, 4).collect()} == want
+    pairs, _ = sim.near_pairs(df, 0.4)
+    assert sorted((r["id"], r["other"]) for r in pairs.collect()) == [(i, j) for i in range(300) for j in range(i + 1, 300) if scores[i, j] >= 0.4]
+    above = {r["query_id"]: r["n"] for r in sim.count_above(df, df, 0.2).collect()}
+    assert above == {i: int((unit[i] @ unit.T > 0.2).sum()) for i in range(300)}
