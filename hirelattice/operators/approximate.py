@@ -24,15 +24,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from hirelattice.operators import similarity as sim
 from hirelattice.operators.dedup import dedup_rank
-from hirelattice.session import cut
+from hirelattice.session import broadcast_if_small, cut
 
 # queries whose exact neighbours the plan is fitted on
 SAMPLE = 256
 MAX_TABLES = 32
 MAX_PROBES = 64
 MAX_FLIPS = 2
-# moving one vector to one more bucket costs about as much as comparing so many pairs
-COPY = 10
+# moving one vector to one more bucket, through the shuffle and its sort, costs about as much as comparing so many pairs
+COPY = 500
 # no plan may compare a query with more of the corpus than that
 MOST = 0.75
 # rows of one batch that go back to Spark
@@ -164,10 +164,11 @@ def approximate_knn(queries: DataFrame, corpus: DataFrame, k: int, recall: float
     distinct, members = sim.distinct_queries(cut(unit(queries)))
     distinct = cut(distinct)
     chosen = chosen or fit(distinct, offers, depth, recall)
-    right, left = cut(_hashed(offers, chosen, 1)), cut(_hashed(distinct, chosen, chosen.probes))
-    # one row for each bucket opened; Spark broadcasts it only if it is small
-    loads = left.groupBy("cell").agg(sim.blocks(F.count("*")).alias("qs"))
-    sizes = cut(right.groupBy("cell").agg(sim.blocks(F.count("*")).alias("cs")).join(loads, "cell"))
+    # hashed once to count and once to compare: the vectors' copies are many times the corpus and go through one shuffle only
+    right, left = _hashed(offers, chosen, 1), _hashed(distinct, chosen, chosen.probes)
+    # one row for each bucket opened; its blocks are as large as a task holds, as a smaller one sends the other side once more
+    loads = left.groupBy("cell").agg(sim.blocks(F.count("*"), 1).alias("qs"))
+    sizes = broadcast_if_small(cut(right.groupBy("cell").agg(sim.blocks(F.count("*"), 1).alias("cs")).join(loads, "cell")))
     hits = sim.compare_blocks(left.join(sizes, "cell"), right.join(sizes, "cell"), sim.top_of_block(depth, True), sim.HITS)
     hits = hits.groupBy("query_id", "offer_id").agg(F.max("score").alias("score"))
     found = members.join(hits, "query_id").select(F.col("member").alias("query_id"), "offer_id", "score")

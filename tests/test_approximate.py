@@ -80,3 +80,14 @@ def test_odd_vectors_and_empty_tables(spark):
     none = _frame(spark, [])
     assert ap.approximate_knn(none, df, 2).count() == ap.approximate_knn(df, none, 2).count() == 0
     assert ap.recall_against(hits and ap.approximate_knn(none, df, 2), sim.knn(none, df, 2)).first()["recall"] is None
+
+
+def test_a_plan_moves_few_copies_of_the_vectors():
+    # moving a vector costs far more than comparing a pair, so a plan of some hundred buckets a vector is never the cheapest
+    rng = np.random.default_rng(0)
+    unit = lambda m: m / np.sqrt((m * m).sum(1, keepdims=True))
+    base = np.repeat(rng.normal(size=(256, 64)), 5, axis=0)
+    near = base + 0.9 * rng.normal(size=base.shape)
+    for n, most in ((100_000, 60), (600_000, 120)):
+        chosen = ap.plan(unit(base), unit(near), 256, n, n, 0.9)
+        assert chosen.recall >= 0.9 and chosen.tables * (chosen.probes + 1) <= most
