@@ -20,8 +20,8 @@ EXTRA, PASSES = 10, 6
 CHUNK, FAN_IN, MOST = 1 << 16, 32, 1 << 25
 # values of sparse rows that are multiplied at once
 PIECE = 1 << 16
-# vectors of either side that are compared at once
-BLOCK = 2048
+# vectors of a block: cut finer than WIDE only down to BLOCK, for SPLIT blocks a side, as every block meets every other; and rows compared at once
+BLOCK, WIDE, SPLIT, ROWS = 2048, 32_768, 8, 64
 
 
 def sparse_rows(weights: DataFrame, id_column: str, term_column: str, weight_column: str) -> tuple[DataFrame, int]:
@@ -181,7 +181,8 @@ def silhouettes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     if not names:
         return rows.select("id", F.col("c").alias("cluster"), *[F.lit(None).cast("double").alias(x) for x in ("a", "b", "silhouette")])
     number = {name: k for k, name in enumerate(names)}
-    parts = max(1, -(-rows.count() // BLOCK))
+    n = rows.count()
+    parts = max(1, -(-n // max(BLOCK, WIDE)), min(-(-n // BLOCK), SPLIT))
     part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     left, right = rows.select(part.alias("q"), each.alias("o"), "id", "vec"), rows.select(each.alias("q"), part.alias("o"), "vec", "c")
@@ -189,11 +190,14 @@ def silhouettes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         out = np.zeros((0, len(names)))
         if len(a) and len(b):
-            x, y = (np.stack([np.asarray(v, np.float64) for v in t["vec"].to_pylist()]) for t in (a, b))
-            far = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2.0 * (x @ y.T), 0.0))
+            x, y = (np.stack(t["vec"].to_numpy()).astype(np.float64, copy=False) for t in (a, b))
+            squares = (y * y).sum(1)[None]
             own = np.zeros((len(b), len(names)))
             own[np.arange(len(b)), [number[c] for c in b["c"].to_pylist()]] = 1.0
-            out = far @ own
+            out = np.zeros((len(a), len(names)))
+            for low in range(0, len(a), ROWS):
+                some = x[low:low + ROWS]
+                out[low:low + ROWS] = np.sqrt(np.maximum((some * some).sum(1)[:, None] + squares - 2.0 * (some @ y.T), 0.0)) @ own
         ids = a["id"] if len(out) else a["id"].slice(0, 0)
         return pa.table({"id": ids, "sums": pa.array(list(out), pa.list_(pa.float64()))})
 

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from hirelattice.operators import decomposition as d, learning as ml
 from hirelattice.operators.tfidf import tfidf
@@ -108,3 +109,10 @@ def test_text_classifier_is_the_optimum_over_smoothed_unit_vectors(spark):
     right = p.argmax(axis=1) == y.argmax(axis=1)
     assert {r["split"]: (r["n"], pytest.approx(r["accuracy"])) for r in accuracy.collect()} == {
         "train": (int(learnt.sum()), right[learnt].mean()), "test": (int((~learnt).sum()), right[~learnt].mean())}
+
+
+def test_silhouette_sends_every_row_to_few_blocks(spark):
+    # 20480 rows were cut into ten blocks of 2048, and each row sent to all of them
+    df = spark.range(20_480).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec"), (F.col("id") % 2).alias("cluster"))
+    plan = d.silhouettes(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert set(re.findall(r"pmod\(xxhash64\([^)]*\), (\d+)\)", plan)) == {str(d.SPLIT)}
