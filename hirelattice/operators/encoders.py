@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 WORD = re.compile(r"\w{2,}")
@@ -44,13 +44,14 @@ def encode(
     """(id, vec) for every text. The factory is called once per task, so a model is loaded once;
     the encoder gets whole texts in batches; null text is encoded as empty text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_factory()
-        for pdf in batches:
-            texts = pdf["text"].fillna("").tolist()
-            for at in range(0, len(texts), batch):
-                part = np.asarray(encoder(texts[at: at + batch]), dtype=np.float64)
-                yield pd.DataFrame({"id": pdf["id"].iloc[at: at + batch].to_numpy(), "vec": list(part)})
+        for rows in batches:
+            for at in range(0, rows.num_rows, batch):
+                some = rows.slice(at, batch)
+                # only the texts of one batch are Python strings at a time
+                part = np.asarray(encoder([x or "" for x in some.column("text").to_pylist()]), dtype=np.float64)
+                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(list(part), pa.list_(pa.float64()))], ["id", "vec"])
 
     rows = df.selectExpr(f"cast({id_column} as bigint) as id", f"{text_column} as text")
-    return rows.mapInPandas(run, "id bigint, vec array<double>")
+    return rows.mapInArrow(run, "id bigint, vec array<double>")
