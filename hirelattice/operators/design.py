@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hirelattice.operators.dedup import dedup_rank
 
+# trainings of one skill in one row
+LISTED = 4096
+
 
 def missing_skills(pairs: DataFrame, offer_skills: DataFrame, candidate_skills: DataFrame) -> DataFrame:
     """(id_candidat, id_offre, id_competence) for every skill an offer of the pair asks for and the candidate lacks."""
@@ -25,14 +28,22 @@ def suggest_training(missing: DataFrame, training_skills: DataFrame, top: int =
     """(id_candidat, id_offre, id_formation, covered, rank): the trainings covering most missing skills.
 
     Ties fall to the lowest training id. Pairs that lack the same skills get the same answer, so it is
-    worked out once per distinct set of skills.
+    worked out once per distinct set of skills. What is shuffled is a skill's trainings as lists of at
+    most ``LISTED``; they are opened where the rows of a set already lie together, and counted there.
     """
     sets = missing.groupBy("id_candidat", "id_offre").agg(F.array_sort(F.collect_set("id_competence")).alias("_set"))
     # a set goes by the digest of its sorted ids, which is shorter to shuffle and sort than the set
     sets = sets.withColumn("_key", F.unhex(F.md5(F.array_join("_set", ","))))
     distinct = sets.select("_key", "_set").dropDuplicates(["_key"])
-    covered = distinct.select("_key", F.explode("_set").alias("id_competence")).join(training_skills, "id_competence")
-    counts = covered.groupBy("_key", "id_formation").agg(F.count("*").alias("covered"))
+    place = F.row_number().over(Window.partitionBy("id_competence").orderBy("id_formation")) - 1
+    lists = training_skills.select("id_competence", "id_formation", F.floor(place / LISTED).alias("_list")).groupBy("id_competence", "_list").agg(
+        F.collect_list("id_formation").alias("_trainings"), F.count("*").alias("_n"))
+    # a training without an id counts too, which a list would leave out
+    lists = lists.select("id_competence", F.concat("_trainings", F.array_repeat(F.lit(None), (F.col("_n") - F.size("_trainings")).cast("int"))).alias("_trainings"))
+    covered = distinct.select("_key", F.explode("_set").alias("id_competence")).join(lists, "id_competence").select("_key", "_trainings")
+    # as many parts as a shuffle has, though few bytes come in: the opened lists are many times that
+    parts = int(missing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = covered.repartition(parts, "_key").select("_key", F.explode("_trainings").alias("id_formation")).groupBy("_key", "id_formation").agg(F.count("*").alias("covered"))
     best = dedup_rank(counts, ["_key"], [F.col("covered").desc(), F.col("id_formation").asc()], keep=top, rank="rank")
     return sets.drop("_set").join(best, "_key").drop("_key")
 
