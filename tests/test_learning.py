@@ -116,3 +116,15 @@ def test_silhouette_sends_every_row_to_few_blocks(spark):
     df = spark.range(20_480).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec"), (F.col("id") % 2).alias("cluster"))
     plan = d.silhouettes(df)._jdf.queryExecution().optimizedPlan().toString()
     assert set(re.findall(r"pmod\(xxhash64\([^)]*\), (\d+)\)", plan)) == {str(d.SPLIT)}
+
+
+def test_a_forest_is_grown_on_partitions_of_bounded_size(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    seen, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    df = spark.range(0, 400, numPartitions=1).selectExpr("id", "cast(id as double) as x", "cast(id * 2 as double) as y", "id % 4 > 0 as is_train")
+    whole = ml.regress_forest(df, ["x"], "y", trees=5, depth=3).first()
+    monkeypatch.setattr(ml, "PART", 50)
+    parted = ml.regress_forest(df, ["x"], "y", trees=5, depth=3).first()
+    assert seen == [1, 8] and whole["n"] == parted["n"] == 100 and parted["r2"] > 0.8
