@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hirelattice.functions.text import words
 from hirelattice.session import join_hot
 
+# terms that are sent to all tasks at most
+SENT = 50_000
+
 
 def ngrams(pieces: Column, low: int, high: int) -> Column:
     """All runs of ``low`` to ``high`` words, joined by blanks; ``pieces`` should be a stored column."""
@@ -20,8 +23,9 @@ def ngrams(pieces: Column, low: int, high: int) -> Column:
 
 
 def term_counts(df: DataFrame, id_column: str, text_column: str, ngram: tuple[int, int] = (1, 1)) -> DataFrame:
-    cut = df.select(id_column, words(F.col(text_column)).alias("_w"))
-    return cut.select(id_column, F.explode(ngrams(F.col("_w"), *ngram)).alias("term")).groupBy(id_column, "term").agg(
+    """(id, term, tf). The texts are dealt out by their id, which is all that is shuffled: their words are many times that."""
+    pieces = df.select(id_column, text_column).repartition(id_column).select(id_column, words(F.col(text_column)).alias("_w"))
+    return pieces.select(id_column, F.explode(ngrams(F.col("_w"), *ngram)).alias("term")).groupBy(id_column, "term").agg(
         F.count("*").alias("tf"))
 
 
@@ -45,17 +49,20 @@ def vocabulary(
 
 def tfidf(
     df: DataFrame, id_column: str, text_column: str, ngram: tuple[int, int] = (1, 1), min_df: float | int = 1,
-    max_df: float | int = 1.0, max_features: int | None = None,
+    max_df: float | int = 1.0, max_features: int | None = None, terms: DataFrame | None = None,
 ) -> DataFrame:
     """(id, term, weight): counts times smoothed idf, each text's weights scaled to length one.
 
     idf is ``ln((1 + n) / (1 + df)) + 1``. Counts are merged per text before the vocabulary is joined;
-    the vocabulary is bounded by ``max_features`` when given. A term of many texts is split over tasks. A text without kept terms has no rows.
+    the vocabulary is bounded by ``max_features`` when given, and one of at most ``SENT`` terms is sent to the counts, which then stay where
+    their texts lie. Else a term of many texts is split over tasks. A text without kept terms has no rows. ``terms`` may be a vocabulary
+    of these texts that is known already, with ``max_features`` as the bound of its size.
     """
     counts = term_counts(df, id_column, text_column, ngram)
-    n_texts = df.agg(F.count("*")).scalar()
-    weighted = join_hot(counts, vocabulary(counts, n_texts, min_df, max_df, max_features), "term").select(
-        id_column, "term", (F.col("tf") * F.col("idf")).alias("_w"))
+    if terms is None:
+        terms = vocabulary(counts, df.agg(F.count("*")).scalar(), min_df, max_df, max_features)
+    joined = counts.join(F.broadcast(terms), "term") if max_features and max_features <= SENT else join_hot(counts, terms, "term")
+    weighted = joined.select(id_column, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     # the window is over the terms of one text
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_column)))
     return weighted.select(id_column, "term", (F.col("_w") / norm).alias("weight"))

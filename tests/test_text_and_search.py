@@ -5,7 +5,7 @@ from conftest import rows
 from hirelattice.functions import text as x
 from hirelattice.operators import search as s
 from hirelattice.operators.splits import folds, hash_split
-from hirelattice.operators.tfidf import tfidf
+from hirelattice.operators.tfidf import term_counts, tfidf, vocabulary
 from hirelattice.operators.upsert import insert, not_found, patch, update, upsert
 
 
@@ -52,6 +52,25 @@ def test_tfidf_bounds(spark):
     assert {r[0] for r in tfidf(df, "id", "t", min_df=2).select("term").distinct().collect()} == {"python", "sql"}
 
 
+def test_tfidf_with_bounded_vocabulary_moves_the_texts_only(spark):
+    # an id may repeat or be null: its texts count as one
+    df = spark.createDataFrame([(1, "python sql python"), (1, "sql java"), (None, "sql data"), (None, "data"), (4, None), (5, "python")], "id long, t string")
+    bounded = tfidf(df, "id", "t", max_features=3)
+    plan = bounded._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not [line for line in dealt if "id#" in line and "term#" in line] and "SortMergeJoin" not in plan
+    terms = vocabulary(term_counts(df, "id", "t"), F.lit(6), max_features=3)
+    want = {(1, "python"): 2.0, (1, "sql"): 2.0, (None, "sql"): 1.0, (None, "data"): 2.0, (5, "python"): 1.0}
+    idf = {r["term"]: r["idf"] for r in terms.collect()}
+    assert set(idf) == {"python", "sql", "data"}
+    for out in (bounded, tfidf(df, "id", "t", max_features=3, terms=terms)):
+        got = {(r["id"], r["term"]): r["weight"] for r in out.collect()}
+        assert set(got) == set(want)
+        for (i, term), w in got.items():
+            norm = sum((n * idf[x]) ** 2 for (j, x), n in want.items() if j == i) ** 0.5
+            assert w == pytest.approx(want[i, term] * idf[term] / norm)
+
+
 @pytest.fixture(scope="module")
 def offers(spark):
     return spark.createDataFrame([(1, "Data Analyst", "sql 100%", "CDI", 10.0), (2, "Chef", None, "CDD", None), (3, "Data Engineer", "spark_sql", "CDI", 30.0)],
