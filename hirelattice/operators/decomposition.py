@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from hirelattice.operators.numbering import number_rows
-from hirelattice.session import cut
+from hirelattice.session import broadcast_if_small, cut
 
 # directions beyond those asked for, and passes that sharpen them
 EXTRA, PASSES = 10, 6
@@ -24,10 +24,14 @@ PIECE = 1 << 16
 BLOCK, WIDE, SPLIT, ROWS = 2048, 32_768, 8, 64
 
 
-def sparse_rows(weights: DataFrame, id_column: str, term_column: str, weight_column: str) -> tuple[DataFrame, int]:
-    """(id, at, value) with numbered terms, one row per id, from a long table; and how many terms there are."""
-    numbered = cut(number_rows(weights.select(term_column).distinct(), [term_column], "_number").select(term_column, (F.col("_number") - 1).cast("int").alias("_at")))
-    pairs = weights.join(numbered, term_column).groupBy(F.col(id_column).alias("id")).agg(
+def sparse_rows(weights: DataFrame, id_column: str, term_column: str, weight_column: str, terms: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """(id, at, value) with numbered terms, one row per id, from a long table; and how many terms there are.
+
+    ``terms`` may hold the table's terms, each once, which saves a pass over it.
+    """
+    terms = weights.select(term_column).distinct() if terms is None else terms.select(term_column)
+    numbered = cut(number_rows(terms, [term_column], "_number").select(term_column, (F.col("_number") - 1).cast("int").alias("_at")))
+    pairs = weights.join(broadcast_if_small(numbered), term_column).groupBy(F.col(id_column).alias("id")).agg(
         F.sort_array(F.collect_list(F.struct("_at", F.col(weight_column).cast("double").alias("_v")))).alias("_p"))
     return pairs.select("id", F.col("_p._at").alias("at"), F.col("_p._v").alias("value")), numbered.count()
 
