@@ -50,6 +50,9 @@ def test_truncated_svd_of_texts(spark):
     for r in rows.collect():
         assert r["at"] == np.flatnonzero(a[r["id"]]).tolist() and np.allclose(a[r["id"]][r["at"]], r["value"])
     assert np.allclose(d.truncated_svd(rows, dim, 3).values, np.linalg.svd(a)[1][:3], rtol=1e-5)
+    # the same rows where the terms are known, without a pass over the weights to find them
+    known = d.sparse_rows(weights, "id", "term", "weight", spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert known[1] == dim and sorted(map(tuple, known[0].collect())) == sorted(map(tuple, rows.collect()))
 
 
 def test_decomposition_of_nothing(spark):
