@@ -4,8 +4,9 @@ Documents of one shingle set are one node from the start. SuperMinHash gives eve
 permutation of the signature's places; in round j a shingle offers the value j + u to the j-th place of
 its permutation, so a text whose places are all below j stops there. Bands of the signature are bucket
 keys. Inside a bucket documents are linked to one of them first (a star), which joins groups of copies
-of any size by as many pairs as they have members; only pairs that still lie in different components
-are compared after that. Every link is confirmed on the full shingle sets.
+of any size by as many pairs as they have members. After that only buckets with several components are
+opened: the full sets of their members are compared block by block inside tasks, and a block gives a forest
+of its links, so pairs are never rows. Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -16,16 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hirelattice.llm.common import connected_components, stored
+from hirelattice.llm.common import connected_components, discard, stored
 from hirelattice.llm.words import U64, Words, mix, shingles, words_of
 
 BANDS, ROWS = 40, 6
 PLACES = BANDS * ROWS
-# of the 240 one-bit marks of two texts, those with similarity 0.75 differ in 30 on average with a
-# deviation of 5.1; the bound is six deviations off, so it loses fewer than one link in 10**8
-MOST_DIFFERENT = 61
-# of the 240 places themselves 60 differ on average with a deviation of 6.7 (of SuperMinHash, less)
-MOST_UNEQUAL = 88
+# members of a bucket, and their shingles, that make one block on average at most
+MEMBERS, SHINGLES = 512, 1 << 21
+# shingles that are held as columns at once
+COLUMNS = 1 << 13
 
 
 def superminhash(items: np.ndarray, first: np.ndarray, places: int = PLACES) -> np.ndarray:
@@ -106,18 +106,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items, first = _sets(words)
             one, two = _digest(items, first)
             places = superminhash(items, first)
-            marks = np.zeros((len(places), 256), np.uint8)
-            marks[:, :PLACES] = (mix(places, 21) & U64(1)).astype(np.uint8)
-            marks = np.packbits(marks, axis=1).view(U64)
-            short = (mix(places, 22) & U64(255)).astype(np.uint8)
             bands = np.zeros((len(places), BANDS), U64)
             for r in range(ROWS):
                 bands = mix(bands * U64(3) + places[:, r::ROWS], 31)
             bands = mix(bands + np.arange(BANDS, dtype=U64), 41)
             ids = batch.column("doc_id").slice(words.rows.start, len(first) - 1)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(np.diff(first)), pa.array(one), pa.array(two), _lists(marks, 4), _lists(short.view(U64), PLACES // 8), _lists(bands, BANDS)],
-                names=["doc_id", "n_shingles", "k1", "k2", "marks", "places", "bands"])
+                [ids, pa.array(np.diff(first)), pa.array(one), pa.array(two), _lists(bands, BANDS)],
+                names=["doc_id", "n_shingles", "k1", "k2", "bands"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,24 +134,81 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(node), lists], names=["node", "items"]).filter(pa.array(asked))
 
 
-def _unequal(a: str, b: str):
-    """How many bytes of two arrays of longs differ: each byte's bits are gathered in its lowest one."""
-    bits = f"zip_with({a}, {b}, (x, y) -> x ^ y)"
-    for shift in (4, 2, 1):
-        bits = f"transform({bits}, x -> x | shiftrightunsigned(x, {shift}))"
-    return F.expr(f"aggregate({bits}, 0, (n, x) -> n + bit_count(x & {0x0101010101010101}L))")
+def _sets_of(documents: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """Stored ``node, items`` of the ``asked(node)``, each once."""
+    asked = asked.join(nodes.select("node", "k1", "k2"), "node")
+    texts = documents.select("doc_id", "text").join(asked.withColumnRenamed("node", "doc_id"), "doc_id")
+    return stored(texts.mapInArrow(_full_sets, "node long, items array<long>"), "sets")
 
 
 def _confirmed(documents: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The ``pairs(a, b)`` whose full sets have at least three quarters of their union in common."""
     pairs = stored(pairs, "pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "k1", "k2"), "node")
-    texts = documents.select("doc_id", "text").join(asked.withColumnRenamed("node", "doc_id"), "doc_id")
-    sets = texts.mapInArrow(_full_sets, "node long, items array<long>")
-    sets = stored(sets, "sets")
+    sets = _sets_of(documents, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
     both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
-    return stored(both.where("100 * common >= 75 * (size(x) + size(y) - common)").select("a", "b").distinct(), "links")
+    links = stored(both.where("100 * common >= 75 * (size(x) + size(y) - common)").select("a", "b").distinct(), "links")
+    discard(sets)
+    return links
+
+
+def linked(items: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether the sets ``items[first[i]:first[i + 1]]`` have three quarters of their union in common, for each two different ``i``."""
+    n, sizes = len(first) - 1, np.diff(first)
+    _, column, count = np.unique(items, return_inverse=True, return_counts=True)
+    # a shingle of one set alone adds nothing
+    shared = count > 1
+    column, row = (np.cumsum(shared) - 1)[column][shared[column]], np.repeat(np.arange(n), sizes)[shared[column]]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    common = np.zeros((n, n), np.int64)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        some = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        held = np.zeros((n, min(COLUMNS, int(shared.sum()) - low)), np.float32)
+        held[row[some], column[some] - low] = 1
+        common += (held @ held.T).astype(np.int64)
+    return 100 * common >= 75 * (sizes[:, None] + sizes[None, :] - common)
+
+
+def _forest(members: pa.Table) -> pa.Table:
+    """``a, b``: a forest of the links between different components among the members of two blocks."""
+    node, component = (members.column(c).to_numpy() for c in ("node", "component"))
+    lists = members.column("items").combine_chunks()
+    items, first = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    near = linked(items, first) & (component[:, None] != component[None, :])
+    todo, a, b = near.any(axis=1), [], []
+    for start in np.flatnonzero(todo):
+        ahead = [start] if todo[start] else []
+        todo[start] = False
+        while ahead:
+            at = ahead.pop()
+            new = np.flatnonzero(near[at] & todo)
+            todo[new] = False
+            a += [node[at]] * len(new)
+            b += node[new].tolist()
+            ahead += new.tolist()
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _links_between(documents: DataFrame, nodes: DataFrame, placed: DataFrame) -> DataFrame:
+    """Stored ``a, b``: links that connect all members of a bucket of ``placed(band, node, component)`` which are linked but in different components.
+
+    Buckets of the same members are opened once. A large one is cut into blocks, each two of which meet in one task.
+    """
+    digest = lambda k: F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(20,0)"))
+    sized = placed.join(nodes.groupBy("node").agg(F.max("n").alias("n")), "node")
+    mixed = sized.groupBy("band").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), F.sum("n").alias("total"), digest(1).alias("d1"), digest(2).alias("d2"))
+    blocks = F.greatest(F.ceil(F.col("size") / MEMBERS), F.least(F.ceil(F.col("total") / SHINGLES), F.col("size"))).cast("int")
+    mixed = mixed.where("x <> y").groupBy("d1", "d2", "size").agg(F.min("band").alias("band"), F.max("total").alias("total")).select("band", blocks.alias("blocks"))
+    member = stored(placed.join(stored(mixed, "mixed"), "band"), "members")
+    sets = _sets_of(documents, nodes, member.select("node").distinct())
+    block = member.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = block.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "component").join(sets, "node")
+    links = stored(met.groupBy("band", "low", "high").applyInArrow(_forest, "a long, b long").distinct(), "links")
+    discard(sets)
+    return links
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -165,25 +218,18 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     component is null and which are kept. Rows that share an id and a set are one document.
     """
     sketch = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _sketch, "doc_id long, n_shingles long, k1 long, k2 long, marks array<long>, places array<long>, bands array<long>"), "sketch")
+        _sketch, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "sketch")
     linked = sketch.where("n_shingles > 0 and doc_id is not null")
-    nodes = stored(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("marks").alias("marks"), F.first("places").alias("places"), F.first("bands").alias("bands")), "nodes")
+    nodes = stored(linked.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("band"))
     hubs = stored(entries.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"), "hubs")
     shared = stored(entries.join(hubs, "band"), "shared")
     tree = shared.where("node <> hub").groupBy(F.col("node").alias("a")).agg(F.min("hub").alias("b"))
     links = _confirmed(documents, nodes, tree)
     groups = stored(connected_components(links), "groups")
-    # what stars have left: pairs of a bucket in different components, near enough by their marks
+    # what stars have left: members of a bucket in different components
     placed = stored(shared.join(groups, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
-    mixed = stored(placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
-    member = stored(placed.join(mixed, "band").join(nodes.select("node", "n", "marks", "places"), "node"), "members")
-    a, b = member.alias("a"), member.alias("b")
-    differ = sum((F.bit_count(F.get("a.marks", F.lit(i)).bitwiseXOR(F.get("b.marks", F.lit(i)))) for i in range(1, 4)),
-                 F.bit_count(F.get("a.marks", F.lit(0)).bitwiseXOR(F.get("b.marks", F.lit(0)))))
-    near = (F.col("a.band") == F.col("b.band")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & (100 * F.least("a.n", "b.n") >= 75 * F.greatest("a.n", "b.n")) & (differ <= MOST_DIFFERENT) & (_unequal("a.places", "b.places") <= MOST_UNEQUAL)
-    rest = a.join(b, near).select(F.col("b.node").alias("a"), F.col("a.node").alias("b")).distinct()
-    more = _confirmed(documents, nodes, rest)
+    more = _links_between(documents, nodes, placed)
     if not more.isEmpty():
         groups = stored(connected_components(links.union(more)), "groups")
     # an id can stand for several sets if rows share it; the sets of one id are joined through it
