@@ -197,14 +197,16 @@ class Index:
     """Everything a task needs to find leaks of some items."""
 
     def __init__(self, items: list[Item], vocabulary: Vocabulary, idf: np.ndarray, space: np.ndarray):
-        self.items, self.vocabulary, self.space = items, vocabulary, space
+        self.items, self.vocabulary = items, vocabulary
         self.idf = np.append(idf, np.median(idf) if len(idf) else 0.0).astype(np.float32)  # the last is for other words
         # an item's whole row lies in the space of its passages; a window may be near to either
         near = [(i, p) for i in items if len(i.words) >= SHORT for p in [i.words, *(_passages(i) if len(i.words) > WINDOW else [])]]
         self.long = [i for i, _ in near]
         rows = _rows_of([p for _, p in near], vocabulary, idf)
         latent = np.stack([w @ space[at] for at, w in rows]).astype(np.float32) if rows else np.zeros((0, space.shape[1]), np.float32)
-        self.latent = latent / np.maximum(1e-12, np.sqrt((latent * latent).sum(axis=1, keepdims=True)))
+        latent /= np.maximum(1e-12, np.sqrt((latent * latent).sum(axis=1, keepdims=True)))
+        # what one occurrence of a word adds to the inner products of a window with the items
+        self.scores = (space * self.idf[:-1, None]) @ latent.T
         self.runs: dict[int, dict[int, list[int]]] = {}
         for item in items:
             n = len(item.words)
@@ -215,7 +217,7 @@ class Index:
     def leaks(self, words: Words) -> Iterator[tuple[int, int]]:
         """(text, item) of the leaks among the words of some texts; each pair once."""
         yield from self._runs(words)
-        if not len(self.latent) or not len(words.hash):
+        if not self.scores.size or not len(words.hash):
             return
         found = self.vocabulary.find(words.hash)
         weight = self.idf[found]
@@ -232,19 +234,31 @@ class Index:
         some = np.flatnonzero(known[high] - known[low] >= NEAR * NEAR * whole)
         for part in range(0, len(some), 2048):
             at = some[part:part + 2048]
+            # a window is as many steps of its text; each step is added up once for all windows that hold it
+            steps = np.unique((at[:, None] + np.arange(WINDOW // STEP)).ravel())
+            steps = steps[steps < len(text)]
+            sums = np.zeros((len(steps) + 1, self.scores.shape[1]), np.float32)
+            for k in range(STEP):
+                spot = low[steps] + k
+                word = np.where(spot < high[steps], found[np.minimum(spot, len(found) - 1)], -1)
+                have = np.flatnonzero(word >= 0)
+                sums[have] += self.scores[word[have]]
+            near = np.zeros((len(at), sums.shape[1]), np.float32)
+            for k in range(WINDOW // STEP):
+                own = np.searchsorted(steps, np.minimum(at + k, len(text) - 1))
+                # the last row is for steps beyond the text
+                near += sums[np.where((at + k < len(text)) & (text[np.minimum(at + k, len(text) - 1)] == text[at]), own, len(steps))]
+            # the norm is that of distinct words at least
+            maybe = np.flatnonzero(near.max(axis=1) >= NEAR * np.sqrt(whole[at]) * (1 - 1e-5))
+            at, near = at[maybe], near[maybe]
             spot = low[at][:, None] + np.arange(WINDOW)
             inside = spot < high[at][:, None]
             spot = np.minimum(spot, len(words.hash) - 1)
-            word = np.where(inside, found[spot], -1)
-            near = np.zeros((len(at), self.space.shape[1]), np.float32)
-            for k in range(WINDOW):
-                have = np.flatnonzero(word[:, k] >= 0)
-                near[have] += self.space[word[have, k]] * self.idf[word[have, k]][:, None]
             # a word that occurs n times adds n times its weight, so n * n squares
             hashes = words.hash[spot]
             times = ((hashes[:, :, None] == hashes[:, None, :]) & inside[:, None, :]).sum(axis=2)
             norm = np.sqrt(np.where(inside, weight[spot] ** 2 * times, 0).sum(axis=1))
-            cosine = (near @ self.latent.T) / np.maximum(norm, 1e-6)[:, None].astype(np.float32)
+            cosine = near / np.maximum(norm, 1e-6)[:, None].astype(np.float32)
             rows, items = np.nonzero(cosine >= NEAR)
             done: set[tuple[int, int]] = set()
             for r, i in zip(rows.tolist(), items.tolist()):
