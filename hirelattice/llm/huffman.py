@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelattice.llm.common import stored
-from hirelattice.llm.tokens import Encoder, text_runs, with_end
+from hirelattice.llm.tokens import Encoder, column_runs, with_end
 
 LONGEST = 18
 STRETCH = 128
@@ -111,9 +111,9 @@ def token_table(documents: DataFrame, tokenizer: str, end: int) -> DataFrame:
         encoder, part, ahead = Encoder.of(tokenizer), TaskContext.get().partitionId(), 0
         kind = np.uint16 if encoder.width == 2 else np.uint32
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for low, high in text_runs(texts):
-                ids, first = with_end(*encoder.encode(texts[low:high]), end)
+            texts = batch.column("text")
+            for low, high in column_runs(texts):
+                ids, first = with_end(*encoder.encode(texts.slice(low, high - low)), end)
                 n = high - low
                 blobs = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((first * encoder.width).astype(np.int32).tobytes()), pa.py_buffer(ids.astype(kind).tobytes())])
                 yield pa.RecordBatch.from_arrays([

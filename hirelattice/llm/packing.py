@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hirelattice.llm.common import stored, total
-from hirelattice.llm.tokens import Encoder, text_runs, with_end
+from hirelattice.llm.tokens import Encoder, column_runs, with_end
 
 # rests of one group, whose last sequence is the only one that may stay partly empty
 GROUP = 2048
@@ -39,39 +39,41 @@ def fill(sizes: np.ndarray, loss: np.ndarray, limits: Limits) -> list[tuple[int,
     for a later sequence. Every token is placed once, and no sequence passes a limit.
     """
     cap = np.array([limits.tokens, limits.segments, limits.loss], float)
+    piece = np.flatnonzero(sizes > 0)  # those not placed whole yet; demand and share are theirs
     done = np.zeros(len(sizes), np.int64)
-    left = np.stack([sizes, np.ones(len(sizes), np.int64), np.minimum(loss, sizes)], axis=1).astype(float)
-    open_ = np.flatnonzero(sizes > 0)
+    demand = np.stack([sizes, np.ones(len(sizes), np.int64), np.minimum(loss, sizes)], axis=1).astype(float)[piece]
+    share = demand / cap
     out: list[tuple[int, int, int, int, int]] = []
     sequence = -1
-    while len(open_):
+    while len(piece):
         sequence += 1
         room, at = cap.copy(), 0
-        while len(open_):
-            demand = left[open_]
-            fits = (demand <= room).all(axis=1)
-            if fits.any():
-                worth = np.where(fits, (demand / cap) @ (room / cap), -1.0)
-                k = int(worth.argmax())
-                piece, take = int(open_[k]), int(demand[k, 0])
+        while len(piece):
+            fits = (demand[:, 0] <= room[0]) & (demand[:, 1] <= room[1]) & (demand[:, 2] <= room[2])
+            worth = np.where(fits, share @ (room / cap), -1.0)
+            k = int(worth.argmax())
+            if fits[k]:
+                take = int(demand[k, 0])
             else:
                 gap = int(room[0])
                 if room[1] < 1 or gap < LEAST_CUT:
                     break
                 k = int(demand[:, 0].argmax())
-                piece = int(open_[k])
                 still = int(demand[k, 0] - demand[k, 2])  # tokens of it that bear no loss come first
                 take = min(gap, int(demand[k, 0]) - 1, still + int(room[2]))
                 if take < LEAST_CUT:
                     break
-            bearing = max(0, take - int(left[piece, 0] - left[piece, 2]))
-            out.append((piece, int(done[piece]), take, sequence, at))
+            bearing = max(0, take - int(demand[k, 0] - demand[k, 2]))
+            out.append((int(piece[k]), int(done[piece[k]]), take, sequence, at))
             room -= (take, 1, bearing)
             at += take
-            done[piece] += take
-            left[piece] -= (take, 0, bearing)
-            if left[piece, 0] <= 0:
-                open_ = np.delete(open_, k)
+            done[piece[k]] += take
+            demand[k] -= (take, 0, bearing)
+            share[k] = demand[k] / cap
+            if demand[k, 0] <= 0:
+                for held in (piece, demand, share):
+                    held[k:-1] = held[k + 1:]
+                piece, demand, share = piece[:-1], demand[:-1], share[:-1]
     return out
 
 
@@ -109,9 +111,9 @@ def token_pieces(documents: DataFrame, tokenizer: str, end: int, limit: int = 10
         piece = TaskContext.get().partitionId() << 36
         whole = piece
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for low, high in text_runs(texts):
-                ids, first = with_end(*encoder.encode(texts[low:high]), end)
+            texts = batch.column("text")
+            for low, high in column_runs(texts):
+                ids, first = with_end(*encoder.encode(texts.slice(low, high - low)), end)
                 n = np.diff(first)
                 full = n // limit * limit
                 has = [np.flatnonzero(full > 0), np.flatnonzero(n > full)]

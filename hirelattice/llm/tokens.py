@@ -13,6 +13,9 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+
+from hirelattice.llm.words import buffers, slices
 
 # the characters of Unicode's White_Space property
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -21,6 +24,56 @@ _PIECES = re.compile(f"[{_WHITE}]*(?:[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]+(
 KEPT = 800_000
 
 
+def _bytes(*values: int) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(values)] = True
+    return table
+
+
+_BLANK, _MARK = _bytes(*range(9, 14), 32), _bytes(*b".,;:!?")
+_LETTER = _bytes(*range(65, 91), *range(97, 123))
+# second bytes, after 0xC3, of the letters from U+00C0 to U+00FF
+_ACCENTED = _bytes(*(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)))
+
+
+def _ends_white(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character beyond ASCII that ends before each place is white space."""
+    a, b, c = (data[np.maximum(at - k, 0)] for k in (3, 2, 1))
+    general = (a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F)))
+    other = ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+    return general | other | ((b == 0xC2) & ((c == 0x85) | (c == 0xA0)))
+
+
+def piece_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the pieces of UTF-8 texts ``data[at[i]:at[i + 1]]`` begin: at a text, before ASCII white space that follows another
+    character, and at a mark that ends a run of Latin letters. White space beyond ASCII is cut nowhere."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+    head = np.zeros(n + 1, bool)
+    head[at] = True
+    head = head[:n]
+    blank = _BLANK[data]
+    after = np.zeros(n, bool)
+    after[1:] = blank[:-1]
+    starts = head | (blank & ~after)
+    wide = np.flatnonzero(starts[1:] & (data[:-1] >= 0x80)) + 1
+    wide = wide[~head[wide]]
+    starts[wide] = ~_ends_white(data, wide)
+    letter = _LETTER[data]
+    accent = np.flatnonzero(data == 0xC3)
+    accent = accent[_ACCENTED[data[accent + 1]]]
+    letter[accent] = letter[accent + 1] = True
+    first = ~blank & (after | head)
+    other = np.flatnonzero(~blank & ~letter)
+    run = np.cumsum(first, dtype=np.int32)[other]
+    new = np.ones(len(other), bool)
+    new[1:] = run[1:] != run[:-1]
+    other = other[new]
+    starts[other[_MARK[data[other]]]] |= ~first[other[_MARK[data[other]]]]
+    return np.flatnonzero(starts)
+
+
 class _Index(dict):
     """Numbers pieces in the order they come; ``fresh`` collects those not encoded yet."""
 
@@ -69,20 +122,25 @@ class Encoder:
             self.first = np.concatenate([self.first, self.used + np.cumsum(sizes)])
             self.used += len(ids)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row as 32-bit integers, and how many of them each text has."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row as 32-bit integers, and how many of them each text has; null counts as empty."""
         if len(self.index) > KEPT:
             self._forget()
-        parts = [_PIECES.findall(t) if t else [] for t in texts]
-        n = sum(map(len, parts))
-        at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(parts)), np.int64, n)
+        data, at = buffers(texts)
+        data, at = data[at[0]:at[-1]], at - at[0]
+        begin = piece_starts(data, at)
+        if not len(begin):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        ends = np.append(begin, len(data)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+        known = np.fromiter(map(self.index.__getitem__, pieces.dictionary.to_pylist()), np.int64, len(pieces.dictionary))
         if self.index.fresh:
             self._learn()
-        sizes = self.first[at + 1] - self.first[at]
-        run = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(self.first[at] - run[:-1], sizes) + np.arange(run[-1])]
-        edges = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        return ids, np.diff(run[edges])
+        which = known[pieces.indices.to_numpy()]
+        kept = pa.Array.from_buffers(pa.large_binary(), len(self.first) - 1, [None, pa.py_buffer(self.first * 4), pa.py_buffer(self.ids)])
+        run = np.concatenate([[0], np.cumsum(np.diff(self.first)[which])])
+        ids = np.frombuffer(kept.take(pa.array(which)).buffers()[2], np.uint32, int(run[-1])) if run[-1] else np.zeros(0, np.uint32)
+        return ids, np.diff(run[np.searchsorted(begin, at)])
 
 
 class PieceCounts:
@@ -134,6 +192,11 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray,
     return out, first
 
 
+def column_runs(column: pa.Array, limit: int = 1 << 22):
+    """(from, to) of runs of texts of about ``limit`` bytes."""
+    return ((rows.start, rows.stop) for rows in slices(buffers(column)[1], limit))
+
+
 def text_runs(texts: list[str | None], limit: int = 1 << 20):
     """(from, to) of runs of texts of about ``limit`` characters."""
     low = size = 0
