@@ -182,7 +182,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     rows = stored(texts.mapInArrow(_anchor_rows, "doc long, key long, pos int, prev int, gap long"), "anchors")
     owners = stored(rows.groupBy("key").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner <> last").drop("last"), "owners")
     hits = stored(rows.join(owners, "key"), "hits")
-    discard(rows)
+    _discard_all(rows, owners)
     # an owner with the anchor at several places offers the first
     place = F.struct("pos", "prev", "gap")
     own = stored(hits.where("doc = owner").groupBy("key").agg(F.min(place).alias("own")).select(
@@ -208,6 +208,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     asked = asked.groupBy(F.col("d").alias("doc_id")).agg(F.collect_list("end").alias("asked"), F.collect_set("key").alias("keys"), F.collect_list("equal").alias("equal"))
     told = texts.join(asked, "doc_id").select("doc_id", "text", "asked", "keys", "equal")
     told = stored(told.mapInArrow(_told, "doc long, pos int, back binary, ahead binary, start int, stretch long"), "told")
+    _discard_all(hits, own, wanted)
     # rows that share an id and text tell the same again
     margins = stored(told.where("pos is not null").groupBy(F.col("doc").alias("doc_id"), "pos").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead")), "margins")
     back = lambda doc, pos, name: margins.select(F.col("doc_id").alias(doc), F.col("pos").alias(pos), F.col("back").alias(name))
@@ -219,6 +220,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     wide = met.withColumns({"left": common("a", "b"), "right": common("c", "d")}).select(
         "doc", "owner", "shift", (F.col("low") - F.col("left")).alias("start"), (F.col("high") + 5 + F.col("right")).alias("stop"))
     wide = stored(wide.groupBy("doc", "owner", "shift", "start").agg(F.max("stop").alias("stop")), "wide")
+    _discard_all(margins, runs)
     near = Window.partitionBy("doc", "owner").orderBy("start", "stop", "shift")
     gap, own_gap = F.col("start") - F.lag("stop").over(near), (F.col("start") - F.col("shift")) - (F.lag("stop").over(near) - F.lag("shift").over(near))
     glue = gap.between(-4, EDIT) & own_gap.between(-4, EDIT)
@@ -232,7 +234,14 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     # parts of an edited chain that is not alike as a whole count on their own
     alone = chains.where(f"stop - start >= {LEAST_WORDS}").select("doc", "start", "stop", "owner", begin.alias("owner_start"))
     found = whole.select("doc", "start", "stop", "owner", "owner_start").union(alone).union(_equal_spans(told))
-    return stored(found.distinct(), "spans")
+    spans = stored(found.distinct(), "spans")
+    _discard_all(told, wide)
+    return spans
+
+
+def _discard_all(*tables: DataFrame) -> None:
+    for table in tables:
+        discard(table)
 
 
 def _equal_spans(told: DataFrame) -> DataFrame:
