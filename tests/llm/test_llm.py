@@ -493,7 +493,7 @@ def test_held_out_accuracy(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_twins(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
