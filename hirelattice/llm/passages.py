@@ -15,6 +15,10 @@ the owner only, so a passage of any number of copies costs a row each. Anchors t
 with equal words between them, make a run; a run is widened word by word on both sides; runs a few words
 apart, after an edit, are joined if the Jaccard similarity of the shingles stays at 0.75 or more. Spans of
 ``LEAST_WORDS`` or more are removed from every document but the owner.
+
+A word or phrase said over and over has the same anchor again and again, a ladder. Only its ends are compared with the
+owner, and the places about as far from the end as the owner's is: from all others a span ends inside the ladder, where nothing
+can follow it, and what is equal there is found by its stretches, which a text tells once with the reach of their repeats.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ LEAST_WORDS = 40
 MARGIN = 48
 # words that an edit between two runs may take in either text
 EDIT = 8
+# anchors by which two ladders may differ in what is left of them and still be met
+LADDER = EDIT + 4
 
 
 def _slide(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -79,10 +85,24 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             word = words.first[text] + pos
             before = words.first[text] + np.maximum(prev, 0)
             gap = mix((run[word] - run[before]) * _unodd(before), 5)
+            inner, rest = ladders(items[at], gap, new)
             ids = batch.column("doc_id").slice(words.rows.start, len(first) - 1).take(pa.array(text))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(items[at].view(np.int64)), pa.array(pos.astype(np.int32)), pa.array(prev.astype(np.int32)), pa.array(gap.view(np.int64))],
-                names=["doc", "key", "pos", "prev", "gap"])
+                [ids, pa.array(items[at].view(np.int64)), pa.array(pos.astype(np.int32)), pa.array(prev.astype(np.int32)), pa.array(gap.view(np.int64)),
+                 pa.array(rest.astype(np.int32)), pa.array(inner)], names=["doc", "key", "pos", "prev", "gap", "rest", "inner"])
+
+
+def ladders(keys: np.ndarray, gaps: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether an anchor lies inside a ladder (the same key before and after it, with the same words between), and how many of the ladder
+    follow it; ``new`` marks the first anchor of a text."""
+    n = len(keys)
+    again = np.zeros(n + 1, bool)
+    again[1:n] = (keys[1:] == keys[:-1]) & ~new[1:]
+    inner = again[:n] & again[1:]
+    inner[:-1] &= gaps[:-1] == gaps[1:]
+    ends = np.flatnonzero(~inner)
+    after = np.append(ends, n)[np.searchsorted(ends, np.arange(n), "right")]
+    return inner, np.where(again[1:], after - np.arange(n), 0)
 
 
 _ODD, _EVEN_OUT = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
@@ -130,16 +150,27 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(rows)
             yield pa.RecordBatch.from_arrays(
                 [own.take(pa.array(rows, pa.int64())), pa.array(pos_out, pa.int32()), pa.array(back_out, pa.binary()), pa.array(ahead_out, pa.binary()),
-                 none(pa.int32(), n), none(pa.int64(), n)], names=_TOLD)
+                 none(pa.int32(), n), none(pa.int64(), n), none(pa.int32(), n)], names=_TOLD)
             keys = keys_in.slice(words.rows.start, len(first) - 1).flatten().to_numpy(zero_copy_only=False).view(U64)
-            text, start, value = _stretches(words, items, first, keys, equal_in[words.rows])
+            text, start, value, more = _repeats(*_stretches(words, items, first, keys, equal_in[words.rows]))
             n = len(text)
             yield pa.RecordBatch.from_arrays(
                 [own.take(pa.array(text)), none(pa.int32(), n), none(pa.binary(), n), none(pa.binary(), n),
-                 pa.array(start.astype(np.int32)), pa.array(value.view(np.int64))], names=_TOLD)
+                 pa.array(start.astype(np.int32)), pa.array(value.view(np.int64)), pa.array(more.astype(np.int32))], names=_TOLD)
+
+
+_TOLD = ["doc", "pos", "back", "ahead", "start", "stretch", "more"]
 
 
-_TOLD = ["doc", "pos", "back", "ahead", "start", "stretch"]
+def _repeats(text: np.ndarray, start: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first start and hash of the stretches that a text says again without a break, and how far on the last of them starts."""
+    order = np.lexsort((start, value, text))
+    text, start, value = text[order], start[order], value[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1]) | (start[1:] - start[:-1] > LEAST_WORDS)
+    low = np.flatnonzero(new)
+    high = np.append(low[1:], len(text)) - 1
+    return text[low], start[low], value[low], start[high] - start[low]
 
 
 def _stretches(words: Words, items: np.ndarray, first: np.ndarray, keys: np.ndarray, equal: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,15 +210,16 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     Rows without an id or with fewer than ``LEAST_WORDS`` words have none; repeats within one document stay.
     """
     texts = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stored(texts.mapInArrow(_anchor_rows, "doc long, key long, pos int, prev int, gap long"), "anchors")
+    rows = stored(texts.mapInArrow(_anchor_rows, "doc long, key long, pos int, prev int, gap long, rest int, inner boolean"), "anchors")
     owners = stored(rows.groupBy("key").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner <> last").drop("last"), "owners")
     hits = stored(rows.join(owners, "key"), "hits")
     _discard_all(rows, owners)
     # an owner with the anchor at several places offers the first
-    place = F.struct("pos", "prev", "gap")
-    own = stored(hits.where("doc = owner").groupBy("key").agg(F.min(place).alias("own")).select(
-        "key", F.col("own.pos").alias("own_pos"), F.col("own.prev").alias("own_prev"), F.col("own.gap").alias("own_gap")), "own")
-    pairs = hits.where("doc <> owner").join(own, "key").withColumn("shift", F.col("pos") - F.col("own_pos"))
+    place = F.struct("pos", "prev", "gap", "rest")
+    own = stored(hits.where("doc = owner").groupBy(F.col("key").alias("own_key")).agg(F.min(place).alias("own")).select(
+        "own_key", *(F.col(f"own.{c}").alias(f"own_{c}") for c in ("pos", "prev", "gap", "rest"))), "own")
+    level = (F.col("key") == F.col("own_key")) & (~F.col("inner") | (F.abs(F.col("rest") - F.col("own_rest")) <= LADDER))
+    pairs = hits.where("doc <> owner").join(own, level).withColumn("shift", F.col("pos") - F.col("own_pos"))
     line = Window.partitionBy("doc", "owner", "shift").orderBy("pos")
     same = (F.lag("pos").over(line) == F.col("prev")) & (F.col("prev") - F.col("own_prev") == F.col("shift")) & (F.col("gap") == F.col("own_gap")) & (F.col("own_prev") >= 0)
     runs = pairs.withColumn("new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("new").over(line))
@@ -203,11 +235,11 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     one = lambda df, kind, value: df.select(F.col("d"), *(value.alias(k) if k == kind else F.lit(None).cast(t).alias(k) for k, t in kinds.items()))
     asked = one(runs.select(ends).distinct(), "end", F.struct(F.col("p").alias("pos"), F.col("k").alias("key")))
     wanted = stored(runs.select(F.explode("open").alias("key")).distinct(), "open")
-    asked = asked.union(one(hits.select(F.col("doc").alias("d"), "key").join(wanted, "key"), "key", F.col("key")))
+    asked = asked.union(one(hits.where("not inner").select(F.col("doc").alias("d"), "key").join(wanted, "key"), "key", F.col("key")))
     asked = asked.union(one(runs.where(f"high - low >= {inside}").withColumnRenamed("doc", "d"), "equal", F.struct("low", "high", "low_key", "high_key")))
     asked = asked.groupBy(F.col("d").alias("doc_id")).agg(F.collect_list("end").alias("asked"), F.collect_set("key").alias("keys"), F.collect_list("equal").alias("equal"))
     told = texts.join(asked, "doc_id").select("doc_id", "text", "asked", "keys", "equal")
-    told = stored(told.mapInArrow(_told, "doc long, pos int, back binary, ahead binary, start int, stretch long"), "told")
+    told = stored(told.mapInArrow(_told, "doc long, pos int, back binary, ahead binary, start int, stretch long, more int"), "told")
     _discard_all(hits, own, wanted)
     # rows that share an id and text tell the same again
     margins = stored(told.where("pos is not null").groupBy(F.col("doc").alias("doc_id"), "pos").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead")), "margins")
@@ -249,14 +281,14 @@ def _equal_spans(told: DataFrame) -> DataFrame:
 
     A stretch's owner is the lowest document with all its words, at its first place; consecutive stretches make a span.
     """
-    place = told.where("stretch is not null").select("doc", "start", "stretch")
+    place = told.where("stretch is not null").select("doc", "start", "stretch", "more")
     lowest = place.groupBy("stretch").agg(F.min(F.struct("doc", "start")).alias("o"), F.max("doc").alias("last")).where("o.doc <> last")
     lowest = stored(lowest.select("stretch", F.col("o.doc").alias("owner"), F.col("o.start").alias("owner_start")), "stretches")
-    held = place.join(lowest, "stretch").where("doc <> owner").select("doc", "owner", (F.col("start") - F.col("owner_start")).alias("shift"), "start")
+    held = place.join(lowest, "stretch").where("doc <> owner").select("doc", "owner", (F.col("start") - F.col("owner_start")).alias("shift"), "start", "more")
     line = Window.partitionBy("doc", "owner", "shift").orderBy("start")
     # rows that share an id tell a start again
     run = held.withColumn("run", F.col("start") - F.dense_rank().over(line))
-    spans = run.groupBy("doc", "owner", "shift", "run").agg(F.min("start").alias("start"), (F.max("start") + LEAST_WORDS).alias("stop"))
+    spans = run.groupBy("doc", "owner", "shift", "run").agg(F.min("start").alias("start"), (F.max(F.col("start") + F.col("more")) + LEAST_WORDS).alias("stop"))
     return spans.select("doc", "start", "stop", "owner", (F.col("start") - F.col("shift")).alias("owner_start"))
 
 
