@@ -131,3 +131,29 @@ def test_a_forest_is_grown_on_partitions_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(ml, "PART", 50)
     parted = ml.regress_forest(df, ["x"], "y", trees=5, depth=3).first()
     assert seen == [1, 8] and whole["n"] == parted["n"] == 100 and parted["r2"] > 0.8
+
+
+def test_text_classifier_needs_few_passes(spark):
+    rng = np.random.default_rng(5)
+    weights = 1.0 / np.arange(1, 3001) ** 0.8
+    rows = []
+    for i in range(600):
+        # kinds of texts apart from the label, and many words that one text alone has
+        pool = (rng.choice(3000, 60, p=weights / weights.sum()) + 500 * (i % 5)) % 3000
+        rows.append((" ".join([f"w{k}" for k in pool] + [f"only{i}x{k}" for k in range(20)]), float(rng.random() < 0.2 + 0.6 * (i % 2)) * 2))
+    train = ml.with_words(spark.createDataFrame(rows, "text string, label double").repartition(4), "text").cache()
+    spark.sparkContext.setJobGroup("few passes", "")
+    model = ml.text_classifier(train, "label")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few passes")) < 90
+    # class 1 has no rows, yet has weights as the others; the slope is that of the optimum
+    x = np.array([r["v"] for r in model.transform(train).select(vector_to_array("_features").alias("v")).collect()])
+    y = np.eye(3)[[int(r["label"]) for r in train.select("label").collect()]]
+    p = np.array([r["p"] for r in model.transform(train).select(vector_to_array("probability").alias("p")).collect()])
+    w = model.stages[-1].coefficientMatrix.toArray()
+    assert w.shape == (3, len(model.stages[0].vocabulary)) and np.abs(w.sum(axis=0)).max() < 1e-9 and p[:, 1].max() < 1e-3
+    assert np.abs((p - y).T @ x + w).max() < 1e-2 and np.abs((p - y).sum(axis=0)).max() < 1e-2
+    # nothing to tell apart, as before
+    same = ml.text_classifier(train.filter("label = 2"), "label")
+    assert {r["prediction"] for r in same.transform(train.filter("label = 2")).collect()} == {2.0}
+    train.unpersist()
