@@ -7,6 +7,7 @@ gives the same rows once. Checkpoints and results live under the shared folder.
 from __future__ import annotations
 
 import contextlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ from hirelattice.operators.dedup import dedup_rank
 from hirelattice.sources.readers import parse_csv
 
 DELAY = "10 minutes"
+# of the keys a stream remembers
+BUCKETS = 1 << 13
 
 
 def read_files(
@@ -59,54 +62,94 @@ def dedup_stream(stream: DataFrame, keys: list[str], ts: str, delay: str = DELAY
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-class _FirstRow(StatefulProcessor):
-    """Lets the first row of a key through and remembers the key until the watermark has passed its last row."""
+class _FirstRows(StatefulProcessor):
+    """Lets the first row of every key of a bucket through and remembers each key until the watermark has passed its last row.
+
+    A bucket's keys and their last times are one value; the earliest of these times is its one timer.
+    """
 
     def __init__(self, order: list[str], ts: str):
         self.order, self.ts = order, ts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", T.StructType([T.StructField("at", T.LongType())]))
+        self.last = handle.getValueState("last", T.StructType([T.StructField("last", T.BinaryType())]))
+
+    def _load(self) -> dict[str, int]:
+        return pickle.loads(bytes(self.last.get()[0])) if self.last.exists() else {}
+
+    def _save(self, last: dict[str, int], timer: int | None) -> None:
+        ends = min(last.values()) if last else None
+        if ends != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if ends is not None:
+                self.handle.registerTimer(ends)
+        if last:
+            self.last.update((pickle.dumps(last),))
+        else:
+            self.last.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.last.get()[0] if self.last.exists() else None
-        first, newest = None, known
-        for part in rows:
-            times = part[self.ts].dropna()
-            if len(times):
-                at = int(pd.Timestamp(times.max()).value // 1_000_000)
-                newest = at if newest is None else max(newest, at)
-            if known is None and len(part):
-                first = part if first is None else pd.concat([first, part])
-                first = first.sort_values(self.order, kind="stable").iloc[:1]
-        if newest is None:  # rows without a time: remembered until the watermark moves on
-            newest = timerValues.getCurrentWatermarkInMs()
-        if newest != known:
-            if known is not None:
-                self.handle.deleteTimer(known)
-            self.handle.registerTimer(newest)
-            self.last.update((newest,))
+        last = self._load()
+        timer = min(last.values()) if last else None
+        first, newest = None, {}
+        for part in rows:  # a piece of the bucket at a time
+            names, times = part["k"].tolist(), pd.to_datetime(part[self.ts])
+            for k, at, there in zip(names, (times.astype("datetime64[ns]").astype("int64") // 1_000_000).tolist(), times.notna().tolist()):
+                if not there:
+                    newest.setdefault(k, None)
+                elif newest.get(k) is None or at > newest[k]:
+                    newest[k] = at
+            new = [k not in last for k in names]
+            if any(new):
+                some = part[new] if first is None else pd.concat([first, part[new]])
+                first = some.sort_values(self.order, kind="stable").drop_duplicates("k")
+        changed = False
+        for k, at in newest.items():
+            if at is None and k not in last:  # rows without a time: remembered until the watermark moves on
+                at = timerValues.getCurrentWatermarkInMs()
+            if at is not None and (k not in last or at > last[k]):
+                last[k], changed = at, True
+        if changed:
+            self._save(last, timer)
         if first is not None:
-            yield first.reset_index(drop=True)
+            yield first.drop(columns=["b", "k"]).reset_index(drop=True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
+        last = self._load()
+        timer, watermark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        self._save({k: at for k, at in last.items() if at > max(timer, watermark)}, None)
         return iter([])
 
 
-def first_wins(stream: DataFrame, keys: list[str], order: list[str], ts: str, within: str = DELAY) -> DataFrame:
+def _key_text(kind: T.DataType, key: Column) -> Column:
+    """A text that tells the values of a key apart; null stays null."""
+    if isinstance(kind, T.BinaryType):
+        return F.base64(key)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (key + F.lit(0.0)).cast("string")  # one zero
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(key, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"})
+    return key.cast("string")
+
+
+def first_wins(stream: DataFrame, keys: list[str], order: list[str], ts: str, within: str = DELAY, buckets: int = BUCKETS) -> DataFrame:
     """The first row of every key, by the columns ``order`` among rows that come together.
 
     A key is remembered until event time is ``within`` past its last row, and rows that come later than that
-    are dropped, so the state is that of the keys of the last ``within`` and a batch costs what its own rows cost.
+    are dropped, so the state is that of the keys of the last ``within``. Keys lie in ``buckets`` by a hash; a batch opens, once each, the
+    buckets its rows lie in, so what is done per key is a look into a dictionary. ``buckets`` stays as it is for the life of a stream.
     The state store is RocksDB, which the session must name where the stream is started (``stateful``).
     """
     # plain names inside: rows reach the processor as named tuples, which change others
     plain = {c: f"c{i}" for i, c in enumerate(stream.columns)}
     rows = stream.toDF(*plain.values()).withWatermark(plain[ts], within)
-    work = _FirstRow([plain[c] for c in order], plain[ts])
-    return rows.groupBy(*[plain[k] for k in keys]).transformWithStateInPandas(work, rows.schema, "Append", "EventTime").toDF(*stream.columns)
+    kinds = {c: stream.schema[c].dataType for c in keys}
+    name = F.to_json(F.array(*[_key_text(kinds[c], F.col(plain[c])) for c in keys]))
+    work = _FirstRows([plain[c] for c in order], plain[ts])
+    dealt = rows.withColumn("k", name).withColumn("b", F.pmod(F.hash("k"), F.lit(buckets)))
+    return dealt.groupBy("b").transformWithStateInPandas(work, rows.schema, "Append", "EventTime").toDF(*stream.columns)
 
 
 @contextlib.contextmanager

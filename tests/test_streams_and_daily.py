@@ -231,3 +231,18 @@ def test_offers_of_a_day_are_those_of_the_ranking_of_all(spark):
     for day in ("2024-03-01", "2024-03-02", "2024-03-03", "2024-03-05"):
         want = day_slice(clean_offers(raw, keep_rank=False), "date_extraction", day)
         assert rows(daily.todays_offers(raw, day)) == rows(want)
+
+
+def test_first_rows_keep_one_state_for_a_bucket_of_keys(spark):
+    # keys of two columns, null ones too, in three batches; one state each for 3000 keys before
+    batches = [[(i + 10_000 * n, None if i % 50 == 0 else f"k{i % 3000}", f"{D}1{n}:{i % 60:02}:00", None if i % 7 == 0 else i % 2) for i in range(n * 1000, 3000 + n)] for n in range(3)]
+    target = run_dir(spark, "first")
+    with jobs.stateful(spark):
+        stream = jobs.first_wins(_files(spark, batches), ["k", "v"], ["id"], "ts", "1 day", buckets=20)
+        progress = jobs.to_files(stream, target)
+    want = {}
+    for batch in batches:
+        for i, k, _, v in batch:
+            want.setdefault((k, v), i)
+    assert rows(spark.read.parquet(f"{target}/data").select("k", "v", "id")) == sorted(((k, v, i) for (k, v), i in want.items()), key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in progress) <= 20
